@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a bounded size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension larger than this is joined by shuffle (AQE may still pick broadcast).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
+    side turns out to be large; beyond the bound the plain join is kept and the
+    planner picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
