@@ -162,3 +162,71 @@ SELECT CAST(n.n_nationkey + 1 AS INTEGER) AS locationid, n.n_name AS zone, r.r_n
        CASE WHEN n.n_regionkey = 1 THEN 'Yellow Zone' ELSE 'Boro Zone' END AS service_zone
 FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 """
+
+
+# ---------------------------------------------------------------- drifted files
+
+def drifted_generations(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Yellow raw trips split into three file generations with different layouts:
+    up to 1997 without ``cbd_congestion_fee`` and ids stored as doubles (NaN for
+    missing); 1998-1999 with upper-case ``Airport_fee`` / ``CBD_CONGESTION_FEE`` and
+    passenger counts as text ('n/a' for 0); 2000 on in the declared layout."""
+    raw = raw_service(spark, sf_dir, "yellow")
+    a = (raw.where(F.col("source_year") <= 1997).drop("cbd_congestion_fee")
+         .withColumn("PULocationID", F.coalesce(F.col("PULocationID").cast("double"), F.lit(float("nan"))))
+         .withColumn("VendorID", F.col("VendorID").cast("double")))
+    b = (raw.where(F.col("source_year").between(1998, 1999))
+         .withColumnsRenamed({"airport_fee": "Airport_fee", "cbd_congestion_fee": "CBD_CONGESTION_FEE"})
+         .withColumn("passenger_count", F.when(F.col("passenger_count") == 0, F.lit("n/a"))
+                     .otherwise(F.col("passenger_count").cast("string"))))
+    c = raw.where(F.col("source_year") >= 2000)
+    return [a, b, c]
+
+
+# ---------------------------------------------------------------- ledger fixture
+
+# Fixed quality gate of the ledger fixture: a month whose share of trips without a
+# total exceeds the first limit fails its first attempt; the retry uses the second.
+FIRST_GATE, RETRY_GATE = 0.005, 0.01
+
+
+def ledger_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of two ingest attempts derived from the trips: every month present is
+    attempted once; months failing the gate are retried once."""
+    months = (trips(spark, sf_dir)
+              .groupBy(F.col("service_type").alias("service"), F.col("source_year").alias("year"),
+                       F.col("source_month").alias("month"))
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(F.col("total_amount").isNull().cast("long")).alias("bad"),
+                   F.max("ingested_at_utc").alias("ts")))
+    share = F.col("bad") / F.col("n")
+
+    def attempt(gate: float, tag: str) -> DataFrame:
+        ok = share <= gate
+        return months.select(
+            "service", "year", "month",
+            F.when(ok, F.col("n")).otherwise(F.lit(0)).cast("long").alias("rows"),
+            F.when(ok, "OK").otherwise("ERROR").alias("status"),
+            F.lit(tag).alias("run_tag"),
+            F.col("ts").cast("timestamp").alias("ts_utc"),
+            F.when(~ok, F.lit("share of trips without total above gate")).alias("error"))
+
+    first = attempt(FIRST_GATE, "run1")
+    retry = attempt(RETRY_GATE, "run2").join(first.where("status = 'ERROR'").select("service", "year", "month"),
+                                             ["service", "year", "month"], "left_semi")
+    return first.unionByName(retry)
+
+
+LEDGER_SQL = f"""
+months AS (
+  SELECT service_type AS service, source_year AS year, source_month AS month, COUNT(*) AS n,
+         SUM(CASE WHEN total_amount IS NULL THEN 1 ELSE 0 END) AS bad
+  FROM trips GROUP BY 1, 2, 3),
+ledger AS (
+  SELECT service, year, month, CASE WHEN bad / n <= {FIRST_GATE} THEN n ELSE 0 END AS rows,
+         CASE WHEN bad / n <= {FIRST_GATE} THEN 'OK' ELSE 'ERROR' END AS status
+  FROM months
+  UNION ALL
+  SELECT service, year, month, CASE WHEN bad / n <= {RETRY_GATE} THEN n ELSE 0 END,
+         CASE WHEN bad / n <= {RETRY_GATE} THEN 'OK' ELSE 'ERROR' END
+  FROM months WHERE bad / n > {FIRST_GATE})"""

@@ -62,3 +62,90 @@ SELECT service_type, year, COUNT(*) AS trips, MIN(pickup_datetime) AS first_pick
 FROM wide GROUP BY service_type, year ORDER BY service_type, year"""))
 def q_wide_summary_range(spark, sf_dir):
     return profile.service_year_ranges(wide_table(spark, sf_dir))
+
+
+# ------------------------------------------------------------ ingest side
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from cabline import schemas  # noqa: E402
+from cabline.session import scratch_path  # noqa: E402
+from cabline.sources import ledger as LG  # noqa: E402
+from cabline.sources import sinks  # noqa: E402
+from cabline.sources.conform import conform_schema  # noqa: E402
+
+_DRIFT_SELECT = ", ".join(
+    "dropoff_datetime AS tpep_dropoff_datetime" if c == "tpep_dropoff_datetime" else
+    "pickup_datetime AS tpep_pickup_datetime" if c == "tpep_pickup_datetime" else
+    ("CASE WHEN source_year IN (1998, 1999) AND passenger_count = 0 THEN NULL"
+     " ELSE passenger_count END AS passenger_count") if c == "passenger_count" else c
+    for c in schemas.raw_with_lineage("yellow").fieldNames())
+
+
+@register("conform_drift", f"""
+WITH trips AS ({B.TRIPS_SQL})
+SELECT {_DRIFT_SELECT}
+FROM trips WHERE service_type = 'yellow'""")
+def q_conform_drift(spark, sf_dir):
+    target = schemas.raw_with_lineage("yellow")
+    parts = [conform_schema(g, target, tolerant=True) for g in B.drifted_generations(spark, sf_dir)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("partition_replace", O.over_wide("""
+SELECT source_year, service_type,
+       CASE WHEN source_year = 1996 AND service_type = 'yellow' THEN 'rerun' ELSE run_id END AS run_id,
+       COUNT(*) AS rows
+FROM wide GROUP BY 1, 2, 3"""))
+def q_partition_replace(spark, sf_dir):
+    path = scratch_path(spark, "wide")
+    wide = wide_table(spark, sf_dir)
+    sinks.full_rebuild(wide, path, overwrite=True)
+    # existing partitions are skipped without overwrite ...
+    sinks.partition_replace(spark, wide, path, [(1996, "yellow"), (1997, "green")], overwrite=False)
+    # ... and replaced, alone, with it
+    rerun = wide.withColumn("run_id", F.lit("rerun"))
+    sinks.partition_replace(spark, rerun, path, [(1996, "yellow")], overwrite=True)
+    return (spark.read.parquet(path).groupBy("source_year", "service_type", "run_id")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("ingest_worklist", f"""
+WITH trips AS ({B.TRIPS_SQL}), {B.LEDGER_SQL},
+grid AS (
+  SELECT s.service, CAST(y.year AS INTEGER) AS year, CAST(m.month AS INTEGER) AS month
+  FROM (VALUES ('yellow'), ('green')) s(service),
+       (SELECT unnest(generate_series(MIN(source_year), MAX(source_year))) AS year FROM trips) y,
+       (SELECT unnest(generate_series(1, 12)) AS month) m)
+SELECT g.service, g.year, g.month FROM grid g
+WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.status = 'OK' AND l.service = g.service
+                  AND l.year = g.year AND l.month = g.month)""")
+def q_ingest_worklist(spark, sf_dir):
+    t = B.trips(spark, sf_dir)
+    years = t.agg(F.explode(F.sequence(F.min("source_year"), F.max("source_year"))).alias("year"))
+    services = spark.createDataFrame([("yellow",), ("green",)], "service string")
+    months = spark.range(1, 13).select(F.col("id").cast("int").alias("month"))
+    wanted = services.crossJoin(years.select(F.col("year").cast("int"))).crossJoin(months)
+    return LG.pending_months(wanted, B.ledger_attempts(spark, sf_dir))
+
+
+@register("ledger_summary", f"""
+WITH trips AS ({B.TRIPS_SQL}), {B.LEDGER_SQL}
+SELECT service, status, COUNT(*) AS n_months, CAST(SUM(rows) AS BIGINT) AS total_rows
+FROM ledger GROUP BY service, status ORDER BY service, status""")
+def q_ledger_summary(spark, sf_dir):
+    return LG.ledger_summary(B.ledger_attempts(spark, sf_dir))
+
+
+@register("ledger_error_rate", f"""
+WITH trips AS ({B.TRIPS_SQL}), {B.LEDGER_SQL},
+p AS (SELECT service, COUNT(*) FILTER (WHERE status = 'OK') AS "OK",
+             COUNT(*) FILTER (WHERE status = 'ERROR') AS "ERROR" FROM ledger GROUP BY service)
+SELECT service, "OK", "ERROR", "OK" + "ERROR" AS total_months,
+       round(100.0 * "ERROR" / NULLIF("OK" + "ERROR", 0), 1) AS error_pct
+FROM p ORDER BY service""")
+def q_ledger_error_rate(spark, sf_dir):
+    return LG.ledger_error_rate(B.ledger_attempts(spark, sf_dir))

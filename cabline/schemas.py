@@ -76,3 +76,9 @@ SAMPLE_COLUMNS = [
     "improvement_surcharge", "congestion_surcharge", "airport_fee", "total_amount",
     "store_and_fwd_flag",
 ]
+
+
+def raw_with_lineage(service: str) -> T.StructType:
+    """Raw table of a service plus lineage and service columns, as landed."""
+    fields = list(RAW_BY_SERVICE[service].fields) + [T.StructField(n, t, True) for n, t in LINEAGE]
+    return T.StructType(fields + [T.StructField("service_type", S, True)])
