@@ -149,3 +149,23 @@ SELECT service, "OK", "ERROR", "OK" + "ERROR" AS total_months,
 FROM p ORDER BY service""")
 def q_ledger_error_rate(spark, sf_dir):
     return LG.ledger_error_rate(B.ledger_attempts(spark, sf_dir))
+
+
+# ------------------------------------------------------------ modelling sample
+
+from cabline.operators import sample as SM  # noqa: E402
+
+
+def sample_table(spark, sf_dir):
+    wide = wide_table(spark, sf_dir)
+    return SM.stratified_time_sample(SM.quality_filter(wide, O.SAMPLE_YEARS), O.ROWS_PER_YEAR)
+
+
+@register("quality_filter", O.over_sample("SELECT * FROM filt"))
+def q_quality_filter(spark, sf_dir):
+    return SM.quality_filter(wide_table(spark, sf_dir), O.SAMPLE_YEARS).select(*schemas.SAMPLE_COLUMNS)
+
+
+@register("stratified_sample", O.over_sample("SELECT * FROM sample"))
+def q_stratified_sample(spark, sf_dir):
+    return sample_table(spark, sf_dir)
