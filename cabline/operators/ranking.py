@@ -10,10 +10,15 @@ only, each about ``n / buckets`` rows, spread over all tasks.
 Rows whose key equals an edge value get a bucket of their own ("tie bucket"), so
 a hot value holding a third of all rows forms one bucket whose rows all share the
 same key: quantiles read such buckets without sorting them.
+
+The two small tables (edges, per-bucket counts) have ``groups x buckets`` rows;
+they are computed first, checked against ``MAX_SMALL_ROWS`` and broadcast, which
+keeps every plan linear in the input.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,52 +26,74 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BUCKETS = 64
-# Upper bound of broadcast bucket tables: groups x (2 * buckets + 1) rows.
 MAX_SMALL_ROWS = 2_000_000
 
 
 def _key_as_double(df: DataFrame, col: str) -> Column:
     t = df.schema[col].dataType
     c = F.col(col)
-    if isinstance(t, T.TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(t, (T.TimestampType, T.DateType)):
+    if isinstance(t, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
 
 
+def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
+    """A constant group key when there is no grouping, so every join is an equi-join."""
+    if by:
+        return df, list(by), False
+    return df.withColumn("_g", F.lit(0)), ["_g"], True
+
+
+def _small(df: DataFrame, what: str) -> DataFrame:
+    """Materialise a small side table after checking its size bound."""
+    rows = df.limit(MAX_SMALL_ROWS + 1).collect()
+    if len(rows) > MAX_SMALL_ROWS:
+        raise ValueError(f"{what}: more than {MAX_SMALL_ROWS} rows; use fewer buckets or groups")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def with_buckets(df: DataFrame, by: Sequence[str], key: str, buckets: int = DEFAULT_BUCKETS,
                  accuracy: int = 10_000) -> DataFrame:
-    """Add ``_b``: a bucket number, monotone in ``key`` (NULLs first) within each group."""
+    """Add ``_kd`` (key as double) and ``_b``: a bucket number, monotone in ``key``
+    (NULLs first) within each group."""
     by = list(by)
-    if not by:
-        raise ValueError("with_buckets needs grouping columns (use a constant key)")
-    kd = _key_as_double(df, key)
-    df = df.withColumn("_kd", kd)
+    df = df.withColumn("_kd", _key_as_double(df, key))
     probs = [i / buckets for i in range(1, buckets)]
-    edges = df.groupBy(*by).agg(F.percentile_approx("_kd", probs, accuracy).alias("_edges"))
-    edges = F.broadcast(edges)
-    j = df.join(edges, by, "inner")
+    edges = _small(df.groupBy(*by).agg(F.percentile_approx("_kd", probs, accuracy).alias("_edges")),
+                   "bucket edges")
+    j = df.join(F.broadcast(edges), by, "inner")
     below = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("_kd")))
     on_edge = F.coalesce(F.array_contains(F.col("_edges"), F.col("_kd")), F.lit(False)).cast("int")
     b = F.when(F.col("_kd").isNull(), F.lit(-1)).otherwise(below * 2 + on_edge)
     return j.withColumn("_b", b).drop("_edges")
 
 
-def _offsets(bucketed: DataFrame, by: Sequence[str], extra_aggs: Sequence[Column] = ()) -> DataFrame:
-    by = list(by)
-    stats = bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"), *extra_aggs)
-    w = Window.partitionBy(*by)
-    return (stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(
-                w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                 .withColumn("_n", F.sum("_cnt").over(w)))
-
-
-def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
-    """A constant group key when there is no grouping, so every join is an equi-join."""
-    if by:
-        return df, list(by), False
-    return df.withColumn("_g", F.lit(0)), ["_g"], True
+def _bucket_stats(bucketed: DataFrame, by: Sequence[str], with_range: bool = False) -> list:
+    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    if with_range:
+        aggs += [F.min("_kd").alias("_lo"), F.max("_kd").alias("_hi")]
+    stats = bucketed.groupBy(*by, "_b").agg(*aggs)
+    rows = stats.limit(MAX_SMALL_ROWS + 1).collect()
+    if len(rows) > MAX_SMALL_ROWS:
+        raise ValueError("bucket statistics too large; use fewer buckets or groups")
+    return rows
+
+
+def _offsets(rows: list, by: Sequence[str]) -> dict:
+    """{group: [(bucket, offset, count, lo, hi), ...], ...} in bucket order."""
+    groups: dict = {}
+    for r in rows:
+        groups.setdefault(tuple(r[c] for c in by), []).append(r)
+    out = {}
+    for g, rs in groups.items():
+        rs.sort(key=lambda r: r["_b"])
+        off, acc = 0, []
+        for r in rs:
+            acc.append((r["_b"], off, r["_cnt"], r["_lo"] if "_lo" in r else None,
+                        r["_hi"] if "_hi" in r else None))
+            off += r["_cnt"]
+        out[g] = (off, acc)
+    return out
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], key: str,
@@ -76,9 +103,14 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], key:
     unique tie-break for deterministic numbers."""
     df, by, synthetic = _grouped(df, by)
     b = with_buckets(df, by, key, buckets)
-    offs = F.broadcast(_offsets(b, by).select(*by, "_b", "_off", "_n"))
+    offs = _offsets(_bucket_stats(b, by), by)
+    spark = df.sparkSession
+    schema = T.StructType([df.schema[c] for c in by] + [
+        T.StructField("_b", T.IntegerType()), T.StructField("_off", T.LongType()), T.StructField("_n", T.LongType())])
+    table = spark.createDataFrame(
+        [(*g, bk, off, n) for g, (n, acc) in offs.items() for bk, off, _c, _l, _h in acc], schema)
     local = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))
-    out = (b.join(offs, [*by, "_b"], "inner")
+    out = (b.join(F.broadcast(table), [*by, "_b"], "inner")
            .withColumn("_rn", F.col("_off") + local)
            .drop("_b", "_kd", "_off"))
     return out.drop("_g") if synthetic else out
@@ -90,38 +122,49 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
     semantics) of ``value`` per ``by`` group: one row per group with ``name`` as
     ``array<double>`` in ``probs`` order and ``_n`` (non-NULL count).
 
-    Only the buckets holding a needed rank and more than one distinct value are sorted.
+    Only buckets that hold a needed rank and more than one distinct value are sorted;
+    each is about ``n / buckets`` rows.
     """
     df, by, synthetic = _grouped(df, by)
     src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     b = with_buckets(src, by, "_v", buckets)
-    offs = _offsets(b, by, [F.min("_v").alias("_lo"), F.max("_v").alias("_hi")])
-    # needed 0-based ranks per group and prob
-    need = (offs.select(*by, "_n").distinct()
-            .withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-            .withColumn("_pi", F.array_position(F.array(*[F.lit(float(p)) for p in probs]), F.col("_p")))
-            .withColumn("_h", (F.col("_n") - 1) * F.col("_p"))
-            .withColumn("_r", F.explode(F.array(F.floor("_h"), F.ceil("_h")).cast("array<long>"))))
-    located = need.join(offs.drop("_n"), by, "inner").where(
-        (F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
-    flat = located.where(F.col("_lo") == F.col("_hi")).select(*by, "_pi", "_h", "_r", F.col("_lo").alias("_x"))
-    mixed = located.where(F.col("_lo") != F.col("_hi")).select(*by, "_b", "_pi", "_h", "_r",
-                                                                (F.col("_r") - F.col("_off") + 1).alias("_local"))
-    sorted_rows = (b.join(F.broadcast(mixed.select(*by, "_b").distinct()), [*by, "_b"], "left_semi")
-                   .withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_v"))))
-    picked = (sorted_rows.join(F.broadcast(mixed), [*by, "_b", "_local"], "inner")
-              .select(*by, "_pi", "_h", "_r", F.col("_v").alias("_x")))
-    vals = flat.unionByName(picked)
-    lo = F.min_by("_x", "_r")
-    hi = F.max_by("_x", "_r")
-    per_p = (vals.groupBy(*by, "_pi", "_h")
-             .agg(lo.alias("_xlo"), hi.alias("_xhi"))
-             .withColumn("_q", F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * (F.col("_h") - F.floor("_h"))))
-    sizes = offs.select(*by, "_n").distinct()
-    out = (per_p.groupBy(*by)
-           .agg(F.sort_array(F.collect_list(F.struct("_pi", "_q"))).alias("_qs"))
-           .select(*by, F.transform("_qs", lambda s: s["_q"]).alias(name)))
-    out = out.join(sizes, by, "inner")
+    offs = _offsets(_bucket_stats(b, by, with_range=True), by)
+    # locate the needed 0-based ranks
+    known: dict = {}
+    wanted = []   # (group..., bucket, local 1-based rank)
+    for g, (n, acc) in offs.items():
+        for p in probs:
+            h = (n - 1) * float(p)
+            for r in {math.floor(h), math.ceil(h)}:
+                for bk, off, cnt, lo, hi in acc:
+                    if off <= r < off + cnt:
+                        if lo == hi:
+                            known[(g, r)] = lo
+                        else:
+                            wanted.append((*g, bk, r - off + 1, r))
+                        break
+    spark = df.sparkSession
+    if wanted:
+        schema = T.StructType([df.schema[c] for c in by] + [
+            T.StructField("_b", T.IntegerType()), T.StructField("_local", T.LongType()),
+            T.StructField("_r", T.LongType())])
+        targets = spark.createDataFrame(wanted, schema)
+        sel = (b.join(F.broadcast(targets.select(*by, "_b").distinct()), [*by, "_b"], "left_semi")
+               .withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_v")))
+               .join(F.broadcast(targets), [*by, "_b", "_local"], "inner"))
+        for r in sel.select(*by, "_r", "_v").collect():
+            known[(tuple(r[c] for c in by), r["_r"])] = r["_v"]
+    result = []
+    for g, (n, _acc) in offs.items():
+        qs = []
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo, hi = known[(g, math.floor(h))], known[(g, math.ceil(h))]
+            qs.append(lo + (hi - lo) * (h - math.floor(h)))
+        result.append((*g, qs, n))
+    schema = T.StructType([df.schema[c] for c in by] + [
+        T.StructField(name, T.ArrayType(T.DoubleType())), T.StructField("_n", T.LongType())])
+    out = spark.createDataFrame(result, schema)
     return out.drop("_g") if synthetic else out
 
 

@@ -69,7 +69,7 @@ def q_wide_summary_range(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from cabline import schemas  # noqa: E402
-from cabline.session import scratch_path  # noqa: E402
+from cabline.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from cabline.sources import ledger as LG  # noqa: E402
 from cabline.sources import sinks  # noqa: E402
 from cabline.sources.conform import conform_schema  # noqa: E402
@@ -157,8 +157,11 @@ from cabline.operators import sample as SM  # noqa: E402
 
 
 def sample_table(spark, sf_dir):
+    """The modelling sample, materialised once (reliable checkpoint in the shared
+    checkpoint folder): every later stage reads it several times."""
     wide = wide_table(spark, sf_dir)
-    return SM.stratified_time_sample(SM.quality_filter(wide, O.SAMPLE_YEARS), O.ROWS_PER_YEAR)
+    ensure_checkpoint_dir(spark)
+    return SM.stratified_time_sample(SM.quality_filter(wide, O.SAMPLE_YEARS), O.ROWS_PER_YEAR).checkpoint()
 
 
 @register("quality_filter", O.over_sample("SELECT * FROM filt"))
@@ -169,3 +172,67 @@ def q_quality_filter(spark, sf_dir):
 @register("stratified_sample", O.over_sample("SELECT * FROM sample"))
 def q_stratified_sample(spark, sf_dir):
     return sample_table(spark, sf_dir)
+
+
+# ------------------------------------------------------------ exploration
+
+CATEGORICALS = ["service_type", "vendor_id", "rate_code_id", "payment_type", "pu_borough", "pu_zone"]
+
+
+def _hist_sql(expr: str, bins: int = 50) -> str:
+    return O.over_sample(f"""
+SELECT g.bin, round(r.lo + (g.bin - 1) * ((r.hi - r.lo) / {bins}.0), 6) AS lo,
+       round(r.lo + g.bin * ((r.hi - r.lo) / {bins}.0), 6) AS hi, COALESCE(c.cnt, 0) AS count
+FROM (SELECT CAST(unnest(generate_series(1, {bins})) AS INTEGER) AS bin) g, r
+LEFT JOIN c ON c.bin = g.bin ORDER BY g.bin""", f"""x AS (SELECT {expr} AS x FROM sample WHERE {expr} IS NOT NULL),
+r AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM x),
+c AS (SELECT COALESCE(LEAST(CAST(floor((x.x - r.lo) / NULLIF((r.hi - r.lo) / {bins}.0, 0)) AS INTEGER) + 1, {bins}), 1)
+             AS bin, COUNT(*) AS cnt FROM x, r GROUP BY 1)""")
+
+
+@register("describe_target", O.over_sample("""
+SELECT COUNT(total_amount) AS count, round(AVG(total_amount), 6) AS mean,
+       round(stddev_samp(total_amount), 6) AS std, round(MIN(total_amount), 6) AS min,
+       round(quantile_cont(total_amount, 0.25), 6) AS p25, round(quantile_cont(total_amount, 0.5), 6) AS p50,
+       round(quantile_cont(total_amount, 0.75), 6) AS p75, round(MAX(total_amount), 6) AS max
+FROM sample"""))
+def q_describe_target(spark, sf_dir):
+    return profile.describe(sample_table(spark, sf_dir), "total_amount")
+
+
+@register("null_profile", O.over_sample(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS nulls FROM sample" for c in schemas.SAMPLE_COLUMNS)
+    + ") WHERE nulls > 0 ORDER BY nulls DESC, column_name"))
+def q_null_profile(spark, sf_dir):
+    return profile.null_profile(sample_table(spark, sf_dir))
+
+
+@register("cardinality", O.over_sample(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_unique FROM sample"
+                       for c in CATEGORICALS) + " ORDER BY column_name"))
+def q_cardinality(spark, sf_dir):
+    return profile.cardinality(sample_table(spark, sf_dir), CATEGORICALS)
+
+
+@register("topk_values", O.over_sample("""
+SELECT pu_zone, COUNT(*) AS n FROM sample WHERE pu_zone IS NOT NULL
+GROUP BY pu_zone ORDER BY n DESC, pu_zone LIMIT 20"""))
+def q_topk_values(spark, sf_dir):
+    return profile.top_values(sample_table(spark, sf_dir), "pu_zone", 20)
+
+
+@register("hist_raw", _hist_sql("total_amount"))
+def q_hist_raw(spark, sf_dir):
+    return profile.histogram(sample_table(spark, sf_dir), F.col("total_amount"), 50)
+
+
+@register("hist_log", _hist_sql("ln(1 + total_amount)"))
+def q_hist_log(spark, sf_dir):
+    return profile.histogram(sample_table(spark, sf_dir), F.log1p("total_amount"), 50)
+
+
+@register("rows_per_month", O.over_sample("""
+SELECT year, month, COUNT(*) AS rows FROM sample GROUP BY year, month ORDER BY year, month"""))
+def q_rows_per_month(spark, sf_dir):
+    return profile.rows_per(sample_table(spark, sf_dir), ["year", "month"])
