@@ -236,3 +236,266 @@ def q_hist_log(spark, sf_dir):
 SELECT year, month, COUNT(*) AS rows FROM sample GROUP BY year, month ORDER BY year, month"""))
 def q_rows_per_month(spark, sf_dir):
     return profile.rows_per(sample_table(spark, sf_dir), ["year", "month"])
+
+
+# ------------------------------------------------------------ features and models
+
+import numpy as np  # noqa: E402
+
+from cabline.operators import diagnose as DG  # noqa: E402
+from cabline.operators import features as FT  # noqa: E402
+from cabline.operators import linear as LN  # noqa: E402
+from cabline.operators.gram import collect_grams  # noqa: E402
+
+TWO = ("trip_distance", "base_fare_components")
+GD_INIT = tuple(float(v) for v in LN.initial_weights(2, 42))
+
+
+def feature_frame(spark, sf_dir):
+    s = FT.create_features(sample_table(spark, sf_dir))
+    return FT.split_by_month(FT.prepare_features(s))
+
+
+def two_feature_design(spark, sf_dir):
+    """Scaled trip_distance and base_fare_components (train statistics), target y."""
+    f = feature_frame(spark, sf_dir)
+    pre = FT.Preprocessor(numeric=TWO, categorical=(), binary=(), interaction=None).fit(f.where("split = 'train'"))
+    return pre.transform(f.withColumn("y", F.col(FT.TARGET)), keep=["split", "y", "pickup_datetime"])
+
+
+def _fit_two(spark, sf_dir, solver):
+    d = two_feature_design(spark, sf_dir)
+    g = collect_grams(d.where("split = 'train'"), 2)["all"]
+    return d, solver(g)
+
+
+def _weights_df(spark, fit):
+    rows = [(n, float(round(w, 6))) for n, w in zip(TWO, fit.weights)] + [("bias", float(round(fit.bias, 6)))]
+    return spark.createDataFrame(rows, "feature string, weight double")
+
+
+@register("feature_flags", O.over_sample("""
+SELECT CAST((pickup_hour BETWEEN 7 AND 9) OR (pickup_hour BETWEEN 17 AND 19) AS INTEGER) AS is_rush_hour,
+       CAST(pickup_dow IN (5, 6) AS INTEGER) AS is_weekend,
+       CAST(pickup_hour >= 20 OR pickup_hour <= 5 AS INTEGER) AS is_night, COUNT(*) AS n
+FROM sample GROUP BY 1, 2, 3"""))
+def q_feature_flags(spark, sf_dir):
+    f = FT.create_features(sample_table(spark, sf_dir))
+    return f.groupBy(*[F.col(c).cast("int").alias(c) for c in FT.BINARY]).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("topk_other", O.over_sample("""
+SELECT CASE WHEN pu_zone IN (SELECT pu_zone FROM top) THEN pu_zone ELSE 'Other' END AS pu_zone_processed,
+       COUNT(*) AS n FROM sample GROUP BY 1""", """top AS (
+  SELECT pu_zone FROM sample WHERE pu_zone IS NOT NULL GROUP BY pu_zone ORDER BY COUNT(*) DESC, pu_zone LIMIT 20)"""))
+def q_topk_other(spark, sf_dir):
+    f = FT.create_features(sample_table(spark, sf_dir))
+    return f.groupBy("pu_zone_processed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("fare_components", O.over_sample("""
+SELECT service_type, round(AVG(fare_amount + extra + mta_tax + improvement_surcharge), 6) AS avg_base,
+       round(MIN(fare_amount + extra + mta_tax + improvement_surcharge), 6) AS min_base,
+       round(MAX(fare_amount + extra + mta_tax + improvement_surcharge), 6) AS max_base
+FROM sample GROUP BY service_type"""))
+def q_fare_components(spark, sf_dir):
+    f = FT.create_features(sample_table(spark, sf_dir))
+    b = F.col("base_fare_components")
+    return f.groupBy("service_type").agg(F.round(F.avg(b), 6).alias("avg_base"), F.round(F.min(b), 6).alias("min_base"),
+                                         F.round(F.max(b), 6).alias("max_base"))
+
+
+@register("split_months", O.over_features("SELECT month, split, COUNT(*) AS n FROM feat GROUP BY month, split"))
+def q_split_months(spark, sf_dir):
+    f = feature_frame(spark, sf_dir)
+    return f.groupBy(F.col("month").cast("int").alias("month"), "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("split_time_range", O.over_features("""
+SELECT split, MIN(pickup_datetime) AS first_pickup, MAX(pickup_datetime) AS last_pickup, COUNT(*) AS n
+FROM feat GROUP BY split"""))
+def q_split_time_range(spark, sf_dir):
+    return (feature_frame(spark, sf_dir).groupBy("split")
+            .agg(F.min("pickup_datetime").alias("first_pickup"), F.max("pickup_datetime").alias("last_pickup"),
+                 F.count(F.lit(1)).alias("n")))
+
+
+@register("split_years", O.over_sample("""
+SELECT year, CASE WHEN year <= 1999 THEN 'train' WHEN year = 2000 THEN 'validation' ELSE 'test' END AS split,
+       COUNT(*) AS n FROM sample GROUP BY 1, 2"""))
+def q_split_years(spark, sf_dir):
+    return FT.split_by_years(sample_table(spark, sf_dir)).groupBy("year", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+_NUM_SQL = {
+    "trip_distance": "trip_distance", "passenger_count": "passenger_count", "pickup_hour": "pickup_hour",
+    "base_fare_components": "base_fare_components", "congestion_surcharge": "congestion_surcharge",
+    "airport_fee": "airport_fee", "pickup_dow": "pickup_dow", "month": "month", "year": "year",
+}
+
+
+@register("impute_scale", O.over_features(" UNION ALL ".join(
+    f"SELECT '{k}' AS feature, round(AVG(COALESCE(CAST({v} AS DOUBLE), 0)), 6) AS mean, "
+    f"round(stddev_pop(COALESCE(CAST({v} AS DOUBLE), 0)), 6) AS std FROM feat WHERE split = 'train'"
+    for k, v in _NUM_SQL.items())))
+def q_impute_scale(spark, sf_dir):
+    f = feature_frame(spark, sf_dir)
+    pre = FT.Preprocessor(categorical=(), binary=(), interaction=None).fit(f.where("split = 'train'"))
+    rows = [(c, float(round(pre.means[c], 6)), float(round(pre.stds[c], 6))) for c in pre.numeric]
+    return spark.createDataFrame(rows, "feature string, mean double, std double")
+
+
+_CAT_SQL = {
+    "service_type": "service_type", "vendor_id": "vendor_id", "rate_code_id": "rate_code_id",
+    "pu_borough": "pu_borough",
+}
+
+
+@register("one_hot", O.over_features(" UNION ALL ".join(f"""
+SELECT '{k}' AS feature, c.category, c.slot, COUNT(v.val) AS val_ones FROM
+  (SELECT category, CAST(row_number() OVER (ORDER BY category) AS INTEGER) AS slot FROM
+     (SELECT DISTINCT COALESCE(CAST({e} AS VARCHAR), 'missing') AS category FROM feat WHERE split = 'train')) c
+  LEFT JOIN (SELECT COALESCE(CAST({e} AS VARCHAR), 'missing') AS val FROM feat WHERE split = 'validation') v
+  ON v.val = c.category GROUP BY c.category, c.slot""" for k, e in _CAT_SQL.items())))
+def q_one_hot(spark, sf_dir):
+    f = feature_frame(spark, sf_dir)
+    cats = list(_CAT_SQL)
+    pre = FT.Preprocessor(numeric=(), categorical=cats, binary=(), interaction=None).fit(f.where("split = 'train'"))
+    x = pre.transform(f.where("split = 'validation'"))
+    sums = x.agg(*[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(len(pre.feature_names()))]).first()
+    rows, i = [], 0
+    for c in cats:
+        for slot, v in enumerate(pre.categories[c], start=1):
+            rows.append((c, v, slot, int(sums[f"s{i}"] or 0)))
+            i += 1
+    return spark.createDataFrame(rows, "feature string, category string, slot int, val_ones long")
+
+
+@register("interaction", O.over_features("""
+SELECT round(SUM(x1), 4) AS sum_a, round(SUM(x2), 4) AS sum_b, round(SUM(x1 * x2), 4) AS sum_ab, COUNT(*) AS n
+FROM d WHERE split = 'validation'"""))
+def q_interaction(spark, sf_dir):
+    f = feature_frame(spark, sf_dir)
+    pre = FT.Preprocessor(numeric=TWO, categorical=(), binary=(), interaction=TWO).fit(f.where("split = 'train'"))
+    x = pre.transform(f.where("split = 'validation'"))
+    return x.agg(F.round(F.sum(F.col("x")[2]), 4).alias("sum_a"), F.round(F.sum(F.col("x")[3]), 4).alias("sum_b"),
+                 F.round(F.sum(F.col("x")[4]), 4).alias("sum_ab"), F.count(F.lit(1)).alias("n"))
+
+
+_GRAM_NAMES = ["one", "trip_distance", "base_fare_components", "y"]
+
+
+@register("gram_matrix", O.over_features("""
+SELECT i, j, round(v, 4) + 0.0 AS v FROM (
+  SELECT 0 AS i, 0 AS j, n AS v FROM g UNION ALL SELECT 0, 1, s1 FROM g UNION ALL SELECT 0, 2, s2 FROM g
+  UNION ALL SELECT 0, 3, sy FROM g UNION ALL SELECT 1, 1, a11 FROM g UNION ALL SELECT 1, 2, a12 FROM g
+  UNION ALL SELECT 1, 3, b1 FROM g UNION ALL SELECT 2, 2, a22 FROM g UNION ALL SELECT 2, 3, b2 FROM g
+  UNION ALL SELECT 3, 3, yy FROM g)"""))
+def q_gram_matrix(spark, sf_dir):
+    g = collect_grams(two_feature_design(spark, sf_dir).where("split = 'train'"), 2)["all"]
+    full = np.zeros((4, 4))
+    full[0, 0], full[0, 1:3], full[0, 3] = g.n, g.sx, g.sy
+    full[1:3, 1:3], full[1:3, 3], full[3, 3] = g.xtx, g.xty, g.yty
+    rows = [(i, j, float(round(full[i, j], 4)) + 0.0) for i in range(4) for j in range(i, 4)]
+    return spark.createDataFrame(rows, "i int, j int, v double")
+
+
+@register("ridge", O.over_features(O.WEIGHTS_BODY, O.ridge_cte(1.0)))
+def q_ridge(spark, sf_dir):
+    return _weights_df(spark, _fit_two(spark, sf_dir, lambda g: LN.ridge(g, 1.0))[1])
+
+
+@register("lasso", O.over_features(O.WEIGHTS_BODY, O.cd_cte(0.1, 0.0)))
+def q_lasso(spark, sf_dir):
+    return _weights_df(spark, _fit_two(spark, sf_dir, lambda g: LN.lasso(g, 0.1))[1])
+
+
+@register("elastic_net", O.over_features(O.WEIGHTS_BODY, O.cd_cte(0.1 * 0.5, 0.1 * 0.5)))
+def q_elastic_net(spark, sf_dir):
+    return _weights_df(spark, _fit_two(spark, sf_dir, lambda g: LN.elastic_net(g, 0.1, 0.5))[1])
+
+
+@register("gradient_descent", O.over_features(O.WEIGHTS_BODY, O.gd_cte(GD_INIT)))
+def q_gradient_descent(spark, sf_dir):
+    return _weights_df(spark, _fit_two(spark, sf_dir, lambda g: LN.gradient_descent(g, 0.01, 1000, 1e-4, 0.0))[1])
+
+
+def _ridge_residuals(spark, sf_dir, split):
+    d, fit = _fit_two(spark, sf_dir, lambda g: LN.ridge(g, 1.0))
+    return d.where(F.col("split") == split).select("y", (F.col("y") - LN.predict(fit)).alias("e"), "pickup_datetime")
+
+
+_SCORE_SQL = """round(sqrt(AVG(e * e)), 6) AS rmse, round(AVG(abs(e)), 6) AS mae,
+       round(1 - SUM(e * e) / (COUNT(*) * var_pop(y)), 6) AS r2"""
+
+
+@register("metrics", O.over_features(f"SELECT {_SCORE_SQL} FROM res WHERE split = 'validation'",
+                                     O.ridge_cte(1.0) + ",\n" + O.RESID_CTE))
+def q_metrics(spark, sf_dir):
+    r = _ridge_residuals(spark, sf_dir, "validation")
+    s = LN.scores(r.withColumn("_p", F.col("y") - F.col("e")), F.col("_p"))
+    return s.select(*[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+
+
+@register("baselines", O.over_features("""
+SELECT b.model, round(sqrt(AVG((d.y - b.p) * (d.y - b.p))), 6) AS rmse, round(AVG(abs(d.y - b.p)), 6) AS mae,
+       round(1 - SUM((d.y - b.p) * (d.y - b.p)) / (COUNT(*) * var_pop(d.y)), 6) AS r2
+FROM d, base b WHERE d.split = 'validation' GROUP BY b.model""", """base AS (
+  SELECT 'Baseline (Mean)' AS model, AVG(y) AS p FROM d WHERE split = 'train' UNION ALL
+  SELECT 'Baseline (Median)', quantile_cont(y, 0.5) FROM d WHERE split = 'train')"""))
+def q_baselines(spark, sf_dir):
+    d = two_feature_design(spark, sf_dir)
+    mean, med = DG.baseline_predictions(d.where("split = 'train'"))
+    val = d.where("split = 'validation'")
+    out = []
+    for name, p in (("Baseline (Mean)", mean), ("Baseline (Median)", med)):
+        s = LN.scores(val, F.lit(p)).first()
+        out.append((name, float(round(s["rmse"], 6)), float(round(s["mae"], 6)), float(round(s["r2"], 6))))
+    return spark.createDataFrame(out, "model string, rmse double, mae double, r2 double")
+
+
+@register("residual_stats", O.over_features("""
+SELECT round(AVG(abs(e)), 6) AS mae, round(stddev_pop(e), 6) AS std, round(median(abs(e)), 6) AS median_abs,
+       round(AVG(CASE WHEN abs(e) < 2 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_lt_2,
+       round(AVG(CASE WHEN abs(e) < 5 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_lt_5
+FROM res WHERE split = 'test'""", O.ridge_cte(1.0) + ",\n" + O.RESID_CTE))
+def q_residual_stats(spark, sf_dir):
+    return DG.residual_stats(_ridge_residuals(spark, sf_dir, "test"))
+
+
+@register("abs_error_percentiles", O.over_features("""
+SELECT round(quantile_cont(abs(e), 0.5), 6) AS p50, round(quantile_cont(abs(e), 0.8), 6) AS p80,
+       round(quantile_cont(abs(e), 0.95), 6) AS p95,
+       round(AVG(CASE WHEN abs(e) < 3 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_lt_3
+FROM res WHERE split = 'test'""", O.ridge_cte(1.0) + ",\n" + O.RESID_CTE))
+def q_abs_error_percentiles(spark, sf_dir):
+    return DG.abs_error_percentiles(_ridge_residuals(spark, sf_dir, "test"))
+
+
+@register("error_deciles", O.over_features("""
+SELECT bucket, round(edges[bucket], 4) AS lo, round(edges[bucket + 1], 4) AS hi, round(AVG(e), 4) AS mean,
+       round(stddev_samp(e), 4) AS std, COUNT(*) AS count
+FROM (SELECT t.y, t.e, q.edges, GREATEST(1, len(list_filter(q.edges, lambda x: x < t.y))) AS bucket
+      FROM (SELECT * FROM res WHERE split = 'test') t, q)
+GROUP BY bucket, edges ORDER BY bucket""", O.ridge_cte(1.0) + ",\n" + O.RESID_CTE + """,
+q AS (SELECT list_sort(list_distinct(quantile_cont(y, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])))
+      AS edges FROM res WHERE split = 'test')"""))
+def q_error_deciles(spark, sf_dir):
+    return DG.error_by_quantile_bucket(_ridge_residuals(spark, sf_dir, "test"))
+
+
+@register("error_price_buckets", O.over_features("""
+SELECT bucket, round(AVG(e), 4) AS mean, round(stddev_samp(e), 4) AS std, COUNT(*) AS count FROM (
+  SELECT e, CASE WHEN y > 0 AND y <= 10 THEN 1 WHEN y > 10 AND y <= 20 THEN 2 WHEN y > 20 AND y <= 30 THEN 3
+                 WHEN y > 30 AND y <= 50 THEN 4 WHEN y > 50 AND y <= 100 THEN 5 WHEN y > 100 THEN 6 END AS bucket
+  FROM res WHERE split = 'test') WHERE bucket IS NOT NULL GROUP BY bucket ORDER BY bucket""",
+    O.ridge_cte(1.0) + ",\n" + O.RESID_CTE))
+def q_error_price_buckets(spark, sf_dir):
+    return DG.error_by_price_bucket(_ridge_residuals(spark, sf_dir, "test"))
+
+
+@register("qq_points")
+def q_qq_points(spark, sf_dir):
+    r = _ridge_residuals(spark, sf_dir, "test")
+    r = r.withColumn("_id", F.xxhash64("pickup_datetime", "y", "e"))
+    return DG.qq_points(r, "e", "_id")
