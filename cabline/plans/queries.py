@@ -499,3 +499,48 @@ def q_qq_points(spark, sf_dir):
     r = _ridge_residuals(spark, sf_dir, "test")
     r = r.withColumn("_id", F.xxhash64("pickup_datetime", "y", "e"))
     return DG.qq_points(r, "e", "_id")
+
+
+# ------------------------------------------------------------ full modelling job
+
+from cabline.plans import model as MJ  # noqa: E402
+
+
+def _run(spark, sf_dir):
+    return MJ.prepare(sample_table(spark, sf_dir))
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    return MJ.leaderboard(spark, _run(spark, sf_dir))
+
+
+@register("grid_holdout")
+def q_grid_holdout(spark, sf_dir):
+    return MJ.grid_frame(spark, MJ.grid_holdout(_run(spark, sf_dir)), "From Scratch")
+
+
+@register("grid_cv")
+def q_grid_cv(spark, sf_dir):
+    return MJ.grid_frame(spark, MJ.grid_cv(_run(spark, sf_dir)), "Library")
+
+
+def _test_board(spark, sf_dir):
+    run = _run(spark, sf_dir)
+    return run, MJ.refit_test(spark, run, MJ.grid_holdout(run), MJ.grid_cv(run))
+
+
+@register("refit_test")
+def q_refit_test(spark, sf_dir):
+    return _test_board(spark, sf_dir)[1]
+
+
+@register("best_model")
+def q_best_model(spark, sf_dir):
+    return MJ.best_model(_test_board(spark, sf_dir)[1])
+
+
+@register("report")
+def q_report(spark, sf_dir):
+    run, board = _test_board(spark, sf_dir)
+    return MJ.report(spark, run, board)
