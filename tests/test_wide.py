@@ -36,7 +36,6 @@ def test_edges(spark):
     ]
     out = wide_projection(_raw(spark, rows), SERVICES["yellow"], _zones(spark)).collect()
     assert len(out) == 5
-    r = {i: row for i, row in enumerate(out)} if False else None
     by_vendor = {row["vendor_id"]: row for row in out}
     assert by_vendor[1]["trip_duration_min"] == 0.0 and by_vendor[1]["avg_speed_mph"] is None
     assert by_vendor[2]["trip_duration_min"] == 0.0 and by_vendor[2]["tip_pct"] is None
