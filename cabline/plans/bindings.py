@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabline.operators.joins import ensure_parallelism
 from cabline.sources.conform import conform_schema
 from cabline import schemas
 
@@ -34,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str, service: str | None = None) -> DataFrame:
     """Trips (of one service, or all) with service-neutral column names."""
-    l = table(spark, sf_dir, "lineitem")
+    l = ensure_parallelism(table(spark, sf_dir, "lineitem"))
     if service is not None:
         status = {v: k for k, v in SERVICE_OF_STATUS.items()}[service]
         l = l.where(F.col("l_linestatus") == status)   # reaches the scan as a pushed filter
