@@ -20,6 +20,7 @@ from cabline.operators import linear as LN
 from cabline.operators.gram import collect_grams
 from cabline.operators.ranking import rank_within
 from cabline.operators.sample import ntile_of
+from cabline.session import materialize
 
 # Model settings and search grids of the original study.
 SCRATCH = {"SGD": dict(learning_rate=0.01, max_iter=1000), "Ridge": dict(alpha=1.0),
@@ -72,7 +73,7 @@ def prepare(sample: DataFrame) -> ModelRun:
     f = FT.split_by_month(FT.prepare_features(FT.create_features(sample)))
     pre = FT.Preprocessor().fit(f.where("split = 'train'"))
     design = pre.transform(f.withColumn("y", F.col(FT.TARGET)), keep=["split", "y", "pickup_datetime"])
-    design = design.checkpoint()
+    design = materialize(design, "design")
     grams = collect_grams(design, len(pre.feature_names()), "split")
     return ModelRun(design, pre, grams)
 

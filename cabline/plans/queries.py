@@ -78,7 +78,7 @@ def q_wide_summary_range(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from cabline import schemas  # noqa: E402
-from cabline.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from cabline.session import materialize, scratch_path  # noqa: E402
 from cabline.sources import ledger as LG  # noqa: E402
 from cabline.sources import sinks  # noqa: E402
 from cabline.sources.conform import conform_schema  # noqa: E402
@@ -166,15 +166,15 @@ from cabline.operators import sample as SM  # noqa: E402
 
 
 def sample_table(spark, sf_dir):
-    """The modelling sample, materialised once (reliable checkpoint in the shared
-    checkpoint folder): every later stage reads it several times.
+    """The modelling sample, materialised once as a table in the shared checkpoint
+    folder: every later stage reads it several times.
 
     Here the wide table is virtual (recomputed from the bindings' joins), so the
-    filtered 22-column projection is checkpointed before the ranking passes read it;
+    filtered 22-column projection is also written before the ranking passes read it;
     the modelling job proper reads a stored wide table and skips that step."""
-    ensure_checkpoint_dir(spark)
     filt = SM.quality_filter(wide_table(spark, sf_dir), O.SAMPLE_YEARS).select(*schemas.SAMPLE_COLUMNS)
-    return SM.stratified_time_sample(filt.checkpoint(), O.ROWS_PER_YEAR).checkpoint()
+    filt = materialize(filt, "filtered")
+    return materialize(SM.stratified_time_sample(filt, O.ROWS_PER_YEAR), "sample")
 
 
 @register("quality_filter", O.over_sample("SELECT * FROM filt"))

@@ -58,3 +58,11 @@ def as_local_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return os.path.exists(as_local_path(path))
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table under the shared checkpoint
+    folder and reading it back (columnar, so later passes keep column pruning)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
