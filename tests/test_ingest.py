@@ -84,3 +84,13 @@ def test_conform_case_alias_and_backfill(spark):
     assert conform_schema(bad, target, tolerant=True).first()["VendorID"] is None
     with pytest.raises(Exception):
         conform_schema(bad, target).collect()
+
+
+def test_read_months_one_scan(spark, landing):
+    from cabline.sources.files import read_months
+    base, expected = landing
+    paths = [source_path(base, "yellow", y, m) for y, m in MONTHS[:2]]
+    df = read_months(spark, paths)
+    got = {(r["_file_year"], r["_file_month"]): r["count"]
+           for r in df.groupBy("_file_year", "_file_month").count().collect()}
+    assert got == {(1996, 1): expected[(1996, 1)], (1996, 2): expected[(1996, 2)]}
