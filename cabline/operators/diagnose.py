@@ -111,3 +111,20 @@ def qq_line(points: DataFrame) -> DataFrame:
     return points.agg(F.regr_slope("ordered", "theoretical").alias("slope"),
                       F.regr_intercept("ordered", "theoretical").alias("intercept"),
                       F.corr("ordered", "theoretical").alias("r"))
+
+
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 100) -> DataFrame:
+    """Point set of a scatter (e.g. residual vs predicted, predicted vs actual) as counts
+    on a bins x bins grid between the observed ranges: bounded output at any size."""
+    rng = df.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"))
+    d = attach(df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()), rng)
+
+    def cell(c, lo, hi):
+        w = F.nullif((F.col(hi) - F.col(lo)) / F.lit(float(bins)), F.lit(0.0))
+        return F.coalesce(F.least(F.floor((F.col(c) - F.col(lo)) / w).cast("int"), F.lit(bins - 1)), F.lit(0))
+
+    return (d.select(cell(x, "_x0", "_x1").alias("bx"), cell(y, "_y0", "_y1").alias("by"), "_x0", "_x1", "_y0", "_y1")
+            .groupBy("bx", "by").agg(F.count(F.lit(1)).alias("n"),
+                                     F.first("_x0").alias("x_min"), F.first("_x1").alias("x_max"),
+                                     F.first("_y0").alias("y_min"), F.first("_y1").alias("y_max"))
+            .orderBy("bx", "by"))

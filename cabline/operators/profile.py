@@ -68,9 +68,11 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return long.where(F.col("nulls") > 0).orderBy(F.desc("nulls"), "column_name")
 
 
-def cardinality(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct non-NULL values per column."""
-    wide = df.agg(*[F.countDistinct(c).alias(c) for c in columns])
+def cardinality(df: DataFrame, columns: list[str], approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct non-NULL values per column; ``approx`` uses HyperLogLog++ sketches
+    (fixed memory per column instead of exact distinct sets)."""
+    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
+    wide = df.agg(*[agg(c).alias(c) for c in columns])
     return wide.unpivot([], columns, "column_name", "n_unique").orderBy("column_name")
 
 

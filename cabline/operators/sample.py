@@ -29,6 +29,11 @@ def quality_filter(wide: DataFrame, years: Iterable[int] | None = None) -> DataF
     return wide.where(cond)
 
 
+def basic_quality_filter(wide: DataFrame) -> DataFrame:
+    """The documented lighter rule set: positive total and positive distance."""
+    return wide.where((F.col("total_amount") > 0) & (F.col("trip_distance") > 0))
+
+
 def buckets_per_month(rows_per_year: int) -> Column:
     """Bucket count of a month: the year's quota spread over 12 months, the remainder
     going one each to the first months."""

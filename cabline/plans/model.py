@@ -21,6 +21,7 @@ from cabline.operators.gram import collect_grams
 from cabline.operators.ranking import rank_within
 from cabline.operators.sample import ntile_of
 from cabline.session import materialize
+from cabline.sources.conform import require_columns
 
 # Model settings and search grids of the original study.
 SCRATCH = {"SGD": dict(learning_rate=0.01, max_iter=1000), "Ridge": dict(alpha=1.0),
@@ -71,6 +72,7 @@ class ModelRun:
 
 def prepare(sample: DataFrame) -> ModelRun:
     f = FT.split_by_month(FT.prepare_features(FT.create_features(sample)))
+    require_columns(f, [*FT.NUMERIC, *FT.CATEGORICAL, *FT.BINARY, FT.TARGET])
     pre = FT.Preprocessor().fit(f.where("split = 'train'"))
     design = pre.transform(f.withColumn("y", F.col(FT.TARGET)), keep=["split", "y", "pickup_datetime"])
     design = materialize(design, "design")

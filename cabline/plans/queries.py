@@ -134,11 +134,11 @@ WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.status = 'OK' AND l.service = g
                   AND l.year = g.year AND l.month = g.month)""")
 def q_ingest_worklist(spark, sf_dir):
     t = B.trips(spark, sf_dir)
-    years = t.agg(F.explode(F.sequence(F.min("source_year"), F.max("source_year"))).alias("year"))
-    services = spark.createDataFrame([("yellow",), ("green",)], "service string")
-    months = spark.range(1, 13).select(F.col("id").cast("int").alias("month"))
-    wanted = services.crossJoin(years.select(F.col("year").cast("int"))).crossJoin(months)
-    return LG.pending_months(wanted, B.ledger_attempts(spark, sf_dir))
+    wanted = (t.agg(F.explode(F.sequence(F.min("source_year"), F.max("source_year"))).alias("year"))
+              .withColumn("year", F.col("year").cast("int"))
+              .withColumn("service", F.explode(F.array(F.lit("yellow"), F.lit("green"))))
+              .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))))
+    return LG.pending_months(wanted.select("service", "year", "month"), B.ledger_attempts(spark, sf_dir))
 
 
 @register("ledger_summary", f"""
@@ -557,3 +557,9 @@ def q_best_model(spark, sf_dir):
 def q_report(spark, sf_dir):
     run, board = _test_board(spark, sf_dir)
     return MJ.report(spark, run, board)
+
+
+@register("residual_scatter")
+def q_residual_scatter(spark, sf_dir):
+    r = _ridge_residuals(spark, sf_dir, "test").withColumn("predicted", F.col("y") - F.col("e"))
+    return DG.scatter_bins(r, "predicted", "e", 50)

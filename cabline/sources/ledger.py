@@ -38,11 +38,9 @@ def append_ledger(spark: SparkSession, path: str, service: str, year: int, month
 
 def month_grid(spark: SparkSession, services: Iterable[str], years: Iterable[int],
                months: Iterable[int] = range(1, 13)) -> DataFrame:
-    """services x years x months as a (small) DataFrame."""
-    s = spark.createDataFrame([(x,) for x in services], "service string")
-    y = spark.createDataFrame([(int(x),) for x in years], "year int")
-    m = spark.createDataFrame([(int(x),) for x in months], "month int")
-    return s.crossJoin(y).crossJoin(m)
+    """All (service, year, month) combinations of the job parameters (a small frame)."""
+    rows = [(s, int(y), int(m)) for s in services for y in years for m in months]
+    return spark.createDataFrame(rows, "service string, year int, month int")
 
 
 def loaded(ledger: DataFrame, statuses: Iterable[str] = (OK,)) -> DataFrame:

@@ -43,13 +43,24 @@ def full_rebuild(df: DataFrame, path: str, overwrite: bool,
     return write_table(df, path, "overwrite" if overwrite else "append", partition_by)
 
 
-def existing_partitions(spark: SparkSession, path: str,
-                        keys: Sequence[str] = WIDE_PARTITIONS) -> DataFrame:
-    """Row count per existing partition (one aggregation over partition columns only)."""
+def existing_partitions(spark: SparkSession, path: str, keys: Sequence[str] = WIDE_PARTITIONS,
+                        only: Iterable[tuple] | None = None) -> DataFrame:
+    """Row count per existing partition, over partition columns only; with ``only`` the
+    filter on partition columns prunes the listing to those partitions."""
     if not table_exists(spark, path):
         return spark.createDataFrame([], ", ".join(f"{k} {'int' if k.endswith('year') else 'string'}"
                                                    for k in keys) + ", rows long")
-    return spark.read.parquet(path).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    t = spark.read.parquet(path)
+    if only is not None:
+        cond = None
+        for w in only:
+            c = None
+            for k, v in zip(keys, w):
+                c = (F.col(k) == F.lit(v)) if c is None else (c & (F.col(k) == F.lit(v)))
+            cond = c if cond is None else (cond | c)
+        if cond is not None:
+            t = t.where(cond)
+    return t.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def partition_replace(spark: SparkSession, df: DataFrame, path: str, wanted: Iterable[tuple],
@@ -60,7 +71,7 @@ def partition_replace(spark: SparkSession, df: DataFrame, path: str, wanted: Ite
     Returns ``{"written": rows, "skipped": [...], "replaced": [...], "new": [...]}``.
     """
     wanted = [tuple(w) for w in wanted]
-    have = {tuple(r[:len(keys)]): r["rows"] for r in existing_partitions(spark, path, keys).collect()}
+    have = {tuple(r[:len(keys)]): r["rows"] for r in existing_partitions(spark, path, keys, wanted).collect()}
     skipped = [w for w in wanted if have.get(w, 0) > 0 and not overwrite]
     todo = [w for w in wanted if w not in skipped]
     if not todo:

@@ -94,3 +94,18 @@ def test_read_months_one_scan(spark, landing):
     got = {(r["_file_year"], r["_file_month"]): r["count"]
            for r in df.groupBy("_file_year", "_file_month").count().collect()}
     assert got == {(1996, 1): expected[(1996, 1)], (1996, 2): expected[(1996, 2)]}
+
+
+def test_zone_csv_dimension(spark):
+    from cabline.plans.ingest import load_dimension
+    d = tempfile.mkdtemp(prefix="cabline-zones-")
+    with open(os.path.join(d, "zones.csv"), "w") as f:
+        f.write("LocationID,Borough,Zone,Service Zone\n1,EWR,Newark Airport,EWR\n2,Queens,Jamaica Bay,Boro Zone\n")
+    n = load_dimension(spark, os.path.join(d, "zones.csv"), os.path.join(d, "out"), "z1")
+    z = spark.read.parquet(os.path.join(d, "out"))
+    assert n == 2 and set(z.columns) >= {"locationid", "zone", "borough", "service_zone", "run_tag"}
+    assert {r["locationid"]: r["service_zone"] for r in z.collect()} == {1: "EWR", 2: "Boro Zone"}
+    with open(os.path.join(d, "dup.csv"), "w") as f:
+        f.write("LocationID,Borough,Zone,service_zone\n1,A,B,C\n1,A,B,C\n")
+    with pytest.raises(ValueError):
+        load_dimension(spark, os.path.join(d, "dup.csv"), os.path.join(d, "out2"), "z1")
