@@ -563,3 +563,48 @@ def q_report(spark, sf_dir):
 def q_residual_scatter(spark, sf_dir):
     r = _ridge_residuals(spark, sf_dir, "test").withColumn("predicted", F.col("y") - F.col("e"))
     return DG.scatter_bins(r, "predicted", "e", 50)
+
+
+# ------------------------------------------------------ two-feature boards (SQL-checked)
+
+RIDGE_GRID = [0.01, 0.1, 1.0, 10.0]
+_TWO_MODELS = [("SGD", "f_sgd"), ("Ridge", "f_ridge"), ("Lasso", "f_lasso"), ("ElasticNet", "f_en")]
+
+
+def _two_fits(g):
+    return [LN.gradient_descent(g, 0.01, 1000, 1e-4, 0.0), LN.ridge(g, 1.0), LN.lasso(g, 0.1),
+            LN.elastic_net(g, 0.1, 0.5)]
+
+
+@register("leaderboard_two", O.over_features(
+    "SELECT * FROM (" + " UNION ALL ".join(O.val_score_sql(m, f) for m, f in _TWO_MODELS + [
+        ("Baseline (Mean)", "f_mean"), ("Baseline (Median)", "f_median")]) + ") ORDER BY val_rmse, model",
+    ",\n".join([O.gd_cte(GD_INIT, name="f_sgd"), O.ridge_cte(1.0, name="f_ridge"),
+                 O.cd_cte(0.1, 0.0, name="f_lasso", rec="cd_l"), O.cd_cte(0.05, 0.05, name="f_en", rec="cd_e"),
+                 "f_mean AS (SELECT 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, AVG(y) AS b FROM d WHERE split = 'train')",
+                 "f_median AS (SELECT 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, quantile_cont(y, 0.5) AS b "
+                 "FROM d WHERE split = 'train')"])))
+def q_leaderboard_two(spark, sf_dir):
+    """Validation board of the four solvers and two baselines on the two-feature design,
+    all scored in one pass."""
+    d = two_feature_design(spark, sf_dir)
+    g = collect_grams(d.where("split = 'train'"), 2)["all"]
+    fits = _two_fits(g)
+    mean, med = DG.baseline_predictions(d.where("split = 'train'"))
+    fits += [LN.constant_fit("Baseline (Mean)", 2, mean), LN.constant_fit("Baseline (Median)", 2, med)]
+    sc = LN.score_many(d.where("split = 'validation'"), fits)
+    return (sc.select("model", F.round("rmse", 6).alias("val_rmse"), F.round("mae", 6).alias("val_mae"),
+                      F.round("r2", 6).alias("val_r2")).orderBy("val_rmse", "model"))
+
+
+@register("grid_ridge_two", O.over_features(
+    " UNION ALL ".join(
+        f"SELECT CAST({a} AS DOUBLE) AS alpha, val_rmse FROM ({O.val_score_sql('r', f'fr{i}')})" for i, a in enumerate(RIDGE_GRID)),
+    ",\n".join(O.ridge_cte(a, name=f"fr{i}") for i, a in enumerate(RIDGE_GRID))))
+def q_grid_ridge_two(spark, sf_dir):
+    """Ridge grid: every alpha solved from one train Gram, scored from the validation Gram."""
+    d = two_feature_design(spark, sf_dir)
+    grams = collect_grams(d.where("split != 'test'"), 2, "split")
+    rows = [(a, float(round(LN.rmse_from_gram(grams["validation"], LN.ridge(grams["train"], a)), 6)))
+            for a in RIDGE_GRID]
+    return spark.createDataFrame(rows, "alpha double, val_rmse double")
