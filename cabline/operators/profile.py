@@ -6,6 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cabline.operators.ranking import exact_percentiles
 
 
 def service_summary(wide: DataFrame) -> DataFrame:
@@ -39,9 +42,6 @@ def rows_per(df: DataFrame, keys: Iterable[str], name: str = "rows") -> DataFram
 
 # ------------------------------------------------------------------ EDA on a frame
 
-from pyspark.sql import types as T  # noqa: E402
-
-from cabline.operators.ranking import exact_percentiles  # noqa: E402
 
 
 def attach(df: DataFrame, small: DataFrame) -> DataFrame:

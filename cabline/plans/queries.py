@@ -8,12 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cabline import schemas
+from cabline.operators import diagnose as DG
+from cabline.operators import features as FT
+from cabline.operators import linear as LN
 from cabline.operators import profile
+from cabline.operators import sample as SM
+from cabline.operators.gram import collect_grams
 from cabline.operators.wide import build_wide
 from cabline.plans import bindings as B
+from cabline.plans import model as MJ
 from cabline.plans import oracle_sql as O
+from cabline.session import materialize, scratch_path
+from cabline.sources import ledger as LG
+from cabline.sources import sinks
+from cabline.sources.conform import conform_schema
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,13 +88,6 @@ def q_wide_summary_range(spark, sf_dir):
 
 # ------------------------------------------------------------ ingest side
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from cabline import schemas  # noqa: E402
-from cabline.session import materialize, scratch_path  # noqa: E402
-from cabline.sources import ledger as LG  # noqa: E402
-from cabline.sources import sinks  # noqa: E402
-from cabline.sources.conform import conform_schema  # noqa: E402
 
 _DRIFT_SELECT = ", ".join(
     "dropoff_datetime AS tpep_dropoff_datetime" if c == "tpep_dropoff_datetime" else
@@ -162,8 +168,6 @@ def q_ledger_error_rate(spark, sf_dir):
 
 # ------------------------------------------------------------ modelling sample
 
-from cabline.operators import sample as SM  # noqa: E402
-
 
 def sample_table(spark, sf_dir):
     """The modelling sample, materialised once as a table in the shared checkpoint
@@ -253,12 +257,6 @@ def q_rows_per_month(spark, sf_dir):
 
 # ------------------------------------------------------------ features and models
 
-import numpy as np  # noqa: E402
-
-from cabline.operators import diagnose as DG  # noqa: E402
-from cabline.operators import features as FT  # noqa: E402
-from cabline.operators import linear as LN  # noqa: E402
-from cabline.operators.gram import collect_grams  # noqa: E402
 
 TWO = ("trip_distance", "base_fare_components")
 GD_INIT = tuple(float(v) for v in LN.initial_weights(2, 42))
@@ -516,8 +514,6 @@ def q_qq_points(spark, sf_dir):
 
 # ------------------------------------------------------------ full modelling job
 
-from cabline.plans import model as MJ  # noqa: E402
-
 
 def _run(spark, sf_dir):
     return MJ.prepare(sample_table(spark, sf_dir))

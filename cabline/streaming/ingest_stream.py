@@ -37,9 +37,13 @@ def start(spark: SparkSession, source_dir: str, service: str, out: str, ledger_p
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         target = f"{out.rstrip('/')}/{service}"
-        sinks.write_table(batch, target, "overwrite", ("source_year", "source_month"), dynamic=True)
-        months = batch.groupBy("source_year", "source_month").agg(F.count(F.lit(1)).alias("rows")).collect()
-        for r in months:
+        batch.persist()          # read twice: the write and the per-month counts
+        try:
+            sinks.write_table(batch, target, "overwrite", ("source_year", "source_month"), dynamic=True)
+            months = batch.groupBy("source_year", "source_month").agg(F.count(F.lit(1)).alias("rows")).collect()
+        finally:
+            batch.unpersist()
+        for r in months:         # ledger rows only after the data commit
             LG.append_ledger(batch.sparkSession, ledger_path, service, r["source_year"], r["source_month"],
                              LG.OK, r["rows"], run_tag)
 
