@@ -30,10 +30,16 @@ MAX_SMALL_ROWS = 2_000_000
 
 
 def _key_as_double(df: DataFrame, col: str) -> Column:
+    """An order-preserving double for the key. Wall-clock (NTZ) timestamps and dates use
+    plain arithmetic, so the order never depends on the session time zone (a zone cast
+    would fold or skip wall times around daylight-saving changes)."""
     t = df.schema[col].dataType
     c = F.col(col)
-    if isinstance(t, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(t, (T.TimestampNTZType, T.DateType)):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")).cast("double")
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     return c.cast("double")
 
 

@@ -77,6 +77,11 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
 
 
+def utc_now() -> Column:
+    """Current UTC wall-clock time as TIMESTAMP_NTZ, whatever the session time zone."""
+    return F.expr("CAST(to_utc_timestamp(current_timestamp(), current_timezone()) AS TIMESTAMP_NTZ)")
+
+
 def add_metadata(df: DataFrame, year: int | Column, month: int | Column, run_tag: str,
                  ingested_at: Column | None = None, service: str | None = None) -> DataFrame:
     """Lineage columns run_tag, source_year, source_month, ingested_at_utc (+ service_type)."""
@@ -85,8 +90,7 @@ def add_metadata(df: DataFrame, year: int | Column, month: int | Column, run_tag
         "run_tag": F.lit(run_tag),
         "source_year": lit(year).cast("int"),
         "source_month": lit(month).cast("int"),
-        "ingested_at_utc": (ingested_at if ingested_at is not None
-                            else F.current_timestamp().cast("timestamp_ntz")),
+        "ingested_at_utc": ingested_at if ingested_at is not None else utc_now(),
     }
     if service is not None:
         cols["service_type"] = F.lit(service)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cabline import schemas
 from cabline.sources import ledger as LG
 from cabline.sources import sinks
-from cabline.sources.conform import conform_schema
+from cabline.sources.conform import conform_schema, utc_now
 from cabline.sources.files import _PATH_RE
 
 
@@ -31,7 +31,7 @@ def start(spark: SparkSession, source_dir: str, service: str, out: str, ledger_p
         "run_tag": F.lit(run_tag),
         "source_year": F.regexp_extract(fp, _PATH_RE, 2).cast("int"),
         "source_month": F.regexp_extract(fp, _PATH_RE, 3).cast("int"),
-        "ingested_at_utc": F.current_timestamp().cast("timestamp_ntz"),
+        "ingested_at_utc": utc_now(),
         "service_type": F.lit(service),
     })
 
