@@ -5,7 +5,9 @@ and a global ``ORDER BY`` without partitioning puts everything into one. Here th
 rows of each group are first cut into value buckets by approximate quantile edges
 (``percentile_approx``, a small per-group aggregate); per-bucket counts (a small
 table) give each bucket's offset; exact ranks are then computed inside buckets
-only, each about ``n / buckets`` rows, spread over all tasks.
+only, spread over all tasks. The bucket count follows the input size (about
+``ROWS_PER_BUCKET`` rows per bucket even for a group holding every row) and each row
+finds its bucket by binary search over the edges.
 
 Rows whose key equals an edge value get a bucket of their own ("tie bucket"), so
 a hot value holding a third of all rows forms one bucket whose rows all share the
@@ -25,10 +27,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 64
+MIN_BUCKETS, MAX_BUCKETS = 16, 4096
+ROWS_PER_BUCKET = 2_000_000
 MAX_SMALL_ROWS = 2_000_000
 
 
+def choose_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets per group so that even a group holding every row gets buckets of about
+    ``rows_per_bucket`` rows (one count; metadata-only on a stored Parquet table)."""
+    n = df.count()
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / rows_per_bucket))))
+
+
 def _key_as_double(df: DataFrame, col: str) -> Column:
     """An order-preserving double for the key. Wall-clock (NTZ) timestamps and dates use
     plain arithmetic, so the order never depends on the session time zone (a zone cast
@@ -58,7 +68,7 @@ def _small(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def with_buckets(df: DataFrame, by: Sequence[str], key: str, buckets: int = DEFAULT_BUCKETS,
+def with_buckets(df: DataFrame, by: Sequence[str], key: str, buckets: int = MIN_BUCKETS,
                  accuracy: int = 10_000) -> DataFrame:
     """Add ``_kd`` (key as double) and ``_b``: a bucket number, monotone in ``key``
     (NULLs first) within each group."""
@@ -68,10 +78,22 @@ def with_buckets(df: DataFrame, by: Sequence[str], key: str, buckets: int = DEFA
     edges = _small(df.groupBy(*by).agg(F.percentile_approx("_kd", probs, accuracy).alias("_edges")),
                    "bucket edges")
     j = df.join(F.broadcast(edges), by, "inner")
-    below = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("_kd")))
-    on_edge = F.coalesce(F.array_contains(F.col("_edges"), F.col("_kd")), F.lit(False)).cast("int")
-    b = F.when(F.col("_kd").isNull(), F.lit(-1)).otherwise(below * 2 + on_edge)
-    return j.withColumn("_b", b).drop("_edges")
+    n_edges = buckets - 1
+    j = j.withColumn("_lo", F.expr(_lower_bound_sql(n_edges)))
+    on_edge = F.coalesce((F.col("_lo") < n_edges) & (F.element_at("_edges", F.col("_lo") + 1) == F.col("_kd")),
+                         F.lit(False)).cast("int")
+    b = F.when(F.col("_kd").isNull(), F.lit(-1)).otherwise(F.col("_lo") * 2 + on_edge)
+    return j.withColumn("_b", b).drop("_edges", "_lo")
+
+
+def _lower_bound_sql(n_edges: int) -> str:
+    """Number of edges below ``_kd`` by binary search over the sorted ``_edges``:
+    ceil(log2(n + 1)) steps per row instead of a scan of every edge."""
+    steps = max(1, math.ceil(math.log2(n_edges + 1)))
+    mid = "CAST((acc.lo + acc.hi) DIV 2 AS INT)"
+    return (f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', {n_edges}), (acc, i) -> "
+            f"IF(acc.lo < acc.hi, IF(element_at(_edges, {mid} + 1) < _kd, "
+            f"named_struct('lo', {mid} + 1, 'hi', acc.hi), named_struct('lo', acc.lo, 'hi', {mid})), acc)).lo")
 
 
 def _bucket_stats(bucketed: DataFrame, by: Sequence[str], with_range: bool = False) -> list:
@@ -103,11 +125,12 @@ def _offsets(rows: list, by: Sequence[str]) -> dict:
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], key: str,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Add ``_rn`` (1-based row number in ``order`` within each ``by`` group) and ``_n``
     (group size). ``order`` must start with ``key`` ascending, NULLs first, and end in a
     unique tie-break for deterministic numbers."""
     df, by, synthetic = _grouped(df, by)
+    buckets = buckets or choose_buckets(df)
     b = with_buckets(df, by, key, buckets)
     offs = _offsets(_bucket_stats(b, by), by)
     spark = df.sparkSession
@@ -123,7 +146,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], key:
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                      buckets: int = DEFAULT_BUCKETS, name: str = "q") -> DataFrame:
+                      buckets: int | None = None, name: str = "q") -> DataFrame:
     """Exact linearly interpolated percentiles (``percentile`` / ``quantile_cont``
     semantics) of ``value`` per ``by`` group: one row per group with ``name`` as
     ``array<double>`` in ``probs`` order and ``_n`` (non-NULL count).
@@ -133,6 +156,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Seq
     """
     df, by, synthetic = _grouped(df, by)
     src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    buckets = buckets or choose_buckets(src)
     b = with_buckets(src, by, "_v", buckets)
     offs = _offsets(_bucket_stats(b, by, with_range=True), by)
     # locate the needed 0-based ranks
@@ -179,6 +203,6 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str =
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], key: str,
-                      buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` over the whole frame, without one task."""
     return rank_within(df, [], order, key, buckets)

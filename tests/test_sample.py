@@ -59,3 +59,15 @@ def test_exact_percentiles_match_pandas(spark):
     for g, grp in pdf.groupby("g"):
         for a, b in zip(got[g], grp["v"].quantile(probs).tolist()):
             assert abs(a - b) < 1e-9
+
+
+def test_many_buckets_binary_search(spark):
+    rng = random.Random(5)
+    rows = [(("hot" if rng.random() < 0.5 else "cold"), float(rng.choice([1, 1, 1, 2, 3]) if rng.random() < 0.3
+             else rng.uniform(0, 1000)), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, t double, id int")
+    order = [F.asc_nulls_first("t"), F.asc("id")]
+    for b in (3, 200, 1000):
+        got = rank_within(df, ["g"], order, "t", buckets=b).select("id", "_rn")
+        ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy(*order)).alias("rn"))
+        assert got.join(ref, "id").where("_rn != rn").count() == 0
