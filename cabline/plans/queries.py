@@ -505,11 +505,21 @@ def q_error_price_buckets(spark, sf_dir):
     return DG.error_by_price_bucket(_ridge_residuals(spark, sf_dir, "test"))
 
 
-@register("qq_points")
+_QQ_SQL = O.over_features(f"""
+SELECT i, round({O.inv_norm_sql('m')}, 6) AS theoretical, round(e, 6) AS ordered
+FROM (SELECT i, e, CASE WHEN i = 1 THEN 1.0::DOUBLE - power(0.5::DOUBLE, 1.0::DOUBLE / n)
+                        WHEN i = n THEN power(0.5::DOUBLE, 1.0::DOUBLE / n)
+                        ELSE (CAST(i AS DOUBLE) - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS m
+      FROM (SELECT e, row_number() OVER (ORDER BY e) AS i, CAST(COUNT(*) OVER () AS DOUBLE) AS n
+            FROM res WHERE split = 'test'))""", O.ridge_cte(1.0) + ",\n" + O.RESID_CTE)
+
+
+@register("qq_points", _QQ_SQL)
 def q_qq_points(spark, sf_dir):
     r = _ridge_residuals(spark, sf_dir, "test")
     r = r.withColumn("_id", F.xxhash64("pickup_datetime", "y", "e"))
-    return DG.qq_points(r, "e", "_id")
+    pts = DG.qq_points(r, "e", "_id")
+    return pts.select("i", F.round("theoretical", 6).alias("theoretical"), F.round("ordered", 6).alias("ordered"))
 
 
 # ------------------------------------------------------------ full modelling job
