@@ -123,8 +123,9 @@ def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 100) -> DataFrame:
         w = F.nullif((F.col(hi) - F.col(lo)) / F.lit(float(bins)), F.lit(0.0))
         return F.coalesce(F.least(F.floor((F.col(c) - F.col(lo)) / w).cast("int"), F.lit(bins - 1)), F.lit(0))
 
-    return (d.select(cell(x, "_x0", "_x1").alias("bx"), cell(y, "_y0", "_y1").alias("by"), "_x0", "_x1", "_y0", "_y1")
-            .groupBy("bx", "by").agg(F.count(F.lit(1)).alias("n"),
+    return (d.select(cell(x, "_x0", "_x1").alias("x_bin"), cell(y, "_y0", "_y1").alias("y_bin"),
+                     "_x0", "_x1", "_y0", "_y1")
+            .groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n"),
                                      F.first("_x0").alias("x_min"), F.first("_x1").alias("x_max"),
                                      F.first("_y0").alias("y_min"), F.first("_y1").alias("y_max"))
-            .orderBy("bx", "by"))
+            .orderBy("x_bin", "y_bin"))

@@ -565,10 +565,23 @@ def q_report(spark, sf_dir):
     return MJ.report(spark, run, board)
 
 
-@register("residual_scatter")
+_SCATTER_SQL = O.over_features("""
+SELECT x_bin, y_bin, COUNT(*) AS n, round(MIN(x0), 6) AS x_min, round(MIN(x1), 6) AS x_max,
+       round(MIN(y0), 6) AS y_min, round(MIN(y1), 6) AS y_max
+FROM (SELECT COALESCE(LEAST(CAST(floor((p - x0) / NULLIF((x1 - x0) / 50.0, 0)) AS INTEGER), 49), 0) AS x_bin,
+             COALESCE(LEAST(CAST(floor((e - y0) / NULLIF((y1 - y0) / 50.0, 0)) AS INTEGER), 49), 0) AS y_bin,
+             x0, x1, y0, y1
+      FROM (SELECT y - e AS p, e FROM res WHERE split = 'test') t,
+           (SELECT MIN(y - e) AS x0, MAX(y - e) AS x1, MIN(e) AS y0, MAX(e) AS y1 FROM res WHERE split = 'test') r)
+GROUP BY x_bin, y_bin ORDER BY x_bin, y_bin""", O.ridge_cte(1.0) + ",\n" + O.RESID_CTE)
+
+
+@register("residual_scatter", _SCATTER_SQL)
 def q_residual_scatter(spark, sf_dir):
+    """Residual against predicted value as counts on a 50 x 50 grid."""
     r = _ridge_residuals(spark, sf_dir, "test").withColumn("predicted", F.col("y") - F.col("e"))
-    return DG.scatter_bins(r, "predicted", "e", 50)
+    b = DG.scatter_bins(r, "predicted", "e", 50)
+    return b.select("x_bin", "y_bin", "n", *[F.round(c, 6).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")])
 
 
 # ------------------------------------------------------ two-feature boards (SQL-checked)
