@@ -7,23 +7,15 @@ from pyspark.sql import functions as F
 
 # A dimension larger than this is joined by shuffle (AQE may still pick broadcast).
 MAX_BROADCAST_ROWS = 1_000_000
-# A dimension up to this size is computed once and broadcast from the driver's copy.
-MAX_LOCAL_ROWS = 50_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_local: int = MAX_LOCAL_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_local + 1`` (then ``max_rows + 1``) rows, so it stays
-    cheap even when the side turns out to be large. A side within ``max_local`` rows is
-    evaluated once here and reused by every join that takes it (each role of a
-    dimension, each service) instead of being recomputed per join; beyond
-    ``max_rows`` the plain join is kept and the planner picks a shuffle join.
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when the
+    side turns out to be large; beyond the bound the plain join is kept and the
+    planner picks a shuffle join. The side stays a JVM plan (no rows through Python).
     """
-    rows = df.limit(max_local + 1).collect()
-    if len(rows) <= max_local:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
