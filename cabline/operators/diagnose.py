@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabline.operators.profile import attach
-from cabline.operators.ranking import exact_percentiles, rank_within
+from cabline.operators.ranking import exact_median, exact_percentiles, global_row_number
 
 # Price edges of the README's error buckets, intervals (a, b].
 PRICE_EDGES = (0.0, 10.0, 20.0, 30.0, 50.0, 100.0, float("inf"))
@@ -81,7 +81,7 @@ def error_by_price_bucket(df: DataFrame, actual: str = "y", resid: str = "e", di
 def baseline_predictions(train: DataFrame, y: str = "y") -> tuple[float, float]:
     """Mean and exact median of the training target."""
     mean = train.agg(F.avg(y)).first()[0]
-    med = exact_percentiles(train, y, [0.5]).first()["q"][0]
+    med = exact_median(train, y).first()["median"]
     return float(mean), float(med)
 
 
@@ -96,7 +96,7 @@ def qq_points(df: DataFrame, resid: str = "e", key: str = "_id") -> DataFrame:
     """Normal probability plot points: ordered residuals against normal quantiles at
     Filliben's plotting positions; global ranks come from ``rank_within`` (no single
     task), the inverse normal CDF is an Arrow-batched pandas UDF."""
-    ranked = rank_within(df.select(resid, key), [], [F.asc_nulls_first(resid), F.asc(key)], resid)
+    ranked = global_row_number(df.select(resid, key), [F.asc_nulls_first(resid), F.asc(key)], resid)
     n = F.col("_n").cast("double")
     i = F.col("_rn").cast("double")
     m = (F.when(F.col("_rn") == 1, 1 - F.pow(F.lit(0.5), 1 / n))

@@ -18,7 +18,7 @@ from cabline.operators import diagnose as DG
 from cabline.operators import features as FT
 from cabline.operators import linear as LN
 from cabline.operators.gram import collect_grams
-from cabline.operators.ranking import rank_within
+from cabline.operators.ranking import global_row_number
 from cabline.operators.sample import ntile_of
 from cabline.session import materialize
 from cabline.sources.conform import require_columns
@@ -129,7 +129,7 @@ def fold_grams(run: ModelRun, folds: int = CV_FOLDS) -> dict:
     global time rank computed without a single task); statistics of all folds in one pass."""
     train = run.design.where("split = 'train'")
     keyed = train.withColumn("_id", F.xxhash64("pickup_datetime", "y", F.col("x").cast("string")))
-    ranked = rank_within(keyed, [], [F.asc_nulls_first("pickup_datetime"), F.asc("_id")], "pickup_datetime")
+    ranked = global_row_number(keyed, [F.asc_nulls_first("pickup_datetime"), F.asc("_id")], "pickup_datetime")
     fold = ranked.withColumn("fold", ntile_of(F.col("_rn"), F.col("_n"), F.lit(folds)) - 1)
     return collect_grams(fold, len(run.pre.feature_names()), "fold")
 
