@@ -66,3 +66,13 @@ def test_small_helpers(spark):
     pts = spark.createDataFrame([(float(i), 2.0 * i + 1.0) for i in range(20)], "theoretical double, ordered double")
     line = DG.qq_line(pts).first()
     assert abs(line["slope"] - 2.0) < 1e-12 and abs(line["intercept"] - 1.0) < 1e-12 and abs(line["r"] - 1) < 1e-12
+
+
+def test_model_job(spark, landed):
+    from cabline.plans.model import run_job
+    out = f"{landed}/wide_for_model"
+    build(spark, f"{landed}/raw", f"{landed}/zones", out, "full", range(1995, 2002), ["yellow", "green"], True)
+    res = run_job(spark, out, f"{landed}/model", list(range(1995, 2002)), 600)
+    rep = spark.read.parquet(res["report"]).first()
+    board = spark.read.parquet(res["leaderboard"]).collect()
+    assert len(board) == 10 and rep["winner"] and rep["improvement_pct"] > 0
