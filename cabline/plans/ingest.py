@@ -26,8 +26,12 @@ from cabline.sources.conform import add_metadata, conform_schema
 from cabline.sources.files import read_month, read_zones_csv
 
 
+# Fixed value: run tag format of the landed rows (prefix and UTC time stamp).
+RUN_TAG_FORMAT = "ingesta_%Y%m%d_%H%M%S"
+
+
 def default_run_tag() -> str:
-    return "ingesta_" + datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    return datetime.now(timezone.utc).strftime(RUN_TAG_FORMAT)
 
 
 def ingest(spark: SparkSession, base: str, out: str, ledger_path: str, services, years, months=range(1, 13),
