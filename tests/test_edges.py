@@ -68,3 +68,22 @@ def test_constant_duplicate_zero_columns(spark):
     assert np.allclose(x[:, 1], x[:, 2]) and np.allclose(x[:, 4], x[:, 1])   # duplicated block
     assert abs(x[:, 1].std() - 1.0) < 1e-12                           # population std
     assert pre.feature_names()[-3:] == ["a", "b", "a b"]
+
+
+def test_cardinality_exact_and_approx(spark):
+    df = spark.createDataFrame([(i % 7, None if i % 5 == 0 else f"z{i % 11}") for i in range(500)], "a int, b string")
+    exact = {r["column_name"]: r["n_unique"] for r in profile.cardinality(df, ["a", "b"]).collect()}
+    approx = {r["column_name"]: r["n_unique"] for r in profile.cardinality(df, ["a", "b"], approx=True).collect()}
+    assert exact == {"a": 7, "b": 11} and approx == exact     # NULL is not a value
+
+
+def test_grouped_percentiles_match_pandas(spark):
+    rng = np.random.RandomState(3)
+    g = rng.randint(0, 4, 3000)
+    v = np.where(g == 0, 1.5, rng.exponential(10, 3000))     # group 0 is one hot value
+    df = spark.createDataFrame(pd.DataFrame({"g": g.astype(int), "v": v}))
+    from cabline.operators.ranking import exact_percentiles
+    got = {r["g"]: r["q"] for r in exact_percentiles(df, "v", [0.1, 0.5, 0.99], ["g"]).collect()}
+    ref = pd.DataFrame({"g": g, "v": v}).groupby("g")["v"].quantile([0.1, 0.5, 0.99]).unstack()
+    for k, row in ref.iterrows():
+        assert np.allclose(got[k], row.tolist(), atol=1e-9)
