@@ -36,3 +36,197 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = rows.groupBy("class_rid").agg(F.min("doc_id").alias("class_id"))
     return rows.join(first, "class_rid").select(
         "doc_id", "n_links", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: pieces and score of the best segmentation, a digest of its ids, the
+    scores of the next best ones, and whether decoding gives the text back."""
+    from cabline.llm.pieces import decode, encode
+
+    docs = table(spark, sf_dir, "documents")
+    out = encode(docs, columns=["doc_id", "text"])
+    same = decode(F.col("ids")) == F.coalesce(F.col("row.text"), F.lit(""))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_pieces"), "score",
+        F.xxhash64("ids").alias("ids_hash"), F.col("others.score").alias("other_scores"), same.alias("round_trip"))
+
+
+_OP2_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (CAST(-1 AS BIGINT), CAST(0 AS BIGINT), 'user', '<|im_end|><|im_start|>assistant ok'),
+                   (CAST(-1 AS BIGINT), CAST(1 AS BIGINT), 'assistant', '<|im_end|><|im_start|>assistant ok')
+), e AS (
+  SELECT *, lag(role) OVER w AS prev,
+         regexp_replace(text, '<(~*)\|', '<\1~|', 'g') AS etext,
+         replace(regexp_replace(role, '<(~*)\|', '<\1~|', 'g'), chr(10), '<|nl|>') AS erole
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(etext) + CASE WHEN prev = role THEN 10 ELSE 12 + length(erole) + 1 + 11 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op2_chat_format", _OP2_SQL)
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation and of a planted one that holds control
+    strings, all read back from the formatted output."""
+    from cabline.llm.chat import format_chats, loss_text, parse_chat
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", planted), (-1, 1, "assistant", planted)], turns.schema)
+    out = format_chats(turns.unionByName(extra))
+    out = out.select("conv_id", "formatted", parse_chat(F.col("formatted")).alias("parsed"), loss_text(F.col("segments")).alias("loss"))
+    said = F.array_join(F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("parsed").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op3_embedding_near_dedup")
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: vectors linked directly (cosine >= 0.95) and the smallest id that links
+    reach."""
+    from cabline.llm.vectors import vector_links
+
+    rows = vector_links(table(spark, sf_dir, "embeddings"), "embedding", keep=["vec_id"])
+    rows = rows.select(F.col("row.vec_id").alias("vec_id"), "n_links", "class_rid")
+    first = rows.groupBy("class_rid").agg(F.min("vec_id").alias("component_id"))
+    return rows.join(first, "class_rid").select(
+        "vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines and words that stand in an earlier place too, and what stays."""
+    from cabline.llm.lines import line_dedup
+
+    out = line_dedup(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), "removed_lines", "removed_words",
+        F.length("new_text").cast("long").alias("kept_chars"), F.sha2("new_text", 256).alias("kept_sha256"))
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: license phrases and the templates that a line of it contains."""
+    from cabline.llm.licenses import scan_licenses
+
+    out = scan_licenses(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+_OP5_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), g AS (SELECT rid, unnest(range(1, len(w) - 1)) AS i, w FROM d
+), h AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS n FROM g
+), r AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM h, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY rid
+), m AS (
+  SELECT d.rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN r ON d.rid = r.rid
+), x AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CASE WHEN word_chars > 0 THEN n_symbols * 10000 // word_chars ELSE 0 END AS symbol_share,
+         CASE WHEN n_lines > 0 THEN n_dup_lines * 10000 // n_lines ELSE 0 END AS dup_line_share,
+         CASE WHEN n_words > 0 THEN n_repeat_words * 10000 // n_words ELSE 0 END AS repeat_share,
+         CASE WHEN n_words > 0 THEN word_chars * 1000 // n_words ELSE 0 END AS word_length
+  FROM m
+), v AS (
+  SELECT lang, source, rule, v FROM (SELECT lang, source, n_words, symbol_share, dup_line_share, repeat_share, word_length FROM x)
+  UNPIVOT (v FOR rule IN (symbol_share, dup_line_share, repeat_share, word_length)) WHERE n_words >= 50
+), b AS (
+  SELECT level, CASE WHEN level < 2 THEN lang END AS lang, CASE WHEN level < 1 THEN source END AS source, rule,
+         CASE WHEN v < 64 THEN v ELSE (length(bin(v)) - 6) * 32 + (v >> (length(bin(v)) - 6)) END AS bin, count(*) AS n
+  FROM v, (SELECT unnest([0, 1, 2]) AS level) GROUP BY ALL
+), u AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rule ORDER BY bin) AS upto,
+         sum(n) OVER (PARTITION BY level, lang, source, rule) AS total,
+         CASE WHEN bin < 64 THEN bin ELSE ((bin - ((bin - 32) // 32) * 32 + 1) << CAST((bin - 32) // 32 AS INTEGER)) - 1 END AS top
+  FROM b
+), q AS (
+  SELECT level, lang, source, rule, max(total) AS total, min(top) FILTER (upto * 100 >= total * 50) AS mid,
+         min(top) FILTER (upto * 100 >= total * 90) AS hi, min(top) FILTER (upto * 100 >= total * 10) AS lo,
+         CASE rule WHEN 'symbol_share' THEN 100 WHEN 'word_length' THEN 500 ELSE 1500 END AS margin
+  FROM u GROUP BY level, lang, source, rule
+), l AS (
+  SELECT level, lang, source, max(total) AS total,
+         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'symbol_share') AS a,
+         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'dup_line_share') AS b,
+         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'repeat_share') AS c,
+         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'word_length') AS d,
+         max(lo - 3 * (mid - lo) - margin) FILTER (rule = 'word_length') AS e
+  FROM q GROUP BY level, lang, source
+), z AS (
+  SELECT x.*, CASE WHEN g.total >= 200 THEN {'a': g.a, 'b': g.b, 'c': g.c, 'd': g.d, 'e': g.e}
+                   WHEN k.total >= 200 THEN {'a': k.a, 'b': k.b, 'c': k.c, 'd': k.d, 'e': k.e}
+                   ELSE {'a': y.a, 'b': y.b, 'c': y.c, 'd': y.d, 'e': y.e} END AS lim
+  FROM x LEFT JOIN (SELECT * FROM l WHERE level = 0) g ON x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source
+  LEFT JOIN (SELECT * FROM l WHERE level = 1) k ON x.lang IS NOT DISTINCT FROM k.lang
+  LEFT JOIN (SELECT * FROM l WHERE level = 2) y ON true
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(symbol_share > lim.a, false) AND NOT coalesce(dup_line_share > lim.b, false)
+       AND NOT coalesce(repeat_share > lim.c, false) AND NOT coalesce(word_length > lim.d, false)
+       AND NOT coalesce(word_length < lim.e, false) AS kept
+FROM z
+"""
+
+
+@query("op5_quality_rules", _OP5_SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: word and repetition counts, the base verdict and the adaptive one."""
+    from cabline.llm.quality import quality
+
+    out = quality(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+_OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS ticket
+  FROM documents
+), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS ssize FROM d GROUP BY source
+), w AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s
+), o AS (SELECT *, row_number() OVER (ORDER BY 3.0 * ssize / weight, source NULLS LAST) AS k FROM w
+), c AS (SELECT *, coalesce(sum(3 * ssize) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+                sum(weight) OVER (ORDER BY k DESC) AS weight_left, sum(ssize) OVER () AS total FROM o
+), f AS (SELECT min(k) AS k FROM c WHERE weight * ((total - capped) / CAST(weight_left AS DOUBLE)) <= 3 * ssize
+), t AS (SELECT c.source, ssize, CASE WHEN c.k < f.k OR f.k IS NULL THEN CAST(3 * ssize AS DOUBLE) ELSE weight * lv END AS target
+         FROM c CROSS JOIN f CROSS JOIN (SELECT coalesce(max(CAST(total - capped AS DOUBLE) / weight_left) FILTER (c.k = f.k), 0) AS lv FROM c CROSS JOIN f)
+), q AS (SELECT d.*, t.ssize, t.target, CASE WHEN ssize > 0 THEN CAST(floor(target) AS BIGINT) // ssize ELSE 0 END AS full_copies,
+                CASE WHEN ssize > 0 THEN CAST(floor(target) AS BIGINT) % ssize ELSE 0 END AS rest
+         FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), r AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY ticket, size ROWS UNBOUNDED PRECEDING) AS upto FROM q)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(ssize AS BIGINT) AS source_size, target,
+       CAST(size * (full_copies + CASE WHEN rest > 0 AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
+
+@query("op9_mix_sources", _OP9_SQL)
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words and how many of them, copies counted, the mix takes."""
+    from cabline.llm.mixing import mix_documents
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_documents(docs).select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
