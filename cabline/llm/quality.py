@@ -39,7 +39,7 @@ class QualityParams:
     middle: int = 50
     tail: int = 90
     spread: int = 3
-    margins: tuple[tuple[str, int], ...] = (("symbol_share", 100), ("dup_line_share", 1500), ("repeat_share", 1500), ("word_length", 500))
+    margins: tuple[tuple[str, int], ...] = (("symbol_share", 100), ("dup_line_share", 3000), ("repeat_share", 1500), ("word_length", 500))
     min_group: int = 200
     salts: int = 16
 

@@ -163,7 +163,7 @@ WITH d AS (
 ), q AS (
   SELECT level, lang, source, rule, max(total) AS total, min(top) FILTER (upto * 100 >= total * 50) AS mid,
          min(top) FILTER (upto * 100 >= total * 90) AS hi, min(top) FILTER (upto * 100 >= total * 10) AS lo,
-         CASE rule WHEN 'symbol_share' THEN 100 WHEN 'word_length' THEN 500 ELSE 1500 END AS margin
+         CASE rule WHEN 'symbol_share' THEN 100 WHEN 'word_length' THEN 500 WHEN 'repeat_share' THEN 1500 ELSE 3000 END AS margin
   FROM u GROUP BY level, lang, source, rule
 ), l AS (
   SELECT level, lang, source, max(total) AS total,
