@@ -230,3 +230,31 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_documents(docs).select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: score of a classifier that learned from four fifths of the labels."""
+    from cabline.llm.common import held_out
+    from cabline.llm.toxicity import score_toxicity, train_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id"), 0))
+    out = score_toxicity(docs, model, columns=["doc_id"])
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id"), 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens, tokens known from training, unigram and model log10 scores."""
+    from cabline.llm.common import held_out
+    from cabline.llm.lm import may_train, score_lm, train_lm
+
+    docs = table(spark, sf_dir, "documents")
+    model = train_lm(docs.where(may_train(F.col("doc_id"))))
+    out = score_lm(docs, model, columns=["doc_id"])
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id"), 1).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
