@@ -131,8 +131,10 @@ WITH d AS (
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
-), g AS (SELECT rid, unnest(range(1, len(w) - 1)) AS i, w FROM d
-), h AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2]) AS n FROM g
+), g AS (
+  SELECT rid, unnest(list_transform(range(1, len(w) - 1), lambda i: {'i': i, 'x': w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2]})) AS y
+  FROM d
+), h AS (SELECT rid, y.i AS i, count(*) OVER (PARTITION BY rid, y.x) AS n FROM g
 ), r AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM h, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY rid
 ), m AS (
   SELECT d.rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(len(lines) AS BIGINT) AS n_lines,

@@ -1,33 +1,67 @@
 """Corpus pipeline: from raw documents to an encoded training mix.
 
 Stages run in order; each gets the rows that the one before kept, written as Parquet under
-the shared checkpoint folder and read again, so that a lost executor repeats one stage.
+the shared checkpoint folder and read again, so that a lost executor repeats one stage and
+no lineage grows. All stages but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cabline.llm.jaccard import drop_near_copies
-from cabline.session import materialize
+from cabline.llm.lines import drop_repeated_lines
+from cabline.llm.mixing import take_mix
+from cabline.llm.pieces import encode
+from cabline.llm.quality import drop_low_quality
+from cabline.session import materialize_at
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a quality rule rejects go (operator 5)."""
+    return drop_low_quality(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later places of repeated passages go from the texts (operator 4)."""
+    return drop_repeated_lines(docs)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (operator 10)."""
     return drop_near_copies(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them (operator 9)."""
+    return take_mix(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds the piece ids of the best segmentation, its score, and those of the next best
+    ones (operator 1)."""
+    out = encode(docs)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "ids", "score", F.col("others.score").alias("other_scores"))
+
+
 STAGES = [
-    ("jaccard_join", near_copies),
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", jaccard_join),
+    ("mix_sources", mix_sources),
+    ("sentencepiece", encode_pieces),
 ]
 
-#: Winnowing over line hashes, MinHash and piece lattices have no SQL form.
+#: Winnowing, MinHash and piece lattices have no SQL form; tests/llm checks each stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*DOCUMENT)
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, _ = materialize_at(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
