@@ -25,7 +25,9 @@ from cabline.llm import common as C
 class ToxicityParams:
     """sizes: n-gram lengths. bits: log2 of the number of buckets. sample: labelled texts of
     each class that the fit may read. features: buckets with the strongest evidence that the
-    model keeps. l2: penalty on the scaled weights. rounds: gradient steps of the fit."""
+    model keeps. l2: penalty on the scaled weights. rounds: gradient steps of the fit. tasks: tasks that count the
+    sample's features; each sends one dense array, so the sum's size does not depend on the
+    cluster's partitions."""
 
     sizes: tuple[int, ...] = (3, 4, 5, 6)
     bits: int = 22
@@ -34,6 +36,7 @@ class ToxicityParams:
     l2: float = 1e-3
     rounds: int = 300
     chunk: int = 1 << 18
+    tasks: int = 8
     seed: int = 11
 
 
@@ -182,7 +185,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column, params
     chosen = F.broadcast(picks[0].unionByName(picks[1]))          # at most 2 * sample ids
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
     top = (
-        rows.mapInArrow(_counts(p), "chunk long, n0 long, n1 long, held binary")
+        rows.coalesce(p.tasks).mapInArrow(_counts(p), "chunk long, n0 long, n1 long, held binary")
         .groupBy("chunk").applyInArrow(_strongest(p), "bucket long, evidence double, ratio double")
         .orderBy(F.desc("evidence"), "bucket").limit(p.features).toPandas().sort_values("bucket"))
     buckets, ratio = top["bucket"].to_numpy(np.int64), top["ratio"].to_numpy(float)
