@@ -206,7 +206,8 @@ def line_dedup(docs: DataFrame, params: LineParams | None = None, keep: list[str
     drop_path(spark, marks_path)
     drop_path(spark, seen_path)
     cut = F.pandas_udf(_cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("lines", T.LongType()), T.StructField("words", T.LongType())]))
-    out = base.join(cuts, "rid", "left").withColumn("new", cut(F.col("row")["text"], F.col("cuts")))
+    # one plan at every size: texts are dealt by row number, whether the cuts are few or many
+    out = base.join(cuts.hint("merge"), "rid", "left").withColumn("new", cut(F.col("row")["text"], F.col("cuts")))
     return out.select("rid", "row", F.col("new.text").alias("new_text"), F.col("new.lines").alias("removed_lines"),
                       F.col("new.words").alias("removed_words"))
 
