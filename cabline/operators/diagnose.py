@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cabline.operators.profile import attach
 from cabline.operators.ranking import exact_median, exact_percentiles, global_row_number
@@ -43,8 +41,10 @@ def quantile_edges(df: DataFrame, col: str, q: int = 10) -> DataFrame:
 
 
 def quantile_bucket(x: Column, edges: Column) -> Column:
-    """Bucket of ``x`` among sorted ``edges``: intervals (a, b], the lowest edge included."""
-    return F.greatest(F.lit(1), F.size(F.filter(edges, lambda e: e < x)))
+    """Bucket of ``x`` among sorted ``edges``: intervals (a, b], the lowest edge included.
+    NULL (and NaN) values belong to no bucket; a single edge is one bucket of its own."""
+    below = F.greatest(F.lit(1), F.size(F.filter(edges, lambda e: e < x)))
+    return F.when(x.isNotNull() & ~F.isnan(x.cast("double")), below)
 
 
 def error_by_quantile_bucket(df: DataFrame, actual: str = "y", resid: str = "e", q: int = 10,
@@ -52,8 +52,10 @@ def error_by_quantile_bucket(df: DataFrame, actual: str = "y", resid: str = "e",
     """Residual mean / sample std / count per decile bucket of the actual value."""
     edges = quantile_edges(df, actual, q)
     b = attach(df.select(actual, resid), edges).withColumn("bucket", quantile_bucket(F.col(actual), F.col("edges")))
-    return (b.groupBy("bucket").agg(F.first(F.col("edges")[F.col("bucket") - 1]).alias("lo"),
-                                    F.first(F.col("edges")[F.col("bucket")]).alias("hi"),
+    b = b.where(F.col("bucket").isNotNull())
+    upper = F.coalesce(F.get("edges", F.col("bucket")), F.get("edges", F.col("bucket") - 1))
+    return (b.groupBy("bucket").agg(F.first(F.get("edges", F.col("bucket") - 1)).alias("lo"),
+                                    F.first(upper).alias("hi"),
                                     F.avg(resid).alias("mean"), F.stddev_samp(resid).alias("std"),
                                     F.count(F.lit(1)).alias("count"))
             .select("bucket", *[F.round(c, digits).alias(c) for c in ("lo", "hi", "mean", "std")], "count")
@@ -85,24 +87,51 @@ def baseline_predictions(train: DataFrame, y: str = "y") -> tuple[float, float]:
     return float(mean), float(med)
 
 
-@F.pandas_udf(T.DoubleType())
-def _normal_quantile(p: pd.Series) -> pd.Series:
-    from statistics import NormalDist
-    nd = NormalDist()
-    return p.map(nd.inv_cdf)
+# The rational approximation of the normal quantile, Wichura's published
+# algorithm AS241 (Applied Statistics 37(3), 1988): numerators and denominators, highest
+# power first, for the centre, the near tail and the far tail.
+_CENTRE = ((2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+            13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.387132872796366608),
+           (5226.495278852854561, 28729.085735721942674, 39307.89580009271061, 21213.794301586595867,
+            5394.1960214247511077, 687.1870074920579083, 42.313330701600911252, 1.0))
+_NEAR = ((7.7454501427834140764e-4, 0.0227238449892691845833, 0.24178072517745061177, 1.27045825245236838258,
+          3.64784832476320460504, 5.7694972214606914055, 4.6303378461565452959, 1.42343711074968357734),
+         (1.05075007164441684324e-9, 5.475938084995344946e-4, 0.0151986665636164571966, 0.14810397642748007459,
+          0.68976733498510000455, 1.6763848301838038494, 2.05319162663775882187, 1.0))
+_FAR = ((2.01033439929228813265e-7, 2.71155556874348757815e-5, 0.0012426609473880784386, 0.026532189526576123093,
+         0.29656057182850489123, 1.7848265399172913358, 5.4637849111641143699, 6.6579046435011037772),
+        (2.04426310338993978564e-15, 1.4215117583164458887e-7, 1.8463183175100546818e-5, 7.868691311456132591e-4,
+         0.0148753612908506148525, 0.13692988092273580531, 0.59983220655588793769, 1.0))
+
+
+def _ratio(table: tuple, x: Column) -> Column:
+    def poly(coefficients):
+        out = F.lit(coefficients[0])
+        for c in coefficients[1:]:
+            out = out * x + F.lit(c)
+        return out
+    return poly(table[0]) / poly(table[1])
+
+
+def normal_quantile(p: Column) -> Column:
+    """Standard normal quantile of 0 < p < 1 as one built-in expression."""
+    q = p - 0.5
+    tail = F.sqrt(-F.log(F.when(q <= 0, p).otherwise(1 - p)))
+    outer = F.when(tail <= 5.0, _ratio(_NEAR, tail - 1.6)).otherwise(_ratio(_FAR, tail - 5.0))
+    return F.when(F.abs(q) <= 0.425, q * _ratio(_CENTRE, F.lit(0.180625) - q * q)).otherwise(F.signum(q) * outer)
 
 
 def qq_points(df: DataFrame, resid: str = "e", key: str = "_id") -> DataFrame:
     """Normal probability plot points: ordered residuals against normal quantiles at
     Filliben's plotting positions; global ranks come from ``rank_within`` (no single
-    task), the inverse normal CDF is an Arrow-batched pandas UDF."""
-    ranked = global_row_number(df.select(resid, key), [F.asc_nulls_first(resid), F.asc(key)], resid)
+    task)."""
+    ranked = global_row_number(df.select(resid, key), [F.asc_nulls_first(resid), F.asc(key)])
     n = F.col("_n").cast("double")
     i = F.col("_rn").cast("double")
     m = (F.when(F.col("_rn") == 1, 1 - F.pow(F.lit(0.5), 1 / n))
           .when(F.col("_rn") == F.col("_n"), F.pow(F.lit(0.5), 1 / n))
           .otherwise((i - 0.3175) / (n + 0.365)))
-    return ranked.select(F.col("_rn").alias("i"), _normal_quantile(m).alias("theoretical"),
+    return ranked.select(F.col("_rn").alias("i"), normal_quantile(m).alias("theoretical"),
                          F.col(resid).alias("ordered"))
 
 

@@ -45,7 +45,7 @@ def rows_per(df: DataFrame, keys: Iterable[str], name: str = "rows") -> DataFram
 
 
 def attach(df: DataFrame, small: DataFrame) -> DataFrame:
-    """Append the columns of a one-row frame to every row (broadcast equi-join on a constant)."""
+    """Append the columns of a one-row frame to every row (one broadcast row)."""
     return (df.withColumn("_one", F.lit(1))
             .join(F.broadcast(small.withColumn("_one", F.lit(1))), "_one").drop("_one"))
 
@@ -76,6 +76,12 @@ def cardinality(df: DataFrame, columns: list[str], approx: bool = False, rsd: fl
     return wide.unpivot([], columns, "column_name", "n_unique").orderBy("column_name")
 
 
+def not_a_number(df: DataFrame, columns: list[str]) -> DataFrame:
+    """NaN count per numeric column."""
+    wide = df.agg(*[F.count_if(F.isnan(F.col(c).cast("double"))).alias(c) for c in columns])
+    return wide.unpivot([], columns, "column_name", "nans").orderBy("column_name")
+
+
 def top_values(df: DataFrame, col: str, k: int = 20, name: str = "n") -> DataFrame:
     """k most frequent non-NULL values; ties broken by the value itself."""
     return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(name))
@@ -84,8 +90,9 @@ def top_values(df: DataFrame, col: str, k: int = 20, name: str = "n") -> DataFra
 
 def histogram(df: DataFrame, expr, bins: int = 50, digits: int = 6) -> DataFrame:
     """Equal-width histogram between min and max (the maximum falls in the last bin);
-    every bin is listed, empty ones with 0."""
-    x = df.select(expr.alias("_x")).where(F.col("_x").isNotNull())
+    every bin is listed, empty ones with 0. NULL and NaN are in no bin and do not move the
+    edges; ``not_a_number`` counts the latter."""
+    x = df.select(expr.cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     rng = x.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     width = F.nullif((F.col("_hi") - F.col("_lo")) / F.lit(float(bins)), F.lit(0.0))
     binned = attach(x, rng).withColumn(

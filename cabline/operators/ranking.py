@@ -1,208 +1,103 @@
 """Exact ranks and quantiles without one task per group.
 
-A window ``PARTITION BY stratum ORDER BY ts`` puts a whole stratum into one task,
-and a global ``ORDER BY`` without partitioning puts everything into one. Here the
-rows of each group are first cut into value buckets by approximate quantile edges
-(``percentile_approx``, a small per-group aggregate); per-bucket counts (a small
-table) give each bucket's offset; exact ranks are then computed inside buckets
-only, spread over all tasks. The bucket count follows the input size (about
-``ROWS_PER_BUCKET`` rows per bucket even for a group holding every row) and each row
-finds its bucket by binary search over the edges.
-
-Rows whose key equals an edge value get a bucket of their own ("tie bucket"), so
-a hot value holding a third of all rows forms one bucket whose rows all share the
-same key: quantiles read such buckets without sorting them.
-
-The two small tables (edges, per-bucket counts) have ``groups x buckets`` rows;
-they are computed first, checked against ``MAX_SMALL_ROWS`` and broadcast, which
-keeps every plan linear in the input.
+A window ``PARTITION BY stratum ORDER BY ts`` puts a whole stratum into one task, and a
+global ``ORDER BY`` without partitioning puts everything into one. Here rows are dealt out
+by *range* of (group, full order key), with a row id last, so that a stratum or a tied
+value of any size spreads over as many partitions as it needs. The result is stored once
+with its partition number; a small count per (partition, group) gives every partition's
+offset in its group; row numbers are computed inside partitions only.
+
+The counts have at most ``partitions + groups`` rows and stay DataFrames; nothing is
+collected. Groups join null-safely, so a NULL stratum is a group like any other.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MIN_BUCKETS, MAX_BUCKETS = 16, 4096
-ROWS_PER_BUCKET = 2_000_000
-MAX_SMALL_ROWS = 2_000_000
+from cabline.session import materialize
 
 
-def choose_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets per group so that even a group holding every row gets buckets of about
-    ``rows_per_bucket`` rows (one count; metadata-only on a stored Parquet table)."""
-    n = df.count()
-    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / rows_per_bucket))))
+def _same(left: DataFrame, right: DataFrame, by: Sequence[str], *more: Column) -> Column:
+    """Null-safe equality on the group columns (renamed ``_r_*`` on the right)."""
+    conds = [left[c].eqNullSafe(right[f"_r_{c}"]) for c in by] + list(more)
+    return reduce(lambda a, b: a & b, conds)
 
 
-def _key_as_double(df: DataFrame, col: str) -> Column:
-    """An order-preserving double for the key. Wall-clock (NTZ) timestamps and dates use
-    plain arithmetic, so the order never depends on the session time zone (a zone cast
-    would fold or skip wall times around daylight-saving changes)."""
-    t = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(t, (T.TimestampNTZType, T.DateType)):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")).cast("double")
-    if isinstance(t, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    return c.cast("double")
+def _renamed(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_r_{c}" for c in by})
 
 
-def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
-    """A constant group key when there is no grouping, so every join is an equi-join."""
-    if by:
-        return df, list(by), False
-    return df.withColumn("_g", F.lit(0)), ["_g"], True
+def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """Rows with ``_id`` and ``_p``: contiguous ranges of (group, order, id), stored once."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.asc_nulls_first(c) for c in by] + list(order) + [F.asc("_id")]
+    dealt = df.withColumn("_id", F.monotonically_increasing_id()).repartitionByRange(n, *keys)
+    return materialize(dealt.withColumn("_p", F.spark_partition_id()), "ranged")
 
 
-def _small(df: DataFrame, what: str) -> DataFrame:
-    """Materialise a small side table after checking its size bound."""
-    rows = df.limit(MAX_SMALL_ROWS + 1).collect()
-    if len(rows) > MAX_SMALL_ROWS:
-        raise ValueError(f"{what}: more than {MAX_SMALL_ROWS} rows; use fewer buckets or groups")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+def _offsets(ranged: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
+    """Per (group, partition): rows ``_cnt``, rows before ``_off`` and group size ``_n``."""
+    counts = ranged.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_cnt"), *extra)
+    before = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+            .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*by))))
 
 
-def with_buckets(df: DataFrame, by: Sequence[str], key: str, buckets: int = MIN_BUCKETS,
-                 accuracy: int = 10_000) -> DataFrame:
-    """Add ``_kd`` (key as double) and ``_b``: a bucket number, monotone in ``key``
-    (NULLs first) within each group."""
+def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], partitions: int | None = None) -> DataFrame:
+    """Add ``_rn`` (1-based row number in ``order`` within each ``by`` group, NULL groups
+    included) and ``_n`` (group size). End ``order`` in a unique tie-break for numbers that
+    do not depend on the input's layout."""
     by = list(by)
-    df = df.withColumn("_kd", _key_as_double(df, key))
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = _small(df.groupBy(*by).agg(F.percentile_approx("_kd", probs, accuracy).alias("_edges")),
-                   "bucket edges")
-    j = df.join(F.broadcast(edges), by, "inner")
-    n_edges = buckets - 1
-    j = j.withColumn("_lo", F.expr(_lower_bound_sql(n_edges)))
-    on_edge = F.coalesce((F.col("_lo") < n_edges) & (F.element_at("_edges", F.col("_lo") + 1) == F.col("_kd")),
-                         F.lit(False)).cast("int")
-    b = F.when(F.col("_kd").isNull(), F.lit(-1)).otherwise(F.col("_lo") * 2 + on_edge)
-    return j.withColumn("_b", b).drop("_edges", "_lo")
-
-
-def _lower_bound_sql(n_edges: int) -> str:
-    """Number of edges below ``_kd`` by binary search over the sorted ``_edges``:
-    ceil(log2(n + 1)) steps per row instead of a scan of every edge."""
-    steps = max(1, math.ceil(math.log2(n_edges + 1)))
-    mid = "CAST((acc.lo + acc.hi) DIV 2 AS INT)"
-    return (f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', {n_edges}), (acc, i) -> "
-            f"IF(acc.lo < acc.hi, IF(element_at(_edges, {mid} + 1) < _kd, "
-            f"named_struct('lo', {mid} + 1, 'hi', acc.hi), named_struct('lo', acc.lo, 'hi', {mid})), acc)).lo")
-
-
-def _bucket_stats(bucketed: DataFrame, by: Sequence[str], with_range: bool = False) -> list:
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    if with_range:
-        aggs += [F.min("_kd").alias("_lo"), F.max("_kd").alias("_hi")]
-    stats = bucketed.groupBy(*by, "_b").agg(*aggs)
-    rows = stats.limit(MAX_SMALL_ROWS + 1).collect()
-    if len(rows) > MAX_SMALL_ROWS:
-        raise ValueError("bucket statistics too large; use fewer buckets or groups")
-    return rows
-
-
-def _offsets(rows: list, by: Sequence[str]) -> dict:
-    """{group: [(bucket, offset, count, lo, hi), ...], ...} in bucket order."""
-    groups: dict = {}
-    for r in rows:
-        groups.setdefault(tuple(r[c] for c in by), []).append(r)
-    out = {}
-    for g, rs in groups.items():
-        rs.sort(key=lambda r: r["_b"])
-        off, acc = 0, []
-        for r in rs:
-            acc.append((r["_b"], off, r["_cnt"], r["_lo"] if "_lo" in r else None,
-                        r["_hi"] if "_hi" in r else None))
-            off += r["_cnt"]
-        out[g] = (off, acc)
-    return out
-
-
-def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], key: str,
-                buckets: int | None = None) -> DataFrame:
-    """Add ``_rn`` (1-based row number in ``order`` within each ``by`` group) and ``_n``
-    (group size). ``order`` must start with ``key`` ascending, NULLs first, and end in a
-    unique tie-break for deterministic numbers."""
-    df, by, synthetic = _grouped(df, by)
-    buckets = buckets or choose_buckets(df)
-    b = with_buckets(df, by, key, buckets)
-    offs = _offsets(_bucket_stats(b, by), by)
-    spark = df.sparkSession
-    schema = T.StructType([df.schema[c] for c in by] + [
-        T.StructField("_b", T.IntegerType()), T.StructField("_off", T.LongType()), T.StructField("_n", T.LongType())])
-    table = spark.createDataFrame(
-        [(*g, bk, off, n) for g, (n, acc) in offs.items() for bk, off, _c, _l, _h in acc], schema)
-    local = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))
-    out = (b.join(F.broadcast(table), [*by, "_b"], "inner")
-           .withColumn("_rn", F.col("_off") + local)
-           .drop("_b", "_kd", "_off"))
-    return out.drop("_g") if synthetic else out
+    ranged = _ranged(df, by, order, partitions)
+    off = _renamed(_offsets(ranged, by), by).withColumnRenamed("_p", "_rp")
+    local = F.row_number().over(Window.partitionBy("_p", *by).orderBy(*order, F.asc("_id")))
+    numbered = ranged.withColumn("_local", local)
+    return (numbered.join(off, _same(numbered, off, by, numbered["_p"] == off["_rp"]))
+            .withColumn("_rn", F.col("_off") + F.col("_local"))
+            .select(*df.columns, "_rn", "_n"))
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                      buckets: int | None = None, name: str = "q") -> DataFrame:
+                      name: str = "q", partitions: int | None = None) -> DataFrame:
     """Exact linearly interpolated percentiles (``percentile`` / ``quantile_cont``
     semantics) of ``value`` per ``by`` group: one row per group with ``name`` as
     ``array<double>`` in ``probs`` order and ``_n`` (non-NULL count).
 
-    Only buckets that hold a needed rank and more than one distinct value are sorted;
-    each is about ``n / buckets`` rows.
+    Only partitions that hold a needed rank and more than one distinct value are numbered.
     """
-    df, by, synthetic = _grouped(df, by)
+    by = list(by)
     src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    buckets = buckets or choose_buckets(src)
-    b = with_buckets(src, by, "_v", buckets)
-    offs = _offsets(_bucket_stats(b, by, with_range=True), by)
-    # locate the needed 0-based ranks
-    known: dict = {}
-    wanted = []   # (group..., bucket, local 1-based rank)
-    for g, (n, acc) in offs.items():
-        for p in probs:
-            h = (n - 1) * float(p)
-            for r in {math.floor(h), math.ceil(h)}:
-                for bk, off, cnt, lo, hi in acc:
-                    if off <= r < off + cnt:
-                        if lo == hi:
-                            known[(g, r)] = lo
-                        else:
-                            wanted.append((*g, bk, r - off + 1, r))
-                        break
-    spark = df.sparkSession
-    if wanted:
-        schema = T.StructType([df.schema[c] for c in by] + [
-            T.StructField("_b", T.IntegerType()), T.StructField("_local", T.LongType()),
-            T.StructField("_r", T.LongType())])
-        targets = spark.createDataFrame(wanted, schema)
-        sel = (b.join(F.broadcast(targets.select(*by, "_b").distinct()), [*by, "_b"], "left_semi")
-               .withColumn("_local", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_v")))
-               .join(F.broadcast(targets), [*by, "_b", "_local"], "inner"))
-        for r in sel.select(*by, "_r", "_v").collect():
-            known[(tuple(r[c] for c in by), r["_r"])] = r["_v"]
-    result = []
-    for g, (n, _acc) in offs.items():
-        qs = []
-        for p in probs:
-            h = (n - 1) * float(p)
-            lo, hi = known[(g, math.floor(h))], known[(g, math.ceil(h))]
-            qs.append(lo + (hi - lo) * (h - math.floor(h)))
-        result.append((*g, qs, n))
-    schema = T.StructType([df.schema[c] for c in by] + [
-        T.StructField(name, T.ArrayType(T.DoubleType())), T.StructField("_n", T.LongType())])
-    out = spark.createDataFrame(result, schema)
-    return out.drop("_g") if synthetic else out
+    ranged = _ranged(src, by, [F.asc("_v")], partitions)
+    parts = materialize(_offsets(ranged, by, F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "ranks")
+    pos = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
+    need = (parts.select("*", pos.alias("w"))
+            .withColumn("_h", (F.col("_n") - 1) * F.col("w.p"))
+            .withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))))
+            .where("_off <= _r AND _r < _off + _cnt")
+            .select(*by, "_p", "_lo", "_hi", "_n", "_h", "_r", F.col("w.i").alias("_i"), (F.col("_r") - F.col("_off") + 1).alias("_local")))
+    known = need.where("_lo = _hi").select(*by, "_n", "_i", "_h", "_r", F.col("_lo").alias("_v"))
+    open_ = _renamed(need.where("_lo <> _hi"), by).withColumnsRenamed({"_p": "_rp", "_local": "_rl"})
+    where = open_.select(*[f"_r_{c}" for c in by], "_rp").distinct()
+    local = F.row_number().over(Window.partitionBy("_p", *by).orderBy("_v", "_id"))
+    sought = ranged.join(where, _same(ranged, where, by, ranged["_p"] == where["_rp"]), "left_semi").withColumn("_local", local)
+    found = (sought.join(open_, _same(sought, open_, by, (sought["_p"] == open_["_rp"]) & (sought["_local"] == open_["_rl"])))
+             .select(*by, "_n", "_i", "_h", "_r", "_v"))
+    at = F.max(F.struct("_r", "_v")), F.min(F.struct("_r", "_v"))
+    points = (known.unionByName(found).groupBy(*by, "_n", "_i", "_h").agg(at[0].alias("b"), at[1].alias("a"))
+              .withColumn("_q", F.col("a._v") + (F.col("b._v") - F.col("a._v")) * (F.col("_h") - F.floor("_h"))))
+    return (points.groupBy(*by, "_n").agg(F.sort_array(F.collect_list(F.struct("_i", "_q"))).alias("_qs"))
+            .select(*by, F.col("_qs._q").alias(name), "_n"))
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return exact_percentiles(df, value, [0.5], by, name="_m").select(*list(by), F.col("_m")[0].alias(name))
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column], key: str,
-                      buckets: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` over the whole frame, without one task."""
-    return rank_within(df, [], order, key, buckets)
+    return rank_within(df, [], order, partitions)

@@ -72,10 +72,10 @@ def stratified_time_sample(df: DataFrame, rows_per_year: int, strata: Sequence[s
                            time_col: str = "pickup_datetime",
                            columns: Sequence[str] = schemas.SAMPLE_COLUMNS) -> DataFrame:
     """First row of each of k(month) equal-count time buckets per stratum (systematic
-    sample spread evenly over time). Ranks come from ``rank_within``, so a stratum is
+    sample spread evenly over time), in time order. Ranks come from ``rank_within``, so a stratum is
     never one task."""
     base = df.select(*columns)
-    ranked = rank_within(base, list(strata), sample_order(columns, time_col), time_col)
+    ranked = rank_within(base, list(strata), sample_order(columns, time_col))
     k = buckets_per_month(rows_per_year)
     keep = first_of_ntile(F.col("_rn"), F.col("_n"), k)
-    return ranked.where(keep).select(*columns)
+    return ranked.where(keep).select(*columns).orderBy(*sample_order(columns, time_col))

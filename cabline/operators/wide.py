@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from cabline import schemas
 from cabline.functions import derived as X
 from cabline.functions import labels as L
-from cabline.operators.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -55,8 +54,8 @@ def wide_projection(raw: DataFrame, spec: ServiceSpec, zones: DataFrame,
                     years: Iterable[int] | None = None, tip_as_percent: bool = False) -> DataFrame:
     """One service's raw trips -> the 40 wide columns (in declared order).
 
-    ``zones`` should already be passed through ``bounded_broadcast`` (``build_wide``
-    does it once for all services).
+    The zone joins carry no hint: the planner broadcasts the dimension when its size in
+    bytes allows and shuffles otherwise.
     """
     if years is not None:
         raw = raw.where(F.col("source_year").isin(list(years)))
@@ -103,7 +102,7 @@ def build_wide(raw_by_service: Mapping[str, DataFrame], zones: DataFrame,
     unknown = [s for s in wanted if s not in specs]
     if unknown:
         raise ValueError(f"unknown services: {unknown}")
-    zones = bounded_broadcast(zones.select("locationid", "zone", "borough"))
+    zones = zones.select("locationid", "zone", "borough")
     parts = [wide_projection(raw_by_service[s], specs[s], zones, years) for s in wanted]
     out = parts[0]
     for p in parts[1:]:

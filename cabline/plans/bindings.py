@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabline.operators.joins import ensure_parallelism
 from cabline.sources.conform import conform_schema
 from cabline import schemas
 
@@ -21,21 +20,14 @@ SERVICE_OF_STATUS = {"F": "yellow", "O": "green"}
 RUN_TAG = "bind"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (the read-only test files are opened once per session)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """Read one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def trips(spark: SparkSession, sf_dir: str, service: str | None = None) -> DataFrame:
     """Trips (of one service, or all) with service-neutral column names."""
-    l = ensure_parallelism(table(spark, sf_dir, "lineitem"))
+    l = table(spark, sf_dir, "lineitem")
     if service is not None:
         status = {v: k for k, v in SERVICE_OF_STATUS.items()}[service]
         l = l.where(F.col("l_linestatus") == status)   # reaches the scan as a pushed filter
@@ -167,17 +159,18 @@ FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 
 # ---------------------------------------------------------------- drifted files
 
-def drifted_generations(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Yellow raw trips split into three file generations with different layouts:
+def drifted_generations(spark: SparkSession, sf_dir: str, service: str = "yellow") -> list[DataFrame]:
+    """Raw trips of a service split into three file generations with different layouts:
     up to 1997 without ``cbd_congestion_fee`` and ids stored as doubles (NaN for
-    missing); 1998-1999 with upper-case ``Airport_fee`` / ``CBD_CONGESTION_FEE`` and
-    passenger counts as text ('n/a' for 0); 2000 on in the declared layout."""
-    raw = raw_service(spark, sf_dir, "yellow")
+    missing); 1998-1999 with upper-case column names and passenger counts as text ('n/a'
+    for 0); 2000 on in the declared layout."""
+    raw = raw_service(spark, sf_dir, service)
     a = (raw.where(F.col("source_year") <= 1997).drop("cbd_congestion_fee")
          .withColumn("PULocationID", F.coalesce(F.col("PULocationID").cast("double"), F.lit(float("nan"))))
          .withColumn("VendorID", F.col("VendorID").cast("double")))
+    upper = {"airport_fee": "Airport_fee", "trip_type": "Trip_Type", "cbd_congestion_fee": "CBD_CONGESTION_FEE"}
     b = (raw.where(F.col("source_year").between(1998, 1999))
-         .withColumnsRenamed({"airport_fee": "Airport_fee", "cbd_congestion_fee": "CBD_CONGESTION_FEE"})
+         .withColumnsRenamed({k: v for k, v in upper.items() if k in raw.columns})
          .withColumn("passenger_count", F.when(F.col("passenger_count") == 0, F.lit("n/a"))
                      .otherwise(F.col("passenger_count").cast("string"))))
     c = raw.where(F.col("source_year") >= 2000)

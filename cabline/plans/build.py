@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cabline.operators import profile
 from cabline.operators.wide import SERVICES, build_wide
@@ -22,7 +23,7 @@ from cabline.sources import sinks
 
 
 def build(spark: SparkSession, raw_base: str, zones_path: str, out: str, mode: str, years, services,
-          overwrite: bool) -> dict:
+          overwrite: bool, run_id: str | None = None) -> dict:
     unknown = [s for s in services if s not in SERVICES]
     if unknown:      # validated before anything is truncated or deleted
         raise ValueError(f"unknown services: {unknown}")
@@ -30,6 +31,8 @@ def build(spark: SparkSession, raw_base: str, zones_path: str, out: str, mode: s
     raw = {s: spark.read.parquet(f"{raw_base.rstrip('/')}/{s}") for s in services}
     zones = spark.read.parquet(zones_path)
     wide = build_wide(raw, zones, years, services)
+    if run_id is not None:       # else the run tag of the landed rows
+        wide = wide.withColumn("run_id", F.lit(run_id))
     if mode == "full":
         rows = sinks.full_rebuild(wide, out, overwrite)
         return {"written": rows}
@@ -46,12 +49,12 @@ def main(argv=None) -> None:
     ap.add_argument("--year-start", type=int, default=2022)
     ap.add_argument("--year-end", type=int, default=2024)
     ap.add_argument("--services", default="yellow,green")
-    ap.add_argument("--run-id", default="manual")
+    ap.add_argument("--run-id", default=None, help="stamp of the built rows (default: the landed rows' own)")
     ap.add_argument("--overwrite", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     res = build(spark, a.raw, a.zones, a.out, a.mode, range(a.year_start, a.year_end + 1),
-                [s.strip() for s in a.services.split(",")], a.overwrite)
+                [s.strip() for s in a.services.split(",")], a.overwrite, a.run_id)
     print(res)
     if a.mode == "full":
         wide = spark.read.parquet(a.out)

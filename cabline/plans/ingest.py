@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cabline import schemas
 from cabline.sources import ledger as LG
 from cabline.sources import sinks
-from cabline.sources.conform import add_metadata, conform_schema
+from cabline.sources.conform import add_metadata, conform_schema, utc_now
 from cabline.sources.files import read_month, read_zones_csv
 
 
@@ -62,7 +62,7 @@ def load_dimension(spark: SparkSession, csv_path: str, out: str, run_tag: str) -
     dup = z.groupBy("locationid").count().where("count > 1").limit(1).count()
     if dup:
         raise ValueError("zone ids are not unique")
-    z = z.withColumns({"run_tag": F.lit(run_tag), "ingested_at_utc": F.current_timestamp()})
+    z = z.withColumns({"run_tag": F.lit(run_tag), "ingested_at_utc": utc_now()})
     return sinks.write_table(z, out, "overwrite", ())
 
 

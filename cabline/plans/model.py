@@ -34,8 +34,8 @@ SCRATCH_GRID = {
     "Lasso": {"alpha": [0.01, 0.1, 0.5]},
     "ElasticNet": {"alpha": [0.01, 0.1, 0.5], "l1_ratio": [0.2, 0.5, 0.8]},
 }
-LIBRARY_GRID = {
-    "SGD": {"alpha": [0.001, 0.01], "max_iter": [1000, 3000]},
+INTERCEPT_GRID = {
+    "SGD": {"alpha": [0.001, 0.01]},
     "Ridge": {"alpha": [0.01, 0.1, 1.0, 10.0]},
     "Lasso": {"alpha": [0.01, 0.1, 0.5]},
     "ElasticNet": {"alpha": [0.01, 0.1, 0.5], "l1_ratio": [0.2, 0.5, 0.8]},
@@ -128,26 +128,26 @@ def fold_grams(run: ModelRun, folds: int = CV_FOLDS) -> dict:
     """Contiguous, unshuffled folds over the training rows in time order (NTILE over a
     global time rank computed without a single task); statistics of all folds in one pass."""
     train = run.design.where("split = 'train'")
-    keyed = train.withColumn("_id", F.xxhash64("pickup_datetime", "y", F.col("x").cast("string")))
-    ranked = global_row_number(keyed, [F.asc_nulls_first("pickup_datetime"), F.asc("_id")], "pickup_datetime")
+    keyed = train.withColumn("_key", F.xxhash64("pickup_datetime", "y", "x"))
+    ranked = global_row_number(keyed, [F.asc_nulls_first("pickup_datetime"), F.asc("_key")])
     fold = ranked.withColumn("fold", ntile_of(F.col("_rn"), F.col("_n"), F.lit(folds)) - 1)
     return collect_grams(fold, len(run.pre.feature_names()), "fold")
 
 
 def grid_cv(run: ModelRun, folds: int = CV_FOLDS) -> dict:
-    """k-fold CV of the library grid: fold statistics subtract from the train total, so
+    """k-fold CV of the grid of intercept models: fold statistics subtract from the train total, so
     each fold's fit needs no pass over the data; best by mean fold RMSE, refit on train."""
     fg = fold_grams(run, folds)
     total = run.grams["train"]
     best = {}
-    for name, grid in LIBRARY_GRID.items():
+    for name, grid in INTERCEPT_GRID.items():
         best[name] = {"cv_rmse": np.inf, "params": None}
         for cfg in combos(grid):
-            scores = [LN.rmse_from_gram(fg[k], LN.library_fit(name, total - fg[k], **cfg)) for k in sorted(fg)]
+            scores = [LN.rmse_from_gram(fg[k], LN.intercept_fit(name, total - fg[k], **cfg)) for k in sorted(fg)]
             m = float(np.mean(scores))
             if m < best[name]["cv_rmse"]:
                 best[name] = {"cv_rmse": m, "params": cfg}
-        f = LN.library_fit(name, total, **best[name]["params"])
+        f = LN.intercept_fit(name, total, **best[name]["params"])
         best[name]["fit"] = f
         best[name]["rmse"] = LN.rmse_from_gram(run.grams["validation"], f)
     return best
@@ -162,7 +162,7 @@ def refit_test(spark: SparkSession, run: ModelRun, best_fs: dict, best_lib: dict
         f = scratch_fit(name, g, **b["params"]); f.name = f"{name} (From Scratch)"
         fits.append(f); params.append(b["params"])
     for name, b in best_lib.items():
-        f = LN.library_fit(name, g, **b["params"]); f.name = f"{name} (Library)"
+        f = LN.intercept_fit(name, g, **b["params"]); f.name = f"{name} (Intercept)"
         fits.append(f); params.append(b["params"])
     train = run.design.where("split = 'train'")
     mean, med = DG.baseline_predictions(train)
@@ -187,15 +187,15 @@ def report(spark: SparkSession, run: ModelRun, test_board: DataFrame) -> DataFra
     win = best_model(test_board).first()
     base = board["Baseline (Mean)"]
     fs = [r["test_rmse"] for m, r in board.items() if "From Scratch" in m]
-    lib = [r["test_rmse"] for m, r in board.items() if "Library" in m]
+    with_b = [r["test_rmse"] for m, r in board.items() if "Intercept" in m]
     fit = run.results["test_fits"][win["model"]]
     res = run.design.where("split = 'test'").select((F.col("y") - LN.predict(fit)).alias("e"))
     pct = DG.abs_error_percentiles(res).first()
     row = (win["model"], win["test_rmse"], win["test_mae"], win["test_r2"],
            (base["test_rmse"] - win["test_rmse"]) / base["test_rmse"] * 100.0,
-           float(np.mean(fs)), float(np.mean(lib)), pct["p50"], pct["p80"], pct["p95"], pct["pct_lt_3"])
+           float(np.mean(fs)), float(np.mean(with_b)), pct["p50"], pct["p80"], pct["p95"], pct["pct_lt_3"])
     return spark.createDataFrame([row], "winner string, test_rmse double, test_mae double, test_r2 double, "
-                                        "improvement_pct double, avg_rmse_scratch double, avg_rmse_library double, "
+                                        "improvement_pct double, avg_rmse_scratch double, avg_rmse_intercept double, "
                                         "abs_p50 double, abs_p80 double, abs_p95 double, pct_lt_3 double")
 
 
@@ -215,7 +215,7 @@ def run_job(spark: SparkSession, wide_path: str, out: str, years, rows_per_year:
     boards = {"leaderboard": leaderboard(spark, run)}
     best_fs, best_lib = grid_holdout(run), grid_cv(run)
     boards["grid_holdout"] = grid_frame(spark, best_fs, "From Scratch")
-    boards["grid_cv"] = grid_frame(spark, best_lib, "Library")
+    boards["grid_cv"] = grid_frame(spark, best_lib, "Intercept")
     test_board = refit_test(spark, run, best_fs, best_lib)
     boards["test"] = test_board
     boards["best"] = best_model(test_board)

@@ -20,7 +20,9 @@ from cabline.operators import profile
 from cabline.operators import sample as SM
 from cabline.operators.gram import collect_grams
 from cabline.operators.wide import build_wide
+from cabline.operators.ranking import global_row_number
 from cabline.plans import bindings as B
+from cabline.plans import ingest as MI
 from cabline.plans import model as MJ
 from cabline.plans import oracle_sql as O
 from cabline.session import materialize, scratch_path
@@ -41,18 +43,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_PLANS: dict = {}
-
-
-def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide table over the bindings. The lazy DataFrame (plan only, no data) is built
-    once per session and folder, so repeated queries skip plan construction and
-    analysis; each query still executes the whole computation."""
-    key = (id(spark._jsparkSession), sf_dir, "wide")
-    if key not in _PLANS:
-        raw = {s: B.raw_service(spark, sf_dir, s) for s in ("yellow", "green")}
-        _PLANS[key] = build_wide(raw, B.zones(spark, sf_dir))
-    return _PLANS[key]
+def wide_table(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """The wide table over the bindings."""
+    raw = {s: B.raw_service(spark, sf_dir, s) for s in ("yellow", "green")}
+    return build_wide(raw, B.zones(spark, sf_dir), years)
 
 
 # ------------------------------------------------------------------ wide table
@@ -63,6 +57,11 @@ def q_wide_build(spark, sf_dir):
     return wide_table(spark, sf_dir)
 
 
+@register("wide_build_years", O.over_wide("SELECT * FROM wide WHERE source_year IN (1996, 1998)"))
+def q_wide_build_years(spark, sf_dir):
+    return wide_table(spark, sf_dir, years=[1996, 1998])
+
+
 @register("wide_summary_service", O.over_wide("""
 SELECT service_type, COUNT(*) AS filas, MIN(year) AS min_year, MAX(year) AS max_year,
        MIN(month) AS min_month, MAX(month) AS max_month
@@ -89,32 +88,42 @@ def q_wide_summary_range(spark, sf_dir):
 # ------------------------------------------------------------ ingest side
 
 
-_DRIFT_SELECT = ", ".join(
-    "dropoff_datetime AS tpep_dropoff_datetime" if c == "tpep_dropoff_datetime" else
-    "pickup_datetime AS tpep_pickup_datetime" if c == "tpep_pickup_datetime" else
-    ("CASE WHEN source_year IN (1998, 1999) AND passenger_count = 0 THEN NULL"
-     " ELSE passenger_count END AS passenger_count") if c == "passenger_count" else c
-    for c in schemas.raw_with_lineage("yellow").fieldNames())
+def _drift_sql(service: str) -> str:
+    prefix = "tpep" if service == "yellow" else "lpep"
+    names = {f"{prefix}_pickup_datetime": "pickup_datetime AS {c}", f"{prefix}_dropoff_datetime": "dropoff_datetime AS {c}",
+             "passenger_count": "CASE WHEN source_year IN (1998, 1999) AND passenger_count = 0 THEN NULL"
+                                " ELSE passenger_count END AS passenger_count"}
+    cols = ", ".join(names.get(c, c).format(c=c) for c in schemas.raw_with_lineage(service).fieldNames())
+    return f"""
+WITH trips AS ({B.TRIPS_SQL})
+SELECT {cols}
+FROM trips WHERE service_type = '{service}'"""
 
 
-@register("conform_drift", f"""
-WITH trips AS ({B.TRIPS_SQL})
-SELECT {_DRIFT_SELECT}
-FROM trips WHERE service_type = 'yellow'""")
-def q_conform_drift(spark, sf_dir):
-    target = schemas.raw_with_lineage("yellow")
-    parts = [conform_schema(g, target, tolerant=True) for g in B.drifted_generations(spark, sf_dir)]
+def _conform_drift(spark, sf_dir, service):
+    target = schemas.raw_with_lineage(service)
+    parts = [conform_schema(g, target, tolerant=True) for g in B.drifted_generations(spark, sf_dir, service)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+@register("conform_drift", _drift_sql("yellow"))
+def q_conform_drift(spark, sf_dir):
+    return _conform_drift(spark, sf_dir, "yellow")
+
+
+@register("conform_drift_green", _drift_sql("green"))
+def q_conform_drift_green(spark, sf_dir):
+    return _conform_drift(spark, sf_dir, "green")
+
+
 @register("partition_replace", O.over_wide("""
 SELECT source_year, service_type,
        CASE WHEN source_year = 1996 AND service_type = 'yellow' THEN 'rerun' ELSE run_id END AS run_id,
        COUNT(*) AS rows
-FROM wide GROUP BY 1, 2, 3"""))
+FROM wide WHERE NOT (source_year = 1998 AND service_type = 'green') GROUP BY 1, 2, 3"""))
 def q_partition_replace(spark, sf_dir):
     path = scratch_path(spark, "wide")
     wide = wide_table(spark, sf_dir)
@@ -124,6 +133,9 @@ def q_partition_replace(spark, sf_dir):
     # ... and replaced, alone, with it
     rerun = wide.withColumn("run_id", F.lit("rerun"))
     sinks.partition_replace(spark, rerun, path, [(1996, "yellow")], overwrite=True)
+    # a partition whose source rows are gone is emptied
+    less = wide.where("NOT (source_year = 1998 AND service_type = 'green')")
+    sinks.partition_replace(spark, less, path, [(1998, "green")], overwrite=True)
     return (spark.read.parquet(path).groupBy("source_year", "service_type", "run_id")
             .agg(F.count(F.lit(1)).alias("rows")))
 
@@ -169,26 +181,27 @@ def q_ledger_error_rate(spark, sf_dir):
 # ------------------------------------------------------------ modelling sample
 
 
-def sample_table(spark, sf_dir):
-    """The modelling sample, materialised once as a table in the shared checkpoint
-    folder: every later stage reads it several times.
-
-    Here the wide table is virtual (recomputed from the bindings' joins), so the
-    filtered 22-column projection is also written before the ranking passes read it;
-    the modelling job proper reads a stored wide table and skips that step."""
-    filt = SM.quality_filter(wide_table(spark, sf_dir), O.SAMPLE_YEARS).select(*schemas.SAMPLE_COLUMNS)
-    filt = materialize(filt, "filtered")
-    return materialize(SM.stratified_time_sample(filt, O.ROWS_PER_YEAR), "sample")
+def filtered_table(spark, sf_dir):
+    """Every row that passes the quality filter, written once in the shared folder: the
+    wide table is virtual here (recomputed from the bindings' joins), and profiling,
+    features, scoring and diagnostics read it several times."""
+    return materialize(SM.quality_filter(wide_table(spark, sf_dir)).select(*schemas.SAMPLE_COLUMNS), "filtered")
 
 
-@register("quality_filter", O.over_sample("SELECT * FROM filt"))
+@register("quality_filter", O.over_filt("SELECT * FROM filt"))
 def q_quality_filter(spark, sf_dir):
-    return SM.quality_filter(wide_table(spark, sf_dir), O.SAMPLE_YEARS).select(*schemas.SAMPLE_COLUMNS)
+    return SM.quality_filter(wide_table(spark, sf_dir)).select(*schemas.SAMPLE_COLUMNS)
 
 
 @register("stratified_sample", O.over_sample("SELECT * FROM sample"))
 def q_stratified_sample(spark, sf_dir):
-    return sample_table(spark, sf_dir)
+    filt = SM.quality_filter(wide_table(spark, sf_dir)).select(*schemas.SAMPLE_COLUMNS)
+    return SM.stratified_time_sample(filt, O.ROWS_PER_YEAR)
+
+
+@register("basic_quality_filter", O.over_wide("SELECT * FROM wide WHERE total_amount > 0 AND trip_distance > 0"))
+def q_basic_quality_filter(spark, sf_dir):
+    return SM.basic_quality_filter(wide_table(spark, sf_dir))
 
 
 # ------------------------------------------------------------ exploration
@@ -197,62 +210,62 @@ CATEGORICALS = ["service_type", "vendor_id", "rate_code_id", "payment_type", "pu
 
 
 def _hist_sql(expr: str, bins: int = 50) -> str:
-    return O.over_sample(f"""
+    return O.over_filt(f"""
 SELECT g.bin, round(r.lo + (g.bin - 1) * ((r.hi - r.lo) / {bins}.0), 6) AS lo,
        round(r.lo + g.bin * ((r.hi - r.lo) / {bins}.0), 6) AS hi, COALESCE(c.cnt, 0) AS count
 FROM (SELECT CAST(unnest(generate_series(1, {bins})) AS INTEGER) AS bin) g, r
-LEFT JOIN c ON c.bin = g.bin ORDER BY g.bin""", f"""x AS (SELECT {expr} AS x FROM sample WHERE {expr} IS NOT NULL),
+LEFT JOIN c ON c.bin = g.bin ORDER BY g.bin""", f"""x AS (SELECT {expr} AS x FROM filt WHERE {expr} IS NOT NULL),
 r AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM x),
 c AS (SELECT COALESCE(LEAST(CAST(floor((x.x - r.lo) / NULLIF((r.hi - r.lo) / {bins}.0, 0)) AS INTEGER) + 1, {bins}), 1)
              AS bin, COUNT(*) AS cnt FROM x, r GROUP BY 1)""")
 
 
-@register("describe_target", O.over_sample("""
+@register("describe_target", O.over_filt("""
 SELECT COUNT(total_amount) AS count, round(AVG(total_amount), 6) AS mean,
        round(stddev_samp(total_amount), 6) AS std, round(MIN(total_amount), 6) AS min,
        round(quantile_cont(total_amount, 0.25), 6) AS p25, round(quantile_cont(total_amount, 0.5), 6) AS p50,
        round(quantile_cont(total_amount, 0.75), 6) AS p75, round(MAX(total_amount), 6) AS max
-FROM sample"""))
+FROM filt"""))
 def q_describe_target(spark, sf_dir):
-    return profile.describe(sample_table(spark, sf_dir), "total_amount")
+    return profile.describe(filtered_table(spark, sf_dir), "total_amount")
 
 
-@register("null_profile", O.over_sample(
+@register("null_profile", O.over_filt(
     "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS nulls FROM sample" for c in schemas.SAMPLE_COLUMNS)
+        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS nulls FROM filt" for c in schemas.SAMPLE_COLUMNS)
     + ") WHERE nulls > 0 ORDER BY nulls DESC, column_name"))
 def q_null_profile(spark, sf_dir):
-    return profile.null_profile(sample_table(spark, sf_dir))
+    return profile.null_profile(filtered_table(spark, sf_dir))
 
 
-@register("cardinality", O.over_sample(
-    " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_unique FROM sample"
+@register("cardinality", O.over_filt(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS n_unique FROM filt"
                        for c in CATEGORICALS) + " ORDER BY column_name"))
 def q_cardinality(spark, sf_dir):
-    return profile.cardinality(sample_table(spark, sf_dir), CATEGORICALS)
+    return profile.cardinality(filtered_table(spark, sf_dir), CATEGORICALS)
 
 
-@register("topk_values", O.over_sample("""
-SELECT pu_zone, COUNT(*) AS n FROM sample WHERE pu_zone IS NOT NULL
+@register("topk_values", O.over_filt("""
+SELECT pu_zone, COUNT(*) AS n FROM filt WHERE pu_zone IS NOT NULL
 GROUP BY pu_zone ORDER BY n DESC, pu_zone LIMIT 20"""))
 def q_topk_values(spark, sf_dir):
-    return profile.top_values(sample_table(spark, sf_dir), "pu_zone", 20)
+    return profile.top_values(filtered_table(spark, sf_dir), "pu_zone", 20)
 
 
 @register("hist_raw", _hist_sql("total_amount"))
 def q_hist_raw(spark, sf_dir):
-    return profile.histogram(sample_table(spark, sf_dir), F.col("total_amount"), 50)
+    return profile.histogram(filtered_table(spark, sf_dir), F.col("total_amount"), 50)
 
 
 @register("hist_log", _hist_sql("ln(1 + total_amount)"))
 def q_hist_log(spark, sf_dir):
-    return profile.histogram(sample_table(spark, sf_dir), F.log1p("total_amount"), 50)
+    return profile.histogram(filtered_table(spark, sf_dir), F.log1p("total_amount"), 50)
 
 
-@register("rows_per_month", O.over_sample("""
-SELECT year, month, COUNT(*) AS rows FROM sample GROUP BY year, month ORDER BY year, month"""))
+@register("rows_per_month", O.over_filt("""
+SELECT year, month, COUNT(*) AS rows FROM filt GROUP BY year, month ORDER BY year, month"""))
 def q_rows_per_month(spark, sf_dir):
-    return profile.rows_per(sample_table(spark, sf_dir), ["year", "month"])
+    return profile.rows_per(filtered_table(spark, sf_dir), ["year", "month"])
 
 
 # ------------------------------------------------------------ features and models
@@ -263,7 +276,7 @@ GD_INIT = tuple(float(v) for v in LN.initial_weights(2, 42))
 
 
 def feature_frame(spark, sf_dir):
-    s = FT.create_features(sample_table(spark, sf_dir))
+    s = FT.create_features(filtered_table(spark, sf_dir))
     return FT.split_by_month(FT.prepare_features(s))
 
 
@@ -285,32 +298,32 @@ def _weights_df(spark, fit):
     return spark.createDataFrame(rows, "feature string, weight double")
 
 
-@register("feature_flags", O.over_sample("""
+@register("feature_flags", O.over_filt("""
 SELECT CAST((pickup_hour BETWEEN 7 AND 9) OR (pickup_hour BETWEEN 17 AND 19) AS INTEGER) AS is_rush_hour,
        CAST(pickup_dow IN (5, 6) AS INTEGER) AS is_weekend,
        CAST(pickup_hour >= 20 OR pickup_hour <= 5 AS INTEGER) AS is_night, COUNT(*) AS n
-FROM sample GROUP BY 1, 2, 3"""))
+FROM filt GROUP BY 1, 2, 3"""))
 def q_feature_flags(spark, sf_dir):
-    f = FT.create_features(sample_table(spark, sf_dir))
+    f = FT.create_features(filtered_table(spark, sf_dir))
     return f.groupBy(*[F.col(c).cast("int").alias(c) for c in FT.BINARY]).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("topk_other", O.over_sample("""
+@register("topk_other", O.over_filt("""
 SELECT CASE WHEN pu_zone IN (SELECT pu_zone FROM top) THEN pu_zone ELSE 'Other' END AS pu_zone_processed,
-       COUNT(*) AS n FROM sample GROUP BY 1""", """top AS (
-  SELECT pu_zone FROM sample WHERE pu_zone IS NOT NULL GROUP BY pu_zone ORDER BY COUNT(*) DESC, pu_zone LIMIT 20)"""))
+       COUNT(*) AS n FROM filt GROUP BY 1""", """top AS (
+  SELECT pu_zone FROM filt WHERE pu_zone IS NOT NULL GROUP BY pu_zone ORDER BY COUNT(*) DESC, pu_zone LIMIT 20)"""))
 def q_topk_other(spark, sf_dir):
-    f = FT.create_features(sample_table(spark, sf_dir))
+    f = FT.create_features(filtered_table(spark, sf_dir))
     return f.groupBy("pu_zone_processed").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("fare_components", O.over_sample("""
+@register("fare_components", O.over_filt("""
 SELECT service_type, round(AVG(fare_amount + extra + mta_tax + improvement_surcharge), 6) AS avg_base,
        round(MIN(fare_amount + extra + mta_tax + improvement_surcharge), 6) AS min_base,
        round(MAX(fare_amount + extra + mta_tax + improvement_surcharge), 6) AS max_base
-FROM sample GROUP BY service_type"""))
+FROM filt GROUP BY service_type"""))
 def q_fare_components(spark, sf_dir):
-    f = FT.create_features(sample_table(spark, sf_dir))
+    f = FT.create_features(filtered_table(spark, sf_dir))
     b = F.col("base_fare_components")
     return f.groupBy("service_type").agg(F.round(F.avg(b), 6).alias("avg_base"), F.round(F.min(b), 6).alias("min_base"),
                                          F.round(F.max(b), 6).alias("max_base"))
@@ -331,11 +344,42 @@ def q_split_time_range(spark, sf_dir):
                  F.count(F.lit(1)).alias("n")))
 
 
-@register("split_years", O.over_sample("""
+@register("split_years", O.over_filt("""
 SELECT year, CASE WHEN year <= 1999 THEN 'train' WHEN year = 2000 THEN 'validation' ELSE 'test' END AS split,
-       COUNT(*) AS n FROM sample GROUP BY 1, 2"""))
+       COUNT(*) AS n FROM filt GROUP BY 1, 2"""))
 def q_split_years(spark, sf_dir):
-    return FT.split_by_years(sample_table(spark, sf_dir)).groupBy("year", "split").agg(F.count(F.lit(1)).alias("n"))
+    return FT.split_by_years(filtered_table(spark, sf_dir)).groupBy("year", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("split_years_listed", O.over_filt("""
+SELECT year, CASE WHEN year IN (1995, 1996) THEN 'train' WHEN year = 1998 THEN 'validation' ELSE 'test' END AS split,
+       COUNT(*) AS n FROM filt WHERE year IN (1995, 1996, 1998, 2000) GROUP BY 1, 2"""))
+def q_split_years_listed(spark, sf_dir):
+    """Explicit lists; years in none of them are dropped."""
+    f = FT.split_by_years(filtered_table(spark, sf_dir), train=[1995, 1996], val=[1998], test=[2000])
+    return f.groupBy("year", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("impute", O.over_wide("""
+SELECT column_name, strategy, value, COUNT(*) FILTER (was_null) AS filled FROM (
+  SELECT 'total_amount' AS column_name, 'median' AS strategy, round((SELECT median(total_amount) FROM wide), 6) AS value,
+         total_amount IS NULL AS was_null FROM wide
+  UNION ALL SELECT 'vendor_id', 'most_frequent',
+         (SELECT CAST(vendor_id AS DOUBLE) FROM wide WHERE vendor_id IS NOT NULL GROUP BY vendor_id ORDER BY COUNT(*) DESC, vendor_id LIMIT 1),
+         vendor_id IS NULL FROM wide
+  UNION ALL SELECT 'rate_code_id', 'constant', -1.0, rate_code_id IS NULL FROM wide) GROUP BY 1, 2, 3"""))
+def q_impute(spark, sf_dir):
+    """Median, most frequent and constant fill of columns that hold NULLs."""
+    names = ["total_amount", "vendor_id", "rate_code_id"]
+    wide = materialize(wide_table(spark, sf_dir).select(*names), "impute")
+    rows = None
+    for c, strategy, fill in (("total_amount", "median", None), ("vendor_id", "most_frequent", None), ("rate_code_id", "constant", -1)):
+        marked = wide.withColumn("was_null", F.col(c).isNull())
+        done = FT.Imputer([c], strategy, fill).fit(marked).transform(marked)
+        one = done.agg(F.round(F.max(F.when(F.col("was_null"), F.col(c))).cast("double"), 6).alias("value"), F.count_if("was_null").alias("filled"))
+        one = one.select(F.lit(c).alias("column_name"), F.lit(strategy).alias("strategy"), "value", "filled")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
 
 
 _NUM_SQL = {
@@ -517,16 +561,53 @@ FROM (SELECT i, e, CASE WHEN i = 1 THEN 1.0::DOUBLE - power(0.5::DOUBLE, 1.0::DO
 @register("qq_points", _QQ_SQL)
 def q_qq_points(spark, sf_dir):
     r = _ridge_residuals(spark, sf_dir, "test")
-    r = r.withColumn("_id", F.xxhash64("pickup_datetime", "y", "e"))
-    pts = DG.qq_points(r, "e", "_id")
+    r = r.withColumn("_key", F.xxhash64("pickup_datetime", "y", "e"))
+    pts = DG.qq_points(r, "e", "_key")
     return pts.select("i", F.round("theoretical", 6).alias("theoretical"), F.round("ordered", 6).alias("ordered"))
 
 
+_RES = O.ridge_cte(1.0) + ",\n" + O.RESID_CTE
+
+
+def _hist_of_residuals(expr: str) -> str:
+    return O.over_features(f"""
+SELECT g.bin, round(r.lo + (g.bin - 1) * ((r.hi - r.lo) / 50.0), 4) AS lo,
+       round(r.lo + g.bin * ((r.hi - r.lo) / 50.0), 4) AS hi, COALESCE(c.cnt, 0) AS count
+FROM (SELECT CAST(unnest(generate_series(1, 50)) AS INTEGER) AS bin) g, r
+LEFT JOIN c ON c.bin = g.bin ORDER BY g.bin""", _RES + f""",
+x AS (SELECT {expr} AS x FROM res WHERE split = 'test'),
+r AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM x),
+c AS (SELECT LEAST(CAST(floor((x.x - r.lo) / ((r.hi - r.lo) / 50.0)) AS INTEGER) + 1, 50) AS bin, COUNT(*) AS cnt FROM x, r GROUP BY 1)""")
+
+
+@register("hist_residual", _hist_of_residuals("e"))
+def q_hist_residual(spark, sf_dir):
+    return profile.histogram(materialize(_ridge_residuals(spark, sf_dir, "test"), "residuals"), F.col("e"), 50, 4)
+
+
+@register("hist_abs_error", _hist_of_residuals("abs(e)"))
+def q_hist_abs_error(spark, sf_dir):
+    return profile.histogram(materialize(_ridge_residuals(spark, sf_dir, "test"), "residuals"), F.abs("e"), 50, 4)
+
+
+@register("qq_line", O.over_features(f"""
+SELECT round(regr_slope(e, t), 5) AS slope, round(regr_intercept(e, t), 5) AS intercept, round(corr(e, t), 5) AS r
+FROM (SELECT e, {O.inv_norm_sql('m')} AS t FROM (
+  SELECT i, e, CASE WHEN i = 1 THEN 1.0::DOUBLE - power(0.5::DOUBLE, 1.0::DOUBLE / n)
+                    WHEN i = n THEN power(0.5::DOUBLE, 1.0::DOUBLE / n)
+                    ELSE (CAST(i AS DOUBLE) - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS m
+  FROM (SELECT e, row_number() OVER (ORDER BY e) AS i, CAST(COUNT(*) OVER () AS DOUBLE) AS n FROM res WHERE split = 'test')))""", _RES))
+def q_qq_line(spark, sf_dir):
+    r = _ridge_residuals(spark, sf_dir, "test").withColumn("_key", F.xxhash64("pickup_datetime", "y", "e"))
+    line = DG.qq_line(DG.qq_points(r, "e", "_key"))
+    return line.select(*[F.round(c, 5).alias(c) for c in ("slope", "intercept", "r")])
+
+
 # ------------------------------------------------------------ full modelling job
 
 
 def _run(spark, sf_dir):
-    return MJ.prepare(sample_table(spark, sf_dir))
+    return MJ.prepare(filtered_table(spark, sf_dir))
 
 
 @register("leaderboard")
@@ -541,7 +622,7 @@ def q_grid_holdout(spark, sf_dir):
 
 @register("grid_cv")
 def q_grid_cv(spark, sf_dir):
-    return MJ.grid_frame(spark, MJ.grid_cv(_run(spark, sf_dir)), "Library")
+    return MJ.grid_frame(spark, MJ.grid_cv(_run(spark, sf_dir)), "Intercept")
 
 
 def _test_board(spark, sf_dir):
@@ -565,23 +646,34 @@ def q_report(spark, sf_dir):
     return MJ.report(spark, run, board)
 
 
-_SCATTER_SQL = O.over_features("""
+def _scatter_sql(x: str, y: str) -> str:
+    return O.over_features(f"""
 SELECT x_bin, y_bin, COUNT(*) AS n, round(MIN(x0), 6) AS x_min, round(MIN(x1), 6) AS x_max,
        round(MIN(y0), 6) AS y_min, round(MIN(y1), 6) AS y_max
-FROM (SELECT COALESCE(LEAST(CAST(floor((p - x0) / NULLIF((x1 - x0) / 50.0, 0)) AS INTEGER), 49), 0) AS x_bin,
-             COALESCE(LEAST(CAST(floor((e - y0) / NULLIF((y1 - y0) / 50.0, 0)) AS INTEGER), 49), 0) AS y_bin,
+FROM (SELECT COALESCE(LEAST(CAST(floor((a - x0) / NULLIF((x1 - x0) / 50.0, 0)) AS INTEGER), 49), 0) AS x_bin,
+             COALESCE(LEAST(CAST(floor((b - y0) / NULLIF((y1 - y0) / 50.0, 0)) AS INTEGER), 49), 0) AS y_bin,
              x0, x1, y0, y1
-      FROM (SELECT y - e AS p, e FROM res WHERE split = 'test') t,
-           (SELECT MIN(y - e) AS x0, MAX(y - e) AS x1, MIN(e) AS y0, MAX(e) AS y1 FROM res WHERE split = 'test') r)
-GROUP BY x_bin, y_bin ORDER BY x_bin, y_bin""", O.ridge_cte(1.0) + ",\n" + O.RESID_CTE)
+      FROM (SELECT {x} AS a, {y} AS b FROM res WHERE split = 'test') t,
+           (SELECT MIN({x}) AS x0, MAX({x}) AS x1, MIN({y}) AS y0, MAX({y}) AS y1 FROM res WHERE split = 'test') r)
+GROUP BY x_bin, y_bin ORDER BY x_bin, y_bin""", _RES)
+
 
+def _scatter(spark, sf_dir, x, y):
+    r = materialize(_ridge_residuals(spark, sf_dir, "test").withColumn("predicted", F.col("y") - F.col("e")), "residuals")
+    b = DG.scatter_bins(r, x, y, 50)
+    return b.select("x_bin", "y_bin", "n", *[F.round(c, 6).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")])
 
-@register("residual_scatter", _SCATTER_SQL)
+
+@register("residual_scatter", _scatter_sql("y - e", "e"))
 def q_residual_scatter(spark, sf_dir):
     """Residual against predicted value as counts on a 50 x 50 grid."""
-    r = _ridge_residuals(spark, sf_dir, "test").withColumn("predicted", F.col("y") - F.col("e"))
-    b = DG.scatter_bins(r, "predicted", "e", 50)
-    return b.select("x_bin", "y_bin", "n", *[F.round(c, 6).alias(c) for c in ("x_min", "x_max", "y_min", "y_max")])
+    return _scatter(spark, sf_dir, "predicted", "e")
+
+
+@register("actual_predicted", _scatter_sql("y", "y - e"))
+def q_actual_predicted(spark, sf_dir):
+    """Predicted against actual value as counts on a 50 x 50 grid."""
+    return _scatter(spark, sf_dir, "y", "predicted")
 
 
 # ------------------------------------------------------ two-feature boards (SQL-checked)
@@ -627,3 +719,108 @@ def q_grid_ridge_two(spark, sf_dir):
     rows = [(a, float(round(LN.rmse_from_gram(grams["validation"], LN.ridge(grams["train"], a)), 6)))
             for a in RIDGE_GRID]
     return spark.createDataFrame(rows, "alpha double, val_rmse double")
+
+
+# ------------------------------------------ tuning, refit, winner and report, two features
+
+TWO_GRID = [("Ridge", a, None) for a in RIDGE_GRID] + [("Lasso", a, None) for a in (0.01, 0.1, 0.5)] + [
+    ("ElasticNet", a, r) for a in (0.01, 0.1, 0.5) for r in (0.2, 0.5, 0.8)]
+
+
+def _two_fit(g, model, alpha, ratio):
+    if model == "Ridge":
+        return LN.ridge(g, alpha)
+    return LN.lasso(g, alpha) if model == "Lasso" else LN.elastic_net(g, alpha, ratio)
+
+
+def _two_tuned(spark, sf_dir):
+    """(design, board rows): the best grid point of each model by validation RMSE, refitted
+    on train + validation and scored on test."""
+    d = materialize(two_feature_design(spark, sf_dir), "design")
+    grams = collect_grams(d, 2, "split")
+    best = {}
+    for point in TWO_GRID:
+        rmse = LN.rmse_from_gram(grams["validation"], _two_fit(grams["train"], *point))
+        if point[0] not in best or round(rmse, 9) < round(best[point[0]][0], 9):
+            best[point[0]] = (rmse, point)
+    fits = [_two_fit(grams["train"] + grams["validation"], *p) for _, p in best.values()]
+    mean, _ = DG.baseline_predictions(d.where("split = 'train'"))
+    scored = LN.score_many(d.where("split = 'test'"), fits + [LN.constant_fit("Baseline (Mean)", 2, mean)])
+    tuned = spark.createDataFrame([(m, float(r), float(p[1]), p[2]) for m, (r, p) in best.items()],
+                                  "model string, val_rmse double, alpha double, l1_ratio double")
+    return tuned, scored
+
+
+@register("grid_holdout_two", O.over_features(
+    "SELECT model, alpha, l1_ratio, round(val_rmse, 6) AS val_rmse FROM best", O.grid_ctes(TWO_GRID)))
+def q_grid_holdout_two(spark, sf_dir):
+    return _two_tuned(spark, sf_dir)[0].withColumn("val_rmse", F.round("val_rmse", 6))
+
+
+@register("refit_test_two", O.over_features("""
+SELECT model, alpha, l1_ratio, round(test_rmse, 6) AS test_rmse, round(test_mae, 6) AS test_mae, round(test_r2, 6) AS test_r2
+FROM best""", O.grid_ctes(TWO_GRID)))
+def q_refit_test_two(spark, sf_dir):
+    tuned, scored = _two_tuned(spark, sf_dir)
+    return tuned.join(scored, "model").select(
+        "model", "alpha", "l1_ratio", *[F.round(c, 6).alias(f"test_{c}") for c in ("rmse", "mae", "r2")])
+
+
+@register("report_two", O.over_features("""
+SELECT model AS winner, round(test_rmse, 6) AS test_rmse,
+       round((base - test_rmse) / base * 100, 5) AS improvement_pct, round(average, 6) AS avg_rmse
+FROM best, (SELECT AVG(test_rmse) AS average FROM best),
+     (SELECT sqrt(AVG(power(y - m, 2))) AS base FROM d, (SELECT AVG(y) AS m FROM d WHERE split = 'train') WHERE split = 'test')
+ORDER BY best.test_rmse, model LIMIT 1""", O.grid_ctes(TWO_GRID)))
+def q_report_two(spark, sf_dir):
+    """Winner on test, its gain over the mean baseline, and the average of the models."""
+    tuned, scored = _two_tuned(spark, sf_dir)
+    base = scored.where("model = 'Baseline (Mean)'").select(F.col("rmse").alias("base"))
+    models = scored.join(tuned.select("model"), "model")
+    average = models.agg(F.avg("rmse").alias("average"))
+    win = profile.attach(profile.attach(models.orderBy("rmse", "model").limit(1), base), average)
+    return win.select(F.col("model").alias("winner"), F.round("rmse", 6).alias("test_rmse"),
+                      F.round((F.col("base") - F.col("rmse")) / F.col("base") * 100, 5).alias("improvement_pct"),
+                      F.round("average", 6).alias("avg_rmse"))
+
+
+@register("grid_cv_two", O.over_features("""
+SELECT alpha, round(AVG(rmse), 6) AS cv_rmse FROM (
+  SELECT alpha, k, sqrt(AVG(power(y - (w1 * x1 + w2 * x2 + b), 2))) AS rmse FROM (
+    SELECT f.*, c.alpha, ((b1 * (a22 + alpha)) - a12 * b2) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) AS w1,
+           ((a11 + alpha) * b2 - a12 * b1) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) AS w2,
+           my - ((b1 * (a22 + alpha)) - a12 * b2) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) * m1
+              - ((a11 + alpha) * b2 - a12 * b1) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) * m2 AS b
+    FROM (SELECT k, COUNT(*) AS c2, AVG(x1) AS m1, AVG(x2) AS m2, AVG(y) AS my,
+                 COUNT(*) * var_pop(x1) AS a11, COUNT(*) * var_pop(x2) AS a22, COUNT(*) * covar_pop(x1, x2) AS a12,
+                 COUNT(*) * covar_pop(x1, y) AS b1, COUNT(*) * covar_pop(x2, y) AS b2
+          FROM folds, (SELECT unnest([1, 2, 3]) AS k) WHERE fold <> k GROUP BY k) f,
+         (SELECT unnest([0.01, 0.1, 1.0, 10.0])::DOUBLE AS alpha) c) m
+  JOIN folds ON folds.fold = m.k GROUP BY alpha, k) GROUP BY alpha""", """folds AS (
+  SELECT x1, x2, y, NTILE(3) OVER (ORDER BY t, x1, x2, y) AS fold FROM timed)"""))
+def q_grid_cv_two(spark, sf_dir):
+    """Time-ordered contiguous folds: Ridge with intercept over its grid, each fold's
+    statistics taken off the total."""
+    d = two_feature_design(spark, sf_dir).where("split = 'train'")
+    ranked = global_row_number(d, [F.asc_nulls_first("pickup_datetime"), F.asc("x"), F.asc("y")])
+    folds = collect_grams(ranked.withColumn("fold", SM.ntile_of(F.col("_rn"), F.col("_n"), F.lit(3))), 2, "fold")
+    total = folds["1"] + folds["2"] + folds["3"]
+    rows = [(a, float(round(np.mean([LN.rmse_from_gram(g, LN.intercept_fit("Ridge", total - g, alpha=a)) for g in folds.values()]), 6)))
+            for a in RIDGE_GRID]
+    return spark.createDataFrame(rows, "alpha double, cv_rmse double")
+
+
+# ------------------------------------------------------------ dimension load
+
+
+@register("dimension_load", f"""
+SELECT locationid, borough, zone, service_zone, 'load1' AS run_tag FROM ({B.ZONES_SQL})""")
+def q_dimension_load(spark, sf_dir):
+    """The zone dimension as a CSV with untidy headers, landed twice (full refresh)."""
+    base = scratch_path(spark, "zones")
+    z = B.zones(spark, sf_dir)
+    z.select(F.col("locationid").alias("LocationID"), F.col("borough").alias(" Borough"), F.col("zone").alias("Zone"),
+             "service_zone").write.mode("overwrite").option("header", True).csv(f"{base}/csv")
+    for tag in ("load0", "load1"):
+        MI.load_dimension(spark, f"{base}/csv", f"{base}/table", tag)
+    return spark.read.parquet(f"{base}/table").select("locationid", "borough", "zone", "service_zone", "run_tag")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabline import schemas
+from cabline.sources.sinks import table_exists
 
 OK, ERROR = "OK", "ERROR"
 ERROR_TEXT_MAX = 500
@@ -20,10 +21,10 @@ KEYS = ["service", "year", "month"]
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(schemas.LEDGER).parquet(path)
-    except Exception:  # noqa: BLE001 - no ledger yet
+    """The ledger, empty only when its folder is absent; access errors are raised."""
+    if not table_exists(spark, path):
         return spark.createDataFrame([], schemas.LEDGER)
+    return spark.read.schema(schemas.LEDGER).parquet(path)
 
 
 def append_ledger(spark: SparkSession, path: str, service: str, year: int, month: int, status: str,

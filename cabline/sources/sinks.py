@@ -15,25 +15,31 @@ WIDE_PARTITIONS = ("source_year", "service_type")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path / no files
+    """Whether ``path`` exists and holds a table; any other trouble (access, damaged
+    files) is an error and not an absent table."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
         return False
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(target))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
                 partition_by: Sequence[str] = WIDE_PARTITIONS, dynamic: bool = False) -> int:
     """Write ``df`` and return its row count, counted in the same pass (``observe``)."""
+    return _write_counted(df, path, mode, partition_by, dynamic, {})["rows"]
+
+
+def _write_counted(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool, also: dict) -> dict:
+    """Write and count, all rows and those under each condition in ``also``, in one pass."""
     obs = Observation("written")
-    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = counted.write.mode(mode)
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in also.items()])
+    w = counted.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
-    return int(obs.get.get("rows", 0))
+    return {k: int(v or 0) for k, v in obs.get.items()}
 
 
 def full_rebuild(df: DataFrame, path: str, overwrite: bool,
@@ -68,18 +74,42 @@ def partition_replace(spark: SparkSession, df: DataFrame, path: str, wanted: Ite
     """By-partition mode: for each wanted partition, skip it when it already has rows
     (unless ``overwrite``), else (re)write it. One Spark job writes all of them.
 
-    Returns ``{"written": rows, "skipped": [...], "replaced": [...], "new": [...]}``.
+    A wanted partition that has no source rows any more is emptied: its old files go.
+
+    Returns ``{"written": rows, "skipped": [...], "replaced": [...], "new": [...],
+    "emptied": [...]}``.
     """
     wanted = [tuple(w) for w in wanted]
     have = {tuple(r[:len(keys)]): r["rows"] for r in existing_partitions(spark, path, keys, wanted).collect()}
     skipped = [w for w in wanted if have.get(w, 0) > 0 and not overwrite]
     todo = [w for w in wanted if w not in skipped]
     if not todo:
-        return {"written": 0, "skipped": skipped, "replaced": [], "new": []}
+        return {"written": 0, "skipped": skipped, "replaced": [], "new": [], "emptied": []}
     schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     todo_df = spark.createDataFrame(todo, schema)
     part = df.join(F.broadcast(todo_df), list(keys), "left_semi")
-    rows = write_table(part, path, "overwrite", keys, dynamic=True)
-    return {"written": rows, "skipped": skipped,
-            "replaced": [w for w in todo if have.get(w, 0) > 0],
-            "new": [w for w in todo if have.get(w, 0) == 0]}
+    hit = {f"w{i}": _is_partition(keys, w) for i, w in enumerate(todo)}
+    got = _write_counted(part, path, "overwrite", keys, True, hit)
+    rows = {w: got[f"w{i}"] for i, w in enumerate(todo)}
+    emptied = [w for w in todo if have.get(w, 0) > 0 and not rows[w]]
+    for w in emptied:
+        _drop_partition(spark, path, keys, w)
+    return {"written": got["rows"], "skipped": skipped, "emptied": emptied,
+            "replaced": [w for w in todo if have.get(w, 0) > 0 and rows[w]],
+            "new": [w for w in todo if have.get(w, 0) == 0 and rows[w]]}
+
+
+def _is_partition(keys: Sequence[str], values: tuple):
+    cond = F.lit(True)
+    for k, v in zip(keys, values):
+        cond = cond & (F.col(k) == F.lit(v))
+    return cond
+
+
+def _drop_partition(spark: SparkSession, path: str, keys: Sequence[str], values: tuple) -> None:
+    """Delete the folders that hold the rows of one partition."""
+    rows = spark.read.parquet(path).where(_is_partition(keys, values))
+    files = rows.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("dir")).distinct()
+    for r in files.collect():          # one folder per partition
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(r["dir"])
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -87,3 +87,49 @@ def test_grouped_percentiles_match_pandas(spark):
     ref = pd.DataFrame({"g": g, "v": v}).groupby("g")["v"].quantile([0.1, 0.5, 0.99]).unstack()
     for k, row in ref.iterrows():
         assert np.allclose(got[k], row.tolist(), atol=1e-9)
+
+
+def test_quantile_buckets_of_constant_and_missing_actuals(spark):
+    one = spark.createDataFrame([(5.0, 0.1), (5.0, 0.3)], "y double, e double")
+    r = DG.error_by_quantile_bucket(one).collect()
+    assert [(x["bucket"], x["lo"], x["hi"], x["count"]) for x in r] == [(1, 5.0, 5.0, 2)]
+    some = spark.createDataFrame([(float(i), 1.0) for i in range(20)] + [(None, 99.0)], "y double, e double")
+    r = DG.error_by_quantile_bucket(some).collect()
+    assert sum(x["count"] for x in r) == 20 and all(x["mean"] == 1.0 for x in r)
+
+
+def test_histogram_leaves_nan_out(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(10)] + [(float("nan"),), (None,)], "x double")
+    h = profile.histogram(df, F.col("x"), 5).collect()
+    assert [r["count"] for r in h] == [2] * 5 and h[0]["lo"] == 0.0
+    assert profile.not_a_number(df, ["x"]).first()["nans"] == 1
+
+
+def test_normal_quantile_matches_the_library(spark):
+    from statistics import NormalDist
+
+    ps = [1e-12, 1e-6, 0.01, 0.07, 0.075, 0.3, 0.5, 0.9, 0.9999, 1 - 1e-9]
+    df = spark.createDataFrame([(p,) for p in ps], "p double").select("p", DG.normal_quantile(F.col("p")).alias("z"))
+    for r in df.collect():
+        assert abs(r["z"] - NormalDist().inv_cdf(r["p"])) < 1e-9
+
+
+def test_imputers(spark):
+    df = spark.createDataFrame([(1.0, "b"), (2.0, "a"), (4.0, "b"), (None, "a"), (9.0, None)], "x double, c string")
+    assert FT.Imputer(["x"]).fit(df).values == {"x": 3.0}
+    assert FT.Imputer(["c"], "most_frequent").fit(df).values == {"c": "a"}       # tie: the smaller value
+    done = FT.Imputer(["c"], "constant", "?").fit(df).transform(df)
+    assert [r["c"] for r in done.collect()][-1] == "?"
+    assert FT.Imputer(["x"], fill=0.0).fit(df.where("x IS NULL")).values == {"x": 0.0}
+
+
+def test_error_text_is_cut_and_run_tag_formatted(spark, tmp_path):
+    from datetime import datetime
+
+    from cabline.plans.ingest import RUN_TAG_FORMAT, default_run_tag
+
+    path = str(tmp_path / "ledger")
+    LG.append_ledger(spark, path, "yellow", 2024, 1, LG.ERROR, error="x" * 501)
+    row = LG.read_ledger(spark, path).first()
+    assert row["error"] == "x" * 500
+    datetime.strptime(default_run_tag(), RUN_TAG_FORMAT)

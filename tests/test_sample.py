@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cabline.operators.ranking import exact_percentiles, rank_within
+from cabline.operators.ranking import _ranged, exact_percentiles, rank_within
 from cabline.operators.sample import first_of_ntile, ntile_of
 
 
@@ -42,7 +42,7 @@ def test_rank_within_matches_window(spark):
     rows = [(("hot" if rng.random() < 0.6 else f"s{rng.randint(0, 5)}"), rng.randint(0, 50), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, t int, id int")
     order = [F.asc_nulls_first("t"), F.asc("id")]
-    got = rank_within(df, ["g"], order, "t", buckets=8).select("id", "_rn", "_n")
+    got = rank_within(df, ["g"], order, partitions=8).select("id", "_rn", "_n")
     ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy(*order)).alias("rn"),
                     F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n"))
     diff = got.join(ref, "id").where("_rn != rn OR _n != n").count()
@@ -54,20 +54,24 @@ def test_exact_percentiles_match_pandas(spark):
     vals = [float(rng.choice([5.0, 5.0, 5.0, rng.uniform(0, 100)])) for _ in range(2001)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "v double, g int")
     probs = [0.0, 0.1, 0.25, 0.5, 0.8, 0.95, 1.0]
-    got = {r["g"]: r["q"] for r in exact_percentiles(df, "v", probs, ["g"], buckets=8).collect()}
+    got = {r["g"]: r["q"] for r in exact_percentiles(df, "v", probs, ["g"], partitions=8).collect()}
     pdf = pd.DataFrame({"v": vals, "g": [i % 3 for i in range(len(vals))]})
     for g, grp in pdf.groupby("g"):
         for a, b in zip(got[g], grp["v"].quantile(probs).tolist()):
             assert abs(a - b) < 1e-9
 
 
-def test_many_buckets_binary_search(spark):
-    rng = random.Random(5)
-    rows = [(("hot" if rng.random() < 0.5 else "cold"), float(rng.choice([1, 1, 1, 2, 3]) if rng.random() < 0.3
-             else rng.uniform(0, 1000)), i) for i in range(5000)]
-    df = spark.createDataFrame(rows, "g string, t double, id int")
+def test_null_strata_and_hot_ties_spread_over_partitions(spark):
+    """A NULL stratum keeps its rows, and a tied value that two thirds of the rows hold is
+    dealt out to several partitions."""
+    rows = [(None if i % 5 == 0 else "s", 7.0 if i % 3 else float(i), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, t double, id int").repartition(4)
     order = [F.asc_nulls_first("t"), F.asc("id")]
-    for b in (3, 200, 1000):
-        got = rank_within(df, ["g"], order, "t", buckets=b).select("id", "_rn")
-        ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy(*order)).alias("rn"))
-        assert got.join(ref, "id").where("_rn != rn").count() == 0
+    got = rank_within(df, ["g"], order, partitions=12).select("g", "id", "_rn", "_n")
+    ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy(*order)).alias("rn"),
+                    F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n"))
+    assert got.count() == 6000 and got.join(ref, "id").where("_rn <> rn OR _n <> n").count() == 0
+    dealt = _ranged(df, ["g"], order, 12).groupBy("_p").count().agg(F.max("count")).first()[0]
+    assert dealt < 2000
+    q = {r["g"]: r for r in exact_percentiles(df, "t", [0.0, 0.5, 1.0], ["g"], partitions=12).collect()}
+    assert set(q) == {None, "s"} and q[None]["q"][1] == 7.0 and q[None]["_n"] == 1200
