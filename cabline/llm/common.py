@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabline.session import drop_path, materialize_at
 
@@ -39,6 +40,11 @@ def unkeyed(df: DataFrame, columns: list[str]) -> list:
     return [F.col("row").getField(c).alias(c) for c in columns]
 
 
+def row_schema(df: DataFrame, ddl: str) -> T.StructType:
+    """Schema of the struct ``row`` of ``df`` followed by the columns of a DDL string."""
+    return T.StructType([df.schema["row"], *T.StructType.fromDDL(ddl).fields])
+
+
 # --- Arrow text arithmetic ---------------------------------------------------------------
 
 

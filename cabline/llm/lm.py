@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabline.llm import common as C
-from cabline.session import drop_path, materialize_at
+from cabline.session import materialize_at
 
 END = np.uint64(0x517CC1B727220A95)        # stands for the end of a text
 START = np.uint64(0x2545F4914F6CDD1D)      # context before its first word
@@ -273,7 +273,7 @@ def train_lm(docs: DataFrame, params: LmParams | None = None) -> LanguageModel:
     return LanguageModel(slots, w1.astype(np.float32), w2.astype(np.float32), int(size["n"] or 0), int(size["v"]), counts, path)
 
 
-SCORED = ("row {row}, rid long, n_tokens long, n_known long, known_log double, model_log double, slot_log double, "
+SCORED = ("rid long, n_tokens long, n_known long, known_log double, model_log double, slot_log double, "
           "rare array<struct<word: long, n: int>>")
 
 
@@ -317,8 +317,7 @@ def score_lm(docs: DataFrame, model: LanguageModel, columns: list[str] | None =
     has its own result. An empty table gives an empty result."""
     cols = docs.columns if columns is None else columns
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), F.monotonically_increasing_id().alias("rid"), "text")
-    schema = SCORED.format(row=slim.schema["row"].dataType.simpleString())
-    part, path = materialize_at(slim.mapInArrow(_score(model), schema), "lm-scores")
+    part, _ = materialize_at(slim.mapInArrow(_score(model), C.row_schema(slim, SCORED)), "lm-scores")
     rare = part.select("rid", F.explode("rare").alias("x")).select("rid", "x.word", F.col("x.n").alias("k"))
     rare = rare.join(model.counts, "word", "left").groupBy("rid").agg(
         F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rare_log"),

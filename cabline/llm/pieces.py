@@ -445,8 +445,7 @@ def encode(docs: DataFrame, params: PieceParams | None = None, columns: list[str
     p = params or PieceParams()
     cols = docs.columns if columns is None else columns
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), docs["text"])
-    row = slim.schema["row"].dataType.simpleString()
-    return slim.mapInArrow(_encode(_proto(p), p), f"row {row}, {ENCODED}")
+    return slim.mapInArrow(_encode(_proto(p), p), C.row_schema(slim, ENCODED))
 
 
 def decode(ids: Column, params: PieceParams | None = None) -> Column:

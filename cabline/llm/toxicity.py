@@ -226,4 +226,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, columns: list[str] | N
     equally; an empty table gives an empty result."""
     cols = docs.columns if columns is None else columns
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), "text")
-    return slim.mapInArrow(_score(model), f"row {slim.schema['row'].dataType.simpleString()}, score double")
+    return slim.mapInArrow(_score(model), C.row_schema(slim, "score double"))
