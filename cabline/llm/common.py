@@ -19,7 +19,7 @@ WORD_BREAKS = bytes([0x20, *range(0x09, 0x0E)])
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one vectorised step handles; bounds the temporary arrays of a task.
-WINDOW_BYTES = 2 << 20
+WINDOW_BYTES = 1 << 20
 
 
 def held_out(doc_id, remainder: int):

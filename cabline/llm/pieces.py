@@ -36,7 +36,7 @@ ESCAPE = "▁"
 #: Segments longer than this are solved one at a time.
 WIDE = 64
 #: Bytes of text whose segments are solved together (the more, the more are equal).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 NONE = -1e300
 
 
