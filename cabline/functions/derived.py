@@ -84,8 +84,3 @@ def base_fare_components(fare="fare_amount", extra="extra", mta="mta_tax",
 def tolerant_double(c) -> Column:
     """Numeric parse where bad text becomes NULL instead of an ANSI error."""
     return F.expr(f"try_cast({c} AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
-
-
-def keep_or_other(c, keep_col: str = "_keep", other: str = "Other") -> Column:
-    """Value kept when flagged as a member of the top-K set, else ``other`` (NULL -> other)."""
-    return F.when(F.col(keep_col), _c(c)).otherwise(F.lit(other))

@@ -44,9 +44,3 @@ def label(code: Column, mapping: dict[int, str], other: str = OTHER) -> Column:
     for k, v in mapping.items():
         expr = F.when(code == F.lit(k), F.lit(v)) if expr is None else expr.when(code == F.lit(k), F.lit(v))
     return F.lit(other) if expr is None else expr.otherwise(F.lit(other))
-
-
-def label_sql(code_sql: str, mapping: dict[int, str], other: str = OTHER) -> str:
-    """The same map as SQL text (used by oracle queries)."""
-    arms = " ".join(f"WHEN {k} THEN '{v}'" for k, v in mapping.items())
-    return f"CASE {code_sql} {arms} ELSE '{other}' END"
