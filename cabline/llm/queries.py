@@ -114,7 +114,43 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("new_text").cast("long").alias("kept_chars"), F.sha2("new_text", 256).alias("kept_sha256"))
 
 
-@query("op6_license_scan")
+def _op6_sql() -> str:
+    """Every line against every template, and every word against every phrase."""
+    from cabline.llm.licenses import PHRASES, TEMPLATES, words_of
+
+    text = lambda items: "[" + ", ".join("'" + w.decode().replace("'", "''") + "'" for w in items) + "]"
+    notices = ", ".join(f"({text(sorted(set(words_of(t))))}, '{label}')" for t, label in TEMPLATES)
+    phrases = ", ".join(f"({text(words_of(t))}, '{label}')" for t, label in PHRASES)
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), w AS (SELECT *, regexp_extract_all(t, {word}) AS w FROM d
+), p AS (SELECT * FROM (VALUES {phrases}) AS p(seq, label)
+), hit AS (
+  SELECT rid, label, unnest(list_filter(range(1, len(w) - len(seq) + 2), lambda i: w[i : i + len(seq) - 1] = seq)) - 1 AS place
+  FROM w, p WHERE list_has_all(w, seq)
+), b AS (
+  SELECT rid, count(*) AS n, min(place) AS lo, max(place) AS hi, list_sort(list_distinct(list(label))) AS labels FROM hit GROUP BY rid
+), n AS (SELECT * FROM (VALUES {notices}) AS n(words, label)
+), l AS (SELECT rid, row_number() OVER () AS line, list_distinct(regexp_extract_all(t, {word})) AS lw FROM (SELECT rid, unnest(string_split(t, chr(10))) AS t FROM d)
+), m AS (
+  SELECT rid, line, label, words, len(list_intersect(lw, words)) / CAST(len(words) AS DOUBLE) AS share FROM l, n
+  WHERE len(list_intersect(lw, words)) >= 0.95 * len(words) - 1e-9
+), f AS (SELECT rid, list(label) AS labels, max(share) AS share FROM m a
+  WHERE NOT EXISTS (SELECT 1 FROM m c WHERE c.line = a.line AND len(c.words) > len(a.words) AND list_has_all(c.words, a.words)) GROUP BY rid)
+SELECT doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
+       CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
+       coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(f.share, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN b ON w.rid = b.rid LEFT JOIN f ON w.rid = f.rid
+"""
+
+
+@query("op6_license_scan", _op6_sql())
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: license phrases and the templates that a line of it contains."""
     from cabline.llm.licenses import scan_licenses
