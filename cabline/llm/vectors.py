@@ -29,12 +29,12 @@ from cabline.session import drop_path, materialize_at
 @dataclass(frozen=True)
 class VectorParams:
     """threshold: cosine of a link. spill: share of the margin that loses nothing (1 is
-    exact). sample: vectors that the centroids are fitted on, at most about so many.
-    max_cells: bound of the number of cells, which else is the square root of the number
-    of vectors. block: vectors on a side of a product."""
+    exact). cells: cells per square root of the number of vectors. sample: vectors that the centroids are fitted on, at most about so many.
+    max_cells: bound of the number of cells. block: vectors on a side of a product."""
 
     threshold: float = 0.95
     spill: float = 1.0
+    cells: float = 0.5
     sample: int = 50_000
     max_cells: int = 8_192
     rounds: int = 6
@@ -42,12 +42,23 @@ class VectorParams:
     seed: int = 5
 
 
-def _matrix(column) -> np.ndarray:
-    """Rows of a list column as unit vectors in double precision, short ones padded."""
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and offsets of a list column."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    off = np.asarray(column.offsets, np.int64)
-    flat = np.asarray(column.values, np.float64)
+    return np.asarray(column.values), np.asarray(column.offsets, np.int64)
+
+
+def _bytes(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and offsets of a column of packed vectors (null: none)."""
+    parts = [x or b"" for x in column.to_pylist()]
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(parts), kind), np.concatenate([[0], np.cumsum([len(x) // size for x in parts])]).astype(np.int64)
+
+
+def _unit(flat: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Vectors flat[off[r]: off[r + 1]] as unit rows in double precision, short ones padded."""
+    flat = flat.astype(np.float64)
     size = np.diff(off)
     out = np.zeros((len(size), int(size.max(initial=1))))
     for n in np.unique(size):                      # almost always one length
@@ -79,7 +90,7 @@ def fit_cells(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
     return c
 
 
-def _assign(centroids: np.ndarray, p: VectorParams):
+def _assign(centroids: np.ndarray, p: VectorParams, kind: str):
     width = centroids.shape[1]
     apart = np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T)) if len(centroids) <= 2048 else None
     reach = p.spill * 0.5 * np.sqrt(2 - 2 * p.threshold) * (1 + 1e-9) + 1e-12
@@ -88,7 +99,10 @@ def _assign(centroids: np.ndarray, p: VectorParams):
         for batch in batches:
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
-                x = _padded(_matrix(part.column("vec")), width)
+                flat, off = _lists(part.column("vec"))
+                x = _padded(_unit(flat, off), width)
+                packed = flat.astype(kind).tobytes()
+                size = np.dtype(kind).itemsize
                 dots = x @ centroids.T
                 home = dots.argmax(axis=1)
                 gap = dots[np.arange(len(x)), home][:, None] - dots
@@ -97,29 +111,30 @@ def _assign(centroids: np.ndarray, p: VectorParams):
                 near[np.arange(len(x)), home] = True
                 r, c = np.nonzero(near)
                 cells = pa.ListArray.from_arrays(pa.array(np.searchsorted(r, np.arange(len(x) + 1)).astype(np.int32)), pa.array(c.astype(np.int32)))
+                packs = c.astype(np.int32).tobytes()
+                cut = np.asarray(cells.offsets)
+                own = pa.array([packs[4 * a: 4 * b] for a, b in zip(cut[:-1], cut[1:])], pa.binary())
+                vec = pa.array([packed[size * a: size * b] for a, b in zip(off[:-1], off[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), part.column("weight"), pa.array(home.astype(np.int32)), cells, part.column("vec")],
-                    names=["rid", "weight", "home", "cells", "vec"])
+                    [part.column("rid"), part.column("weight"), pa.array(home.astype(np.int32)), cells, own, vec],
+                    names=["rid", "weight", "home", "cells", "packed", "vec"])
 
     return run
 
 
-def _compare(p: VectorParams):
+def _compare(p: VectorParams, kind: str):
     def run(t: pa.Table) -> pa.Table:
         t = t.take(pa.array(np.argsort(t["rid"].to_numpy(), kind="stable")))
         cell, i, j = (t[c][0].as_py() for c in ("cell", "i", "j"))
         rid, weight, home, block = (t[c].to_numpy() for c in ("rid", "weight", "home", "block"))
-        vec = t["vec"].combine_chunks()
-        x = _matrix(vec)
-        dim = np.diff(np.asarray(vec.offsets))
-        cells = t["cells"].combine_chunks()
-        off, flat = np.asarray(cells.offsets, np.int64), np.asarray(cells.values)
-        off, flat = off - off[0], flat[off[0]: off[-1]]
+        flat, off = _bytes(t["vec"], kind)
+        x, dim = _unit(flat, off), np.diff(off)
+        flat, off = _bytes(t["cells"], np.int32)
         h = np.flatnonzero((home == cell) & (block == i))
         a = np.flatnonzero(block == j)
         links = np.zeros(len(rid), np.int64)
         left, right = [], []
-        # which home cells the home vectors are copied to
+        # which of the home cells seen here the home vectors are copied to
         names, code = np.unique(home, return_inverse=True)
         owner = np.repeat(np.arange(len(rid)), np.diff(off))
         place = np.searchsorted(names, flat)
@@ -159,22 +174,24 @@ def vector_links(vectors: DataFrame, column: str, params: VectorParams | None =
     spark = vectors.sparkSession
     cols = vectors.columns if keep is None else list(dict.fromkeys([*keep, column]))
     base, _ = C.keyed(vectors.select(*[vectors[f"`{c}`"] for c in cols]), "vectors")
-    v = F.col("row").getField(column).cast("array<double>")
+    single = base.schema["row"].dataType[column].dataType.simpleString() == "array<float>"
+    kind, number = ("float32", "float") if single else ("float64", "double")
+    v = F.col("row").getField(column).cast(f"array<{number}>")
     odd = F.exists("v", lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     good = base.select("rid", v.alias("v")).where(F.col("v").isNotNull()).where(~odd).where(F.exists("v", lambda e: e != 0))
-    good = good.select("rid", F.transform("v", lambda e: F.when(e == 0, 0.0).otherwise(e)).alias("vec"))
+    good = good.select("rid", F.transform("v", lambda e: F.when(e == 0, F.lit(0).cast(number)).otherwise(e)).alias("vec"))
     # equal vectors form a class, counted before any shuffle
     reps, reps_path = materialize_at(good.groupBy("vec").agg(F.min("rid").alias("rid"), F.count("*").alias("weight")), "vector-reps")
     n = reps.count()
     if not n:
         return base.withColumns({"n_links": F.lit(0).cast("long"), "class_rid": F.col("rid")})
-    k = max(1, min(p.max_cells, round(n**0.5)))
+    k = max(1, min(p.max_cells, round(p.cells * n**0.5)))
     share = min(1.0, p.sample / n)
     sample = reps.where(F.pmod(F.xxhash64("rid"), F.lit(1 << 30)) < round(share * (1 << 30))).orderBy("rid").select("vec").toArrow()
-    x = _matrix(sample["vec"])
+    x = _unit(*_lists(sample["vec"])) if len(sample) else np.empty((0, 1))
     centroids = fit_cells(x, k, p.rounds, p.seed) if len(x) else np.ones((1, 1))
     placed, placed_path = materialize_at(
-        reps.select("rid", "weight", "vec").mapInArrow(_assign(centroids, p), "rid long, weight long, home int, cells array<int>, vec array<double>"),
+        reps.select("rid", "weight", "vec").mapInArrow(_assign(centroids, p, kind), "rid long, weight long, home int, cells array<int>, packed binary, vec binary"),
         "vector-cells")
     spread = placed.withColumn("cell", F.explode("cells"))
     sizes = spread.groupBy("cell").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
@@ -184,10 +201,12 @@ def vector_links(vectors: DataFrame, column: str, params: VectorParams | None =
     down = F.transform(every, lambda b: F.struct(b.alias("i"), F.col("block").alias("j")))
     along = F.transform(every, lambda b: F.struct(F.col("block").alias("i"), b.alias("j")))
     tiles = F.when(F.col("home") == F.col("cell"), F.array_union(down, along)).otherwise(down)
+    # where a vector is copied to is asked of home vectors only
     rows = rows.withColumn("tile", F.explode(tiles)).select(
-        "cell", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "block", "rid", "weight", "home", "cells", "vec")
+        "cell", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "block", "rid", "weight", "home",
+        F.when(F.col("home") == F.col("cell"), F.col("packed")).alias("cells"), "vec")
     found, found_path = materialize_at(
-        rows.groupBy("cell", "i", "j").applyInArrow(_compare(p), "rid long, links long, root long"), "vector-links")
+        rows.groupBy("cell", "i", "j").applyInArrow(_compare(p, kind), "rid long, links long, root long"), "vector-links")
     final, final_paths = C.components(found.select(F.col("rid").alias("a"), F.col("root").alias("b")))
     near = found.groupBy("rid").agg(F.sum("links").alias("links"))
     head = (
