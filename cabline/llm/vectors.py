@@ -126,11 +126,11 @@ def _compare(p: VectorParams, kind: str):
     def run(t: pa.Table) -> pa.Table:
         t = t.take(pa.array(np.argsort(t["rid"].to_numpy(), kind="stable")))
         cell, i, j = (t[c][0].as_py() for c in ("cell", "i", "j"))
-        rid, weight, home, block = (t[c].to_numpy() for c in ("rid", "weight", "home", "block"))
+        rid, weight, home, hblock, block = (t[c].to_numpy() for c in ("rid", "weight", "home", "hblock", "block"))
         flat, off = _bytes(t["vec"], kind)
         x, dim = _unit(flat, off), np.diff(off)
         flat, off = _bytes(t["cells"], np.int32)
-        h = np.flatnonzero((home == cell) & (block == i))
+        h = np.flatnonzero((home == cell) & (hblock == i))
         a = np.flatnonzero(block == j)
         links = np.zeros(len(rid), np.int64)
         left, right = [], []
@@ -194,16 +194,18 @@ def vector_links(vectors: DataFrame, column: str, params: VectorParams | None =
         reps.select("rid", "weight", "vec").mapInArrow(_assign(centroids, p, kind), "rid long, weight long, home int, cells array<int>, packed binary, vec binary"),
         "vector-cells")
     spread = placed.withColumn("cell", F.explode("cells"))
-    sizes = spread.groupBy("cell").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
-    # to the tiles (home block, block): as home vector along a row, as any vector down a column
-    rows = spread.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    down = F.transform(every, lambda b: F.struct(b.alias("i"), F.col("block").alias("j")))
-    along = F.transform(every, lambda b: F.struct(F.col("block").alias("i"), b.alias("j")))
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / p.block)).cast("int")
+    sizes = spread.groupBy("cell").agg(blocks(F.count_if(F.col("home") == F.col("cell"))).alias("rows"), blocks(F.count("*")).alias("cols"))
+    # tiles (block of home vectors, block of all vectors): home vectors along a row of tiles,
+    # all vectors down a column
+    part = lambda n: F.pmod(F.xxhash64("rid"), n).cast("int")
+    rows = spread.join(sizes, "cell").withColumns({"hblock": part(F.col("rows")), "block": part(F.col("cols"))})
+    down = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda b: F.struct(b.alias("i"), F.col("block").alias("j")))
+    along = F.transform(F.sequence(F.lit(0), F.col("cols") - 1), lambda b: F.struct(F.col("hblock").alias("i"), b.alias("j")))
     tiles = F.when(F.col("home") == F.col("cell"), F.array_union(down, along)).otherwise(down)
     # where a vector is copied to is asked of home vectors only
     rows = rows.withColumn("tile", F.explode(tiles)).select(
-        "cell", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "block", "rid", "weight", "home",
+        "cell", F.col("tile.i").alias("i"), F.col("tile.j").alias("j"), "hblock", "block", "rid", "weight", "home",
         F.when(F.col("home") == F.col("cell"), F.col("packed")).alias("cells"), "vec")
     found, found_path = materialize_at(
         rows.groupBy("cell", "i", "j").applyInArrow(_compare(p, kind), "rid long, links long, root long"), "vector-links")
