@@ -73,6 +73,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
         _WRITTEN.remove(path)
 
 
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables written inside the block are dropped at its end, but for the last one."""
+    before = set(_WRITTEN)
+    yield
+    for path in [p for p in _WRITTEN if p not in before][:-1]:
+        drop_path(spark, path)
+
+
 def _drop_all(spark: SparkSession) -> None:
     for path in list(_WRITTEN):
         with contextlib.suppress(Exception):   # the session may have been stopped before
