@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabline.llm import common as C
-from cabline.session import drop_path, materialize, materialize_at
+from cabline.session import drop_path, materialize_at
 
 
 @dataclass(frozen=True)
@@ -206,6 +206,7 @@ def line_dedup(docs: DataFrame, params: LineParams | None = None, keep: list[str
     drop_path(spark, marks_path)
     drop_path(spark, seen_path)
     cut = F.pandas_udf(_cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("lines", T.LongType()), T.StructField("words", T.LongType())]))
+    cut = cut.asNondeterministic()             # one call per text, wherever its results are used
     # one plan at every size: texts are dealt by row number, whether the cuts are few or many
     out = base.join(cuts.hint("merge"), "rid", "left").withColumn("new", cut(F.col("row")["text"], F.col("cuts")))
     return out.select("rid", "row", F.col("new.text").alias("new_text"), F.col("new.lines").alias("removed_lines"),
@@ -215,7 +216,7 @@ def line_dedup(docs: DataFrame, params: LineParams | None = None, keep: list[str
 def drop_repeated_lines(docs: DataFrame, params: LineParams | None = None) -> DataFrame:
     """``docs`` with the shortened texts (and ``n_chars`` counted anew where it exists); a
     text that loses all its words to earlier places is a whole copy and goes."""
-    out = materialize(line_dedup(docs, params), "lines-out")
+    out = line_dedup(docs, params)
     gone = (F.col("removed_lines") > 0) & ~F.coalesce(F.col("new_text").rlike(C.WORD), F.lit(False))
     out = out.where(~gone)
     cols = []

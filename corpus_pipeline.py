@@ -15,7 +15,7 @@ from cabline.llm.lines import drop_repeated_lines
 from cabline.llm.mixing import take_mix
 from cabline.llm.pieces import encode
 from cabline.llm.quality import drop_low_quality
-from cabline.session import materialize_at
+from cabline.session import materialize_at, temporary_tables
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -63,5 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*DOCUMENT)
     for name, stage in STAGES:
-        docs, _ = materialize_at(stage(spark, docs, sf_dir), f"stage-{name}")
+        with temporary_tables(spark):        # what a stage wrote for itself goes with it
+            out = materialize_at(stage(spark, docs, sf_dir), f"stage-{name}")[1]
+        docs = spark.read.parquet(out)
     return docs
