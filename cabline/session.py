@@ -74,12 +74,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def temporary_tables(spark: SparkSession):
-    """Tables written inside the block are dropped at its end, but for the last one."""
-    before = set(_WRITTEN)
-    yield
-    for path in [p for p in _WRITTEN if p not in before][:-1]:
-        drop_path(spark, path)
+def written_tables():
+    """Yields a list that holds, after the block, the scratch tables it wrote and kept."""
+    before, paths = set(_WRITTEN), []
+    yield paths
+    paths.extend(p for p in _WRITTEN if p not in before)
 
 
 def _drop_all(spark: SparkSession) -> None:
