@@ -135,8 +135,9 @@ def thresholds(measured: DataFrame, p: QualityParams) -> DataFrame:
 def judge(measured: DataFrame, p: QualityParams | None = None) -> DataFrame:
     """Adds base_failed, failed_rules (names) and kept to the result of ``measure``.
 
-    ``measured`` is read twice, for the sketches and for the verdicts. The limits are stored
-    in between: a few rows whose size the planner knows, so that texts are not shuffled to
+    ``measured`` is read twice (sketches, then verdicts), so it should be a stored table:
+    filters on an expression tree that counts words would be pushed below the counts and
+    count anew. The limits are stored as well: a few rows whose size the planner knows, so that texts are not shuffled to
     meet them unless there are very many groups. Null languages and sources are groups of their own; a text without words fails the base
     rules; equal rows get equal verdicts; an empty table gives an empty result.
     """
@@ -161,11 +162,9 @@ def judge(measured: DataFrame, p: QualityParams | None = None) -> DataFrame:
 def quality(docs: DataFrame, columns: list[str], p: QualityParams | None = None) -> DataFrame:
     """Verdicts for ``docs`` (columns text, lang, source): struct ``row`` of ``columns`` with
     the measures, base_failed, failed_rules and kept. Extra columns never clash. The
-    measures are stored between the two readings where rows are narrow; beside whole texts
-    they are counted twice instead, which costs no copy of the corpus."""
+    measures are stored beside ``row`` between the two readings, in the shared folder."""
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("row"), "text", "lang", "source")
-    measured = measure(slim).drop("text")
-    return judge(measured if "text" in columns else materialize(measured, "quality-measures"), p)
+    return judge(materialize(measure(slim).drop("text"), "quality-measures"), p)
 
 
 def drop_low_quality(docs: DataFrame, p: QualityParams | None = None) -> DataFrame:
