@@ -5,12 +5,12 @@ A *gram* starts at a line and takes following lines until it has ``noise`` words
 every stretch of lines that has ``guarantee`` words the gram with the smallest hash is
 selected. What is selected depends on the stretch alone, so two equal runs of lines with at
 least ``guarantee`` words select the same gram at the same place: no such repeat is missed.
-A selected gram carries the hashes of its neighbouring lines, ``guarantee`` words to each
-side; a run cannot reach further without a further selected gram.
+A selected gram carries one hash per extension over its neighbouring lines, ``guarantee``
+words to each side; a run cannot reach further without a further selected gram.
 
-Grams with equal hashes are joined with their first and with their nearest earlier place,
-matches are extended both ways over the carried neighbours, and the later run of each match
-is deleted from its text.
+The first place of every gram and of every extension is a minimum over all places. A place
+that is not the first one is extended each way as far as any earlier place agrees with it,
+and that run is deleted from its text.
 """
 
 from __future__ import annotations
@@ -92,6 +92,24 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray, ptr: np.ndarray, noise:
     return row[sel], sel, end[sel], gram[sel], left, right
 
 
+def neighbourhoods(hashes: np.ndarray, sel: np.ndarray, end: np.ndarray, gram: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """One key for every extension of every gram, shortest first: hash of the gram, the side
+    and the lines between. Returns (keys, row pointers) of the left and of the right side."""
+    n = len(hashes)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(C.mix64(hashes) * C._power_table(C._BASE, n), out=total[1:])
+    inverse = C._power_table(C._BASE_INV, n)
+    out = []
+    for side, size in ((1, sel - left), (2, right - end)):
+        ptr = np.concatenate([[0], np.cumsum(size)])
+        of = np.repeat(np.arange(len(sel)), size)
+        length = np.arange(ptr[-1]) - ptr[of] + 1
+        a = sel[of] - length if side == 1 else end[of]
+        lines = (total[a + length] - total[a]) * inverse[a]
+        out.append((C.mix64(C.mix64(lines + length.astype(np.uint64) * np.uint64(4) + np.uint64(side)) ^ C.mix64(gram[of] + np.uint64(side))), ptr))
+    return out
+
+
 def _select(p: LineParams):
     def run(batches):
         for batch in batches:
@@ -102,49 +120,16 @@ def _select(p: LineParams):
                 row, s, e, gram, left, right = fingerprints(h, w, ptr, p.noise, p.guarantee)
                 if not len(row):
                     continue
-                base, bytes_ = ptr[:-1][row], C.signed(h).tobytes()
+                base = ptr[:-1][row]
+                sides = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(C.signed(k))) for k, at in neighbourhoods(h, s, e, gram, left, right)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(C.signed(gram)), pa.array(rid[a + row]), pa.array((s - base).astype(np.int64)),
-                     pa.array((e - s).astype(np.int32)),
-                     pa.array([bytes_[8 * x: 8 * y] for x, y in zip(left, s)], pa.binary()),
-                     pa.array([bytes_[8 * x: 8 * y] for x, y in zip(e, right)], pa.binary())],
+                     pa.array((e - s).astype(np.int32)), *sides],
                     names=["gram", "rid", "line", "n", "before", "after"])
 
     return run
 
 
-def _same(x: bytes, y: bytes, tail: bool) -> int:
-    """Equal line hashes at the ends (``tail``) or at the beginnings of two neighbourhoods."""
-    n = min(len(x), len(y))
-    if not n:
-        return 0
-    u, v = (np.frombuffer(z[-n:] if tail else z[:n], np.int64) for z in (x, y))
-    differ = np.flatnonzero((u != v)[::-1] if tail else u != v)
-    return int(differ[0]) if len(differ) else n // 8
-
-
-def _extend(batches):
-    """Rows in order of (gram, place): deleted lines (rid, from, to) of every later place."""
-    last = None
-    for batch in batches:
-        rid, line, out = [], [], []
-        c = {k: batch.column(k).to_pylist() for k in ("gram", "rid", "line", "n", "before", "after", "first_rid", "first_line", "first_before", "first_after")}
-        for i in range(batch.num_rows):
-            here = (c["gram"][i], c["rid"][i], c["line"][i], c["before"][i], c["after"][i])
-            others = []
-            if (c["first_rid"][i], c["first_line"][i]) != here[1:3]:
-                others.append((c["first_before"][i], c["first_after"][i]))
-                if last is not None and last[0] == here[0]:
-                    others.append(last[3:])
-            last = here
-            if others:
-                back = max(_same(here[3], o[0], True) for o in others)
-                on = max(_same(here[4], o[1], False) for o in others)
-                rid.append(here[1]), line.append(here[2] - back), out.append(here[2] + c["n"][i] + on)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rid, pa.int64()), pa.array(line, pa.int64()), pa.array(out, pa.int64())], names=["rid", "start", "stop"])
-
-
 def _cut(text: pd.Series, cuts: pd.Series) -> pd.DataFrame:
     """Texts without the lines in the cuts ([start, stop, start, stop, ...], counted over
     lines with a word), and the numbers of lines and words that went."""
@@ -182,7 +167,7 @@ def line_dedup(docs: DataFrame, params: LineParams | None = None, keep: list[str
     order = [p.order_by] if p.order_by in docs.columns else []
     cols = docs.columns if keep is None else list(dict.fromkeys([*keep, *order, "text"]))
     base, _ = C.keyed(docs.select(*[docs[f"`{c}`"] for c in cols]), "lines-docs")
-    schema = "gram long, rid long, line long, n int, before binary, after binary"
+    schema = "gram long, rid long, line long, n int, before array<long>, after array<long>"
     marks, marks_path = materialize_at(base.select("rid", F.col("row")["text"].alias("text")).mapInArrow(_select(p), schema), "lines-marks")
     # only grams that stand in two places go on
     twice = marks.groupBy("gram").agg(F.count("*").alias("places")).where("places > 1").select("gram")
@@ -194,13 +179,18 @@ def line_dedup(docs: DataFrame, params: LineParams | None = None, keep: list[str
         seen = seen.select("*", F.lit(0).alias("o"), F.lit(False).alias("z"))
     seen, seen_path = materialize_at(seen, "lines-seen")
     place = F.struct("z", "o", "rid", "line")
-    first = seen.groupBy("gram").agg(F.min(F.struct(place.alias("place"), "before", "after")).alias("f")).select(
-        "gram", F.col("f.place.rid").alias("first_rid"), F.col("f.place.line").alias("first_line"),
-        F.col("f.before").alias("first_before"), F.col("f.after").alias("first_after"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # dealt out by gram and place together: a passage of any frequency spreads over tasks
-    ordered = seen.join(first, "gram").repartitionByRange(n, "gram", "z", "o", "rid", "line")
-    cuts = ordered.sortWithinPartitions("gram", "z", "o", "rid", "line").mapInArrow(_extend, "rid long, start long, stop long")
+    # keys of both sides; length 0 is the gram alone
+    step = lambda sign: lambda k, i: F.struct(k.alias("key"), (sign * (i + 1)).alias("length"))
+    sides = [F.transform("before", step(-1)), F.transform("after", step(1))]
+    keys = F.explode(F.concat(F.array(F.struct(F.col("gram").alias("key"), F.lit(0).alias("length"))), *sides))
+    keyed = seen.select(keys.alias("x"), place.alias("place"), "n").select("x.key", "x.length", "place", "n")
+    # the first place of every key, combined before the shuffle; a key of one place has no other
+    first = keyed.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("places")).where("places > 1").drop("places")
+    later = keyed.join(first, "key").where(F.col("place") > F.col("first"))
+    # an extension that stands earlier has all shorter ones earlier as well
+    cuts = later.groupBy(F.col("place.rid").alias("rid"), F.col("place.line").alias("line")).agg(
+        F.min("length").alias("back"), F.max("length").alias("on"), F.first("n").alias("n"))
+    cuts = cuts.select("rid", (F.col("line") + F.least("back", F.lit(0))).alias("start"), (F.col("line") + F.col("n") + F.greatest("on", F.lit(0))).alias("stop"))
     cuts = cuts.distinct().groupBy("rid").agg(F.flatten(F.collect_list(F.array("start", "stop"))).alias("cuts"))
     cuts, _ = materialize_at(cuts, "lines-cuts")
     drop_path(spark, marks_path)

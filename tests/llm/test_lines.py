@@ -87,3 +87,40 @@ def test_copies_keep_the_first(documents):
             if r.text in first:
                 assert not words(r.new_text), r.doc_id
             first.setdefault(r.text, r.doc_id)
+
+
+def test_a_repeat_is_extended_against_all_earlier_places(spark):
+    """Q+P stands in documents 2 and 4 with P alone between: document 4 goes whole."""
+    docs = []
+    for k in range(12):
+        p, q = long_line(f"p{k}x", 60), long_line(f"q{k}x", 20)
+        docs += [(10 * k + d, t) for d, t in enumerate([p, q + "\n" + p, p, q + "\n" + p, p + "\n" + q, p, p + "\n" + q])]
+    out = {d: r for (d, _), r in by_text(line_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(7))).items()}
+    for k in range(12):
+        q = long_line(f"q{k}x", 20)
+        assert [out[10 * k + d].new_text for d in range(1, 7)] == [q, "", "", q, "", ""], k
+
+
+def test_every_line_of_every_repeat_over_the_guarantee_goes(spark):
+    rng = random.Random(11)
+    pool = [long_line(f"l{k}w", rng.randint(1, 30)) for k in range(30)]
+    docs = []
+    for d in range(120):
+        a = rng.randrange(25)
+        docs.append((d, "\n".join([long_line(f"own{d}a", 9), *pool[a: a + rng.randint(1, 12)], long_line(f"own{d}b", 9)])))
+    p = LineParams()
+    out = by_text(line_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)))
+    earlier = set()
+    for d, text in docs:
+        lines = text.split("\n")
+        runs = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)]
+        must, may = set(), set()
+        for i, j in runs:
+            n = sum(len(words(x)) for x in lines[i:j])
+            if tuple(lines[i:j]) in earlier:
+                may.update(range(i, j) if n >= p.noise else ())
+                must.update(range(i, j) if n >= p.guarantee else ())
+        left = out[(d, text)].new_text.split("\n")
+        gone = {i for i, x in enumerate(lines) if x not in left}
+        assert must <= gone <= may, d
+        earlier.update(tuple(lines[i:j]) for i, j in runs)
