@@ -6,6 +6,10 @@ The sketch is a histogram over logarithmic bins (values under 64 exactly, above
 per doubling, so a quantile is right within about 3%). Sketches are plain counts: partial ones
 merge by adding, in any order, with the same result; a small group's sketch is replaced by
 its language's or by that of all texts, which are sums of the same bins.
+
+Junk must not set its own limit. So a limit is also bounded by a multiple of the spread in
+the clean half of the sketch (quartile to median, on the side away from the limit, which junk
+does not reach before it is half of the group), in the group and in its language.
 """
 
 from __future__ import annotations
@@ -26,13 +30,16 @@ BREAK = r"[\x20\x09-\x0D]+"
 #: Measures of the adaptive rules: a text far above (or below) what is usual is rejected.
 HIGH = ("symbol_share", "dup_line_share", "repeat_share", "word_length")
 LOW = ("word_length",)
+WHOLE = 10_000                             # a share of everything
 
 
 @dataclass(frozen=True)
 class QualityParams:
     """min_words, max_repeat_percent: base rules. middle, tail: quantiles (in percent) of a
     measure; a text is rejected beyond tail + spread * (tail - middle) + margin of the
-    measure, mirrored for the low side. min_group: texts that a group's own sketch needs."""
+    measure, mirrored for the low side. min_group: texts that a group's own sketch needs.
+    bound: a limit is at most middle + bound * (spread * (middle - quartile) + margin), and a
+    share's at most half way from the middle to the whole."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -41,6 +48,8 @@ class QualityParams:
     spread: int = 3
     margins: tuple[tuple[str, int], ...] = (("symbol_share", 100), ("dup_line_share", 3000), ("repeat_share", 1500), ("word_length", 500))
     min_group: int = 200
+    quartile: int = 25
+    bound: int = 4
     salts: int = 16
 
 
@@ -113,23 +122,32 @@ def thresholds(measured: DataFrame, p: QualityParams) -> DataFrame:
     # the quantile q lies in the first bin that reaches q percent of the group
     reach = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, bin_top(F.col("bin"))))
     q = ranked.groupBy(*group).agg(
-        F.first("total").alias("total"), reach(p.middle).alias("mid"), reach(p.tail).alias("top"), reach(100 - p.tail).alias("low"))
+        F.first("total").alias("total"), reach(p.middle).alias("mid"), reach(p.tail).alias("top"), reach(100 - p.tail).alias("low"),
+        reach(p.quartile).alias("lower"), reach(100 - p.quartile).alias("upper"))
     margin = F.create_map(*[F.lit(x) for pair in p.margins for x in pair])[F.col("rule")]
-    q = q.withColumn("high_limit", F.col("top") + p.spread * (F.col("top") - F.col("mid")) + margin)
-    q = q.withColumn("low_limit", F.col("low") - p.spread * (F.col("mid") - F.col("low")) - margin)
-    picks = [F.max(F.when(F.col("rule") == k, F.col("high_limit"))).alias(f"{k}_high") for k in HIGH]
-    picks += [F.max(F.when(F.col("rule") == k, F.col("low_limit"))).alias(f"{k}_low") for k in LOW]
-    limits = q.groupBy("level", "lang", "source").agg(F.max("total").alias("total"), *picks)
+    q = q.withColumn("high_bound", F.col("mid") + p.bound * (p.spread * (F.col("mid") - F.col("lower")) + margin))
+    half = F.floor((F.col("mid") + WHOLE) / 2)
+    q = q.withColumn("high_bound", F.when(F.col("rule").endswith("_share"), F.least("high_bound", half)).otherwise(F.col("high_bound")))
+    q = q.withColumn("low_bound", F.col("mid") - p.bound * (p.spread * (F.col("upper") - F.col("mid")) + margin))
+    q = q.withColumn("high_limit", F.least("high_bound", F.col("top") + p.spread * (F.col("top") - F.col("mid")) + margin))
+    q = q.withColumn("low_limit", F.greatest("low_bound", F.col("low") - p.spread * (F.col("mid") - F.col("low")) - margin))
     names = [f"{k}_high" for k in HIGH] + [f"{k}_low" for k in LOW]
-    own = limits.where("level = 0").select("lang", "source", "total", F.struct(*names).alias("limit"))
+    picks = [F.struct(*[F.max(F.when(F.col("rule") == n.rpartition("_")[0], F.col(f"{n.rpartition('_')[2]}_{kind}"))).alias(n) for n in names]).alias(kind)
+             for kind in ("limit", "bound")]
+    limits = q.groupBy("level", "lang", "source").agg(F.max("total").alias("total"), *picks)
+    own = limits.where("level = 0").select("lang", "source", "total", "limit")
     lang = limits.where("level = 1").select(
-        F.col("lang").alias("l"), F.col("total").alias("l_total"), F.struct(*names).alias("l_limit"))
-    every = limits.where("level = 2").select(F.struct(*names).alias("a_limit"))
+        F.col("lang").alias("l"), F.col("total").alias("l_total"), F.col("limit").alias("l_limit"), F.col("bound").alias("l_bound"))
+    every = limits.where("level = 2").select(F.col("limit").alias("a_limit"), F.col("bound").alias("a_bound"))
     # one row of all texts, joined on a constant key
     out = own.join(lang, F.col("lang").eqNullSafe(F.col("l")), "left").withColumn("one", F.lit(1)).join(
         every.withColumn("one", F.lit(1)), "one", "left")
     chosen = F.when(F.col("total") >= p.min_group, F.col("limit")).when(F.col("l_total") >= p.min_group, F.col("l_limit")).otherwise(F.col("a_limit"))
-    return out.select("lang", "source", chosen.alias("limit")).select("lang", "source", "limit.*")
+    # a source that is mostly junk meets the bound of its language
+    bound = F.when(F.col("l_total") >= p.min_group, F.col("l_bound")).otherwise(F.col("a_bound"))
+    out = out.select("lang", "source", chosen.alias("limit"), bound.alias("bound"))
+    stricter = [(F.least if n.endswith("_high") else F.greatest)(f"limit.{n}", f"bound.{n}").alias(n) for n in names]
+    return out.select("lang", "source", *stricter)
 
 
 def judge(measured: DataFrame, p: QualityParams | None = None) -> DataFrame:

@@ -71,3 +71,36 @@ def test_awkward_rows_and_native_plan(awkward):
         assert not (r.base_failed and r.kept)
     assert Q.drop_low_quality(awkward).columns == awkward.columns
     assert Q.drop_low_quality(awkward.limit(0)).count() == 0
+
+
+def dirty(share, alone):
+    """600 texts of a hot source, ``share`` in ten of them junk of three kinds, and (unless
+    alone) 600 clean ones of another source."""
+    rng = random.Random(7)
+    vocab = [f"{a}{b}{c}" for a in "abcdefgh" for b in "iou" for c in "klmnpr"]
+    rows, junk = [], set()
+    for d in range(600 if alone else 1200):
+        lines = [" ".join(rng.choice(vocab) for _ in range(20)) for _ in range(8)]
+        if d < 600 and d % 10 < share:
+            junk.add(d)
+            if d % 3 == 0:
+                lines = [x.replace(" ", " | #").replace("a", "$") for x in lines]
+            elif d % 3 == 1:
+                lines = [x.replace(" ", "# #") for x in lines]
+            else:
+                lines = [x.replace(" ", f" {'w' * 30}#{i} ") for i, x in enumerate(lines)]
+        rows.append((d, "\n".join(lines), "en", "hot" if d < 600 else "calm"))
+    return rows, junk
+
+
+def test_junk_does_not_set_its_own_limit(spark):
+    """A source that is 30 % junk (alone in its language or not) or 60 % junk beside clean ones."""
+    for share, alone in ((3, True), (3, False), (6, False)):
+        if share == 6:
+            rows, junk = dirty(share, alone)
+            rows += [(2000 + d, t, lang, "calm") for d, t, lang, s in rows if s == "calm"]
+        else:
+            rows, junk = dirty(share, alone)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        kept = {r.doc_id for r in Q.drop_low_quality(docs).collect()}
+        assert kept == {r[0] for r in rows} - junk, (share, alone, len(kept & junk))
