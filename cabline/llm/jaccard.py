@@ -1,11 +1,12 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: MinHash banding, then exact verification.
 
 Every text is the set of its 5-word shingles (fewer words: one shingle of all of them; no
 word: no shingle, such texts link with nothing). Texts with equal sets form one class, so
 exact copies are never compared. A class's MinHash values label one path in each of
-``trees`` prefix tries. Prefixes start at the full label and are shortened one hash at a
-time until the tries together reach the target recall at the threshold; classes that share
-a prefix of that length in any trie meet in a bucket. In a bucket, signatures rule out pairs
+``trees`` trees. This is fixed banding, not an LSH forest that shortens prefixes on the data:
+the depth is computed from the parameters alone, as the longest at which all trees together
+reach the target recall at the threshold, and the hashes of a label beyond it only serve the
+signatures; classes with equal prefixes of that depth in any tree meet in a bucket. In a bucket, signatures rule out pairs
 that are far below the threshold, and what remains is reduced to groups. All pairs of a
 group are compared exactly on their shingles, in square tiles, so that a group of any size
 spreads over tasks and only counts and a spanning set of links leave a tile.
