@@ -296,3 +296,37 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         F.col("row.doc_id").alias("doc_id"), held_out(F.col("row.doc_id"), 1).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+_OP11_SQL = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT qid, item_id, term, count(*) AS c FROM (
+    SELECT row_number() OVER () AS qid, item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), p AS (
+  SELECT rid, doc_id, CAST(n AS BIGINT) AS n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM w) GROUP BY ALL
+), s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM w WHERE len(w) > 0
+), f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM p, s GROUP BY term, n_docs
+), x AS (
+  SELECT qid, item_id, rid, doc_id,
+         sum(c * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS score
+  FROM i JOIN p USING (term) JOIN f USING (term), s GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0) WHERE rank <= 20
+"""
+
+
+@query("op11_ranked_search", _OP11_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    from cabline.llm.search import ranked_search
+
+    out = ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
