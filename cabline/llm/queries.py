@@ -330,3 +330,93 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+_OP12_SQL = r"""
+WITH RECURSIVE k AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(key) + 1), lambda j: CAST(ascii(key[j]) AS BIGINT))),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda v, _: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 20 AS h
+  FROM k
+), d AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS again
+  FROM c WHERE h <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS z
+  FROM d
+), f AS (
+  SELECT conv_id, turn, role, text, i, n, left(role, 1) AS r,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev,
+         CASE WHEN z = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(z, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM o
+), added(a, b, said, new, price) AS (        -- turns inserted before a row: none, one or two
+  VALUES ('', '', '', [], 0), ('s', 's', '', [], 0), ('u', 'u', '', [], 0), ('a', 'a', '', [], 0),
+         ('', 'u', 'I', ['user:'], 5), ('s', 'u', 'I', ['user:'], 5), ('u', 'a', 'I', ['assistant:'], 5), ('a', 'u', 'I', ['user:'], 5),
+         ('', 'a', 'II', ['user:', 'assistant:'], 10), ('s', 'a', 'II', ['user:', 'assistant:'], 10)
+), edit(b, e, said, role, price) AS (        -- NULL role: the row's own
+  VALUES ('', '', 'D', '-', 2), ('s', 's', 'D', '-', 2), ('u', 'u', 'D', '-', 2), ('a', 'a', 'D', '-', 2),
+         ('', 's', 'K', NULL, 0), ('', 'u', 'K', NULL, 0), ('s', 'u', 'K', NULL, 0), ('u', 'a', 'K', NULL, 0), ('a', 'u', 'K', NULL, 0),
+         ('', 'u', 'R', 'user', 1), ('s', 'u', 'R', 'user', 1), ('u', 'a', 'R', 'assistant', 1), ('a', 'u', 'R', 'user', 1)
+), p(conv_id, i, state, way) AS (
+  SELECT DISTINCT conv_id, CAST(1 AS BIGINT), '', {'cost': CAST(0 AS BIGINT), 'audit': '', 'out': CAST([] AS VARCHAR[])} FROM f
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, edit.e, min({'cost': p.way.cost + added.price + edit.price + CASE WHEN f.fault = 'truncated' AND edit.said <> 'D' THEN 5 ELSE 0 END,
+    'audit': p.way.audit || added.said || edit.said,
+    'out': list_concat(p.way.out, added.new, CASE WHEN edit.said = 'D' THEN [] ELSE [coalesce(edit.role, f.role) || ':' || f.text] END)})
+  FROM p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND p.i = f.i JOIN added ON added.a = p.state JOIN edit ON edit.b = added.b
+  WHERE (edit.said <> 'K' OR f.r = edit.e) AND (edit.said = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY p.conv_id, p.i + 1, edit.e
+), ends AS (
+  SELECT p.conv_id, min({'cost': p.way.cost + added.price, 'audit': p.way.audit || added.said, 'out': list_concat(p.way.out, added.new)}) AS way
+  FROM p JOIN (SELECT conv_id, max(n) AS n FROM f GROUP BY conv_id) z ON p.conv_id IS NOT DISTINCT FROM z.conv_id AND p.i = z.n + 1
+  JOIN added ON added.a = p.state AND added.b IN ('', 'a') GROUP BY p.conv_id
+), g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND prev || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+)
+SELECT x.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(ends.way.cost, 0) AS BIGINT) AS cost,
+       coalesce(ends.way.audit, '') AS audit, sha256(coalesce(array_to_string(ends.way.out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) x
+LEFT JOIN g ON x.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN ends ON x.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The contract's damage by crc32(conv_id:turn) % 20; nulls count as one space."""
+    either = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(either("conv_id"), F.lit(":"), either("turn"))) % 20
+    text = F.when(h == 1, "").when(h == 2, F.regexp_replace(either("text"), "[.!?]", "")).otherwise(either("text"))
+    return turns.where(h != 0).select(
+        "conv_id", "turn", F.when(h == 4, "user").otherwise(either("role")).alias("role"), text.alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(h == 3, 2).otherwise(1))).alias("again")).drop("again")
+
+
+@query("op12_conversation_repair", _OP12_SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation: faults of its damaged rows, cost and edits of the cheapest repair,
+    and a digest of the repaired turns."""
+    from cabline.llm.repair import audit, digests, repair_conversations
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damaged(turns)
+    fixed = repair_conversations(rows)
+    spans = rows.groupBy("conv_id", "turn").agg(F.lit(1)).groupBy("conv_id").agg(
+        F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count("turn"), F.lit(0)).alias("gaps"))
+    counts = fixed.conversations.select("conv", "blank", "duplicate", "truncated", "illegal", "cost", audit(F.col("steps")).alias("audit"))
+    sums = digests(fixed.repaired())
+    out = turns.select("conv_id").distinct()
+    for side in (spans.withColumnRenamed("conv_id", "conv"), counts, sums):
+        out = out.join(side, out["conv_id"].eqNullSafe(side["conv"]), "left").drop("conv")
+    zeros = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
