@@ -420,3 +420,18 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     zeros = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return out.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"),
                       F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op13_quality_classifier")
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: score of an additive model that learned from three quarters of the
+    quality labels."""
+    from cabline.llm.additive import score_quality, train_quality
+
+    held = lambda doc_id: F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
+    docs = table(spark, sf_dir, "documents")
+    model = train_quality(docs, table(spark, sf_dir, "labels"), ~held(F.col("doc_id")))
+    out = score_quality(docs, model, columns=["doc_id"])
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"), held(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
