@@ -36,7 +36,9 @@ ESCAPE = "▁"
 #: Segments longer than this are solved one at a time.
 WIDE = 64
 #: Bytes of text whose segments are solved together (the more, the more are equal).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Ids that one step of decoding handles.
+SLICE_IDS = 1 << 19
 NONE = -1e300
 
 
@@ -385,7 +387,7 @@ ENCODED = ("ids array<int>, score double, "
            "others array<struct<score: double, edits: array<struct<at: int, n: int, ids: array<int>>>>>")
 
 
-def _encode(proto: bytes, p: PieceParams):
+def _encode(proto: bytes, p: PieceParams, verify: bool):
     kind = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(pa.struct(
         [("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
 
@@ -398,35 +400,37 @@ def _encode(proto: bytes, p: PieceParams):
                 ids, ptr, best, others = _encode_slice(pieces, raw[off[a]: off[b]], off[a: b + 1] - off[a], p.nbest, cache)
                 rows = [[{"score": float(best[t] - d), "edits": [{"at": x, "n": n, "ids": i} for x, n, i in e]} for d, e in o]
                         for t, o in enumerate(others)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in batch.schema.names if c != "text"),
-                     pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(ids)), pa.array(best), pa.array(rows, kind)],
-                    names=[c for c in batch.schema.names if c != "text"] + ["ids", "score", "others"])
+                columns = [*(batch.column(c).slice(a, b - a) for c in batch.schema.names if c != "text"),
+                           pa.ListArray.from_arrays(pa.array(ptr.astype(np.int32)), pa.array(ids)), pa.array(best), pa.array(rows, kind)]
+                names = [c for c in batch.schema.names if c != "text"] + ["ids", "score", "others"]
+                if verify:
+                    same = [x == raw[i:j].tobytes() for x, i, j in zip(_decoded(pieces, ids, ptr), off[a:b], off[a + 1: b + 1])]
+                    columns, names = [*columns, pa.array(same, pa.bool_())], [*names, "same"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
+def _decoded(pieces, ids: np.ndarray, ptr: np.ndarray) -> list[bytes]:
+    """UTF-8 of each list of ids, without the space that encoding puts before a text."""
+    size = pieces.length[ids]
+    to = np.concatenate([[0], np.cumsum(size)])
+    data = pieces.buffer[np.repeat(pieces.begin[ids] - to[:-1], size) + np.arange(to[-1])].tobytes()
+    ends = to[ptr]
+    return [data[x + 1: y] for x, y in zip(ends[:-1], ends[1:])]
+
+
 def _decode(proto: bytes, p: PieceParams):
     def decode(column: pa.Array) -> pa.Array:
         pieces = load(proto, p.penalty)
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
-        off = np.asarray(column.offsets, dtype=np.int64)
-        ids = np.asarray(column.values)[off[0]: off[-1]]
-        off = off - off[0]
-        size = pieces.length[ids]
-        to = np.concatenate([[0], np.cumsum(size)])
-        parts = []
-        step = 1 << 20
-        for a in range(0, len(ids), step):                # bytes of all rows, in windows
-            b = min(len(ids), a + step)
-            src = np.repeat(pieces.begin[ids[a:b]] - (to[a:b] - to[a]), size[a:b]) + np.arange(to[b] - to[a])
-            parts.append(pieces.buffer[src])
-        raw = np.concatenate(parts) if parts else np.empty(0, np.uint8)
-        ends = to[off]
-        data = raw.tobytes()
-        texts = [data[x + 1: y].decode("utf-8", "replace") if y > x else "" for x, y in zip(ends[:-1], ends[1:])]
-        return pa.array(texts, pa.string())
+        off, values = np.asarray(column.offsets), column.values
+        parts = [pa.array([], pa.string())]
+        for a, b in C.slices(off, SLICE_IDS):             # some rows at a time, a long one alone
+            ids = np.asarray(values.slice(off[a], off[b] - off[a]))
+            parts.append(pa.array([x.decode("utf-8", "replace") for x in _decoded(pieces, ids, off[a: b + 1] - off[a])], pa.string()))
+        return pa.concat_arrays(parts)
 
     return decode
 
@@ -436,16 +440,18 @@ def _proto(params: PieceParams) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, params: PieceParams | None = None, columns: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, params: PieceParams | None = None, columns: list[str] | None = None, verify: bool = False) -> DataFrame:
     """Columns ``columns`` of ``docs`` (all by default, in a struct ``row``) with ids, score
     and others: the best segmentation of ``text``, its score, and the next best ones, each
     as its score and the edits (replace n ids from ``at`` by ids) that turn the best one
     into it. Fewer others are given where a text has fewer segmentations. Null and empty
-    texts have no ids and score 0. Equal texts get equal results; rows are never merged."""
+    texts have no ids and score 0. Equal texts get equal results; rows are never merged.
+    Texts of any length are encoded whole, some at a time. With ``verify`` each text's ids
+    are decoded again in the same task, and ``same`` says whether that gives the text."""
     p = params or PieceParams()
     cols = docs.columns if columns is None else columns
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), docs["text"])
-    return slim.mapInArrow(_encode(_proto(p), p), C.row_schema(slim, ENCODED))
+    return slim.mapInArrow(_encode(_proto(p), p, verify), C.row_schema(slim, ENCODED + (", same boolean" if verify else "")))
 
 
 def decode(ids: Column, params: PieceParams | None = None) -> Column:

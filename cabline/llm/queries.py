@@ -42,14 +42,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: pieces and score of the best segmentation, a digest of its ids, the
     scores of the next best ones, and whether decoding gives the text back."""
-    from cabline.llm.pieces import decode, encode
+    from cabline.llm.pieces import encode
 
-    docs = table(spark, sf_dir, "documents")
-    out = encode(docs, columns=["doc_id", "text"])
-    same = decode(F.col("ids")) == F.coalesce(F.col("row.text"), F.lit(""))
+    out = encode(table(spark, sf_dir, "documents"), columns=["doc_id"], verify=True)
     return out.select(
         F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_pieces"), "score",
-        F.xxhash64("ids").alias("ids_hash"), F.col("others.score").alias("other_scores"), same.alias("round_trip"))
+        F.xxhash64("ids").alias("ids_hash"), F.col("others.score").alias("other_scores"), F.col("same").alias("round_trip"))
 
 
 _OP2_SQL = r"""

@@ -66,6 +66,7 @@ def test_round_trip_of_awkward_rows(awkward):
     out = P.encode(awkward, columns=["doc_id", "text"]).withColumn("back", P.decode(F.col("ids")))
     assert out.where("back <> coalesce(row.text, '')").count() == 0
     assert out.count() == awkward.count()
+    assert P.encode(awkward, columns=["doc_id"], verify=True).where("NOT same").count() == 0
     assert P.encode(awkward.limit(0)).count() == 0
 
 
