@@ -52,10 +52,12 @@ _FAR = 1 << 60
 @dataclass(frozen=True)
 class RepairParams:
     """segment: rows of a conversation that one lattice holds. remembered: rows of the
-    segments whose answer a task keeps for equal ones."""
+    segments whose answer a task keeps for equal ones. task: rows of a task that solves
+    segments (their codes are small, so partitions by size would hold too many)."""
 
     segment: int = 4_096
     remembered: int = 32
+    task: int = 20_000
 
 
 def _row_arcs(code: int) -> tuple[tuple[tuple[str, int, int], ...], ...]:
@@ -164,7 +166,7 @@ def _remembered(codes: bytes, first: bool, last: bool) -> list[tuple[int, int, i
     return solve_segment(codes, first, last)
 
 
-_PIECES = "pieces array<struct<enter:int,leave:int,cost:bigint,edits:string>>, illegal bigint, head int, tail int"
+_PIECES = "codes array<int>, pieces array<struct<enter:int,leave:int,cost:bigint,edits:string>>, illegal bigint, head int, tail int"
 _LEGAL = {(1, 2), (2, 3), (3, 2)}                   # su, ua, au
 
 
@@ -182,8 +184,8 @@ def _solve(p: RepairParams):
                 tail.append(said[-1])
             kind = pa.list_(pa.struct([("enter", pa.int32()), ("leave", pa.int32()), ("cost", pa.int64()), ("edits", pa.string())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("conv"), batch.column("seg"), pa.array(pieces, kind), pa.array(illegal, pa.int64()), pa.array(head, pa.int32()), pa.array(tail, pa.int32())],
-                names=["conv", "seg", "pieces", "illegal", "head", "tail"])
+                [batch.column("conv"), batch.column("seg"), batch.column("codes"), pa.array(pieces, kind), pa.array(illegal, pa.int64()), pa.array(head, pa.int32()), pa.array(tail, pa.int32())],
+                names=["conv", "seg", "codes", "pieces", "illegal", "head", "tail"])
 
     return run
 
@@ -212,13 +214,13 @@ def chain_segments(segments: list[list[dict]]) -> tuple[int, list[tuple[int, str
 
 
 def _chain(batches: Iterator[pa.RecordBatch]):
-    kind = pa.list_(pa.struct([("seg", pa.int64()), ("enter", pa.int32()), ("edits", pa.string())]))
+    kind = pa.list_(pa.struct([("seg", pa.int64()), ("enter", pa.int32()), ("edits", pa.string()), ("codes", pa.list_(pa.int32()))]))
     for batch in batches:
         for k in range(batch.num_rows):               # one conversation at a time
             parts = batch.column("parts")[k].as_py()
             cost, ways = chain_segments([x["pieces"] for x in parts])
             illegal = sum(x["illegal"] for x in parts) + sum((a["tail"], b["head"]) not in _LEGAL for a, b in zip(parts, parts[1:]))
-            steps = [{"seg": x["seg"], "enter": e, "edits": s} for x, (e, s) in zip(parts, ways)]
+            steps = [{"seg": x["seg"], "enter": e, "edits": s, "codes": x["codes"]} for x, (e, s) in zip(parts, ways)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv").slice(k, 1), pa.array([cost], pa.int64()), pa.array([illegal], pa.int64()), pa.array([steps], kind)],
                 names=["conv", "cost", "illegal", "steps"])
@@ -308,26 +310,26 @@ def repair_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     segments. Only the four columns are read, so others may have any name. An empty table
     gives empty results.
     """
-    p = params or RepairParams()
+    p, spark = params or RepairParams(), turns.sparkSession
     slim = turns.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit(" ")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit(" ")).alias("text"))
     rows = rank_within(slim, ["conv"], [F.asc_nulls_first("turn"), F.asc("role"), F.asc("text")])
     rows = materialize(_faults(rows.withColumnsRenamed({"_rn": "at", "_n": "rows"})), "turns")
 
-    seg = F.floor((F.col("at") - 1) / p.segment)
-    cut = rows.groupBy("conv", seg.alias("seg")).agg(       # at most ``segment`` rows a group
+    tasks = max(spark.sparkContext.defaultParallelism, rows.count() // p.task)
+    seg = F.floor((F.col("at") - 1) / p.segment).alias("seg")
+    cut = rows.select("conv", seg, "at", "code", "rows").repartition(tasks, "conv", "seg").groupBy("conv", "seg").agg(   # at most ``segment`` rows a group
         F.sort_array(F.collect_list(F.struct("at", "code"))).getField("code").alias("codes"), F.max("rows").alias("rows"))
     cut = cut.select("conv", "seg", "codes", (F.col("seg") == 0).alias("first"),
                      (F.col("seg") == F.floor((F.col("rows") - 1) / p.segment)).alias("last"))
     kind = T.StructType([slim.schema["conv"], T.StructField("seg", T.LongType())])
     solved = cut.mapInArrow(_solve(p), T.StructType([*kind, *T.StructType.fromDDL(_PIECES)]))
-    chained = solved.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("seg", "illegal", "head", "tail", "pieces"))).alias("parts"))
-    steps = "cost bigint, illegal bigint, steps array<struct<seg:bigint,enter:int,edits:string>>"
+    chained = solved.repartition(tasks, "conv").groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("seg", "illegal", "head", "tail", "codes", "pieces"))).alias("parts"))
+    steps = "cost bigint, illegal bigint, steps array<struct<seg:bigint,enter:int,edits:string,codes:array<int>>>"
     chained = materialize(chained.mapInArrow(_chain, T.StructType([slim.schema["conv"], *T.StructType.fromDDL(steps)])), "repairs")
 
-    each = chained.select("conv", F.inline("steps")).alias("s").join(
-        cut.select("conv", "seg", "codes").alias("c"), F.expr("s.conv <=> c.conv AND s.seg = c.seg")).select("s.*", "c.codes")
+    each = chained.select("conv", F.inline("steps")).repartition(tasks, "conv", "seg")
     edits = each.mapInArrow(_expand(p), T.StructType([slim.schema["conv"], *T.StructType.fromDDL("at bigint, edit string, new_role string, inserted array<string>")]))
     done = edits.alias("e").join(rows.alias("r"), F.expr("e.conv <=> r.conv AND e.at = r.at"), "left").select("e.*", "r.turn", "r.role", "r.text", "r.fault")
     counts = rows.groupBy("conv").agg(*[F.count_if(F.col("fault") == f).alias(f) for f in FAULTS[1:]])
