@@ -18,6 +18,7 @@ from cabline.operators import features as FT
 from cabline.operators import linear as LN
 from cabline.operators import profile
 from cabline.operators import sample as SM
+from cabline.operators import sparse as SP
 from cabline.operators.gram import collect_grams
 from cabline.operators.wide import build_wide
 from cabline.operators.ranking import global_row_number
@@ -455,6 +456,60 @@ def q_gram_matrix(spark, sf_dir):
     return spark.createDataFrame(rows, "i int, j int, v double")
 
 
+# ------------------------------------------------- wide designs (one column per pickup day)
+
+
+def wide_design(spark, sf_dir, categorical=("pickup_day",)):
+    """Sparse rows of the two scaled numerics and one column per training category."""
+    f = feature_frame(spark, sf_dir).withColumn("pickup_day", F.date_format("pickup_datetime", "yyyy-MM-dd"))
+    pre = SP.SparsePreprocessor(numeric=TWO, categorical=categorical, binary=(), interaction=None).fit(f.where("split = 'train'"))
+    return pre, materialize(pre.transform(f.withColumn("y", F.col(FT.TARGET)), keep=["split", "y"]), "sparse")
+
+
+@register("sparse_gram", O.over_features("""
+SELECT a.name AS a, b.name AS b, round(SUM(a.v * b.v), 3) + 0.0 AS v
+FROM e a JOIN e b ON a.rid = b.rid AND a.ord <= b.ord GROUP BY a.name, b.name""", O.WIDE_ENTRIES))
+def q_sparse_gram(spark, sf_dir):
+    """All non-zero entries of Z'Z, Z = [1, two numerics, a column per pickup day and zone, y]."""
+    pre, rows = wide_design(spark, sf_dir, ("pickup_day", "pu_zone"))
+    names = pre.names(spark).select((F.col("place") + 1).alias("place"), "name")
+    names = names.unionByName(spark.createDataFrame([(0, "one"), (pre.width + 1, "y")], "place int, name string"))
+    a, b = (names.select(F.col("place").alias(k), F.col("name").alias(n)) for k, n in (("i", "a"), ("j", "b")))
+    pairs = SP.pair_gram(rows.where("split = 'train'"), pre.width)
+    return pairs.join(a, "i").join(b, "j").select("a", "b", (F.round("v", 3) + F.lit(0.0)).alias("v"))
+
+
+def _wide_ridge(spark, sf_dir):
+    pre, rows = wide_design(spark, sf_dir)
+    return pre, rows, SP.ridge_cg(SP.statistics(rows.where("split = 'train'"), pre.width), [1.0])[0]
+
+
+@register("sparse_ridge", O.over_features("""
+SELECT feature, round(weight, 3) + 0.0 AS weight FROM (
+  SELECT 'trip_distance' AS feature, w1 AS weight FROM fw UNION ALL SELECT 'base_fare_components', w2 FROM fw
+  UNION ALL SELECT 'pickup_day=' || day, weight FROM dayw)""", O.wide_ridge_ctes(1.0)))
+def q_sparse_ridge(spark, sf_dir):
+    """Ridge on the wide design by conjugate gradients; a row per column of the design."""
+    pre, _, fit = _wide_ridge(spark, sf_dir)
+    weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(fit.weights)], "place int, weight double")
+    return pre.names(spark).join(weights, "place").select(F.col("name").alias("feature"), (F.round("weight", 3) + F.lit(0.0)).alias("weight"))
+
+
+@register("sparse_score", O.over_features("""
+SELECT split, COUNT(*) AS n, round(sqrt(AVG(e * e)), 5) AS rmse, round(AVG(abs(e)), 5) AS mae, round(1 - SUM(e * e) / (COUNT(*) * var_pop(y)), 5) AS r2
+FROM (SELECT d.split, d.y, d.y - fw.w1 * d.x1 - fw.w2 * d.x2 - COALESCE(dayw.weight, 0) AS e
+      FROM dated d CROSS JOIN fw LEFT JOIN dayw ON dayw.day = d.day) GROUP BY split""", O.wide_ridge_ctes(1.0)))
+def q_sparse_score(spark, sf_dir):
+    """Scores of the wide ridge fit per split, one pass over the sparse rows of each."""
+    _, rows, fit = _wide_ridge(spark, sf_dir)
+    out = None
+    for split in ("train", "validation", "test"):
+        one = SP.score_sparse(rows.where(F.col("split") == split), [fit]).select(
+            F.lit(split).alias("split"), "n", *[F.round(c, 5).alias(c) for c in ("rmse", "mae", "r2")])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("ridge", O.over_features(O.WEIGHTS_BODY, O.ridge_cte(1.0)))
 def q_ridge(spark, sf_dir):
     return _weights_df(spark, _fit_two(spark, sf_dir, lambda g: LN.ridge(g, 1.0))[1])
