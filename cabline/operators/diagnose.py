@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabline.operators.profile import attach
-from cabline.operators.ranking import exact_median, exact_percentiles, global_row_number
+from cabline.operators.ranking import global_row_number
+from cabline.operators.selection import exact_median, exact_percentiles
 
 # Price edges of the README's error buckets, intervals (a, b].
 PRICE_EDGES = (0.0, 10.0, 20.0, 30.0, 50.0, 100.0, float("inf"))

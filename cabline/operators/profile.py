@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabline.operators.ranking import exact_percentiles
+from cabline.operators.selection import exact_percentiles
 
 
 def service_summary(wide: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles without one task per group.
+"""Exact ranks without one task per group.
 
 A window ``PARTITION BY stratum ORDER BY ts`` puts a whole stratum into one task, and a
 global ``ORDER BY`` without partitioning puts everything into one. Here rows are dealt out
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cabline.session import materialize
 
 
-def _same(left: DataFrame, right: DataFrame, by: Sequence[str], *more: Column) -> Column:
+def same_groups(left: DataFrame, right: DataFrame, by: Sequence[str], *more: Column) -> Column:
     """Null-safe equality on the group columns (renamed ``_r_*`` on the right)."""
     conds = [left[c].eqNullSafe(right[f"_r_{c}"]) for c in by] + list(more)
     return reduce(lambda a, b: a & b, conds)
@@ -40,9 +40,9 @@ def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[Column], partition
     return materialize(dealt.withColumn("_p", F.spark_partition_id()), "ranged")
 
 
-def _offsets(ranged: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
+def _offsets(ranged: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per (group, partition): rows ``_cnt``, rows before ``_off`` and group size ``_n``."""
-    counts = ranged.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_cnt"), *extra)
+    counts = ranged.groupBy(*by, "_p").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     return (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
             .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*by))))
@@ -57,47 +57,11 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], parti
     off = _renamed(_offsets(ranged, by), by).withColumnRenamed("_p", "_rp")
     local = F.row_number().over(Window.partitionBy("_p", *by).orderBy(*order, F.asc("_id")))
     numbered = ranged.withColumn("_local", local)
-    return (numbered.join(off, _same(numbered, off, by, numbered["_p"] == off["_rp"]))
+    return (numbered.join(off, same_groups(numbered, off, by, numbered["_p"] == off["_rp"]))
             .withColumn("_rn", F.col("_off") + F.col("_local"))
             .select(*df.columns, "_rn", "_n"))
 
 
-def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                      name: str = "q", partitions: int | None = None) -> DataFrame:
-    """Exact linearly interpolated percentiles (``percentile`` / ``quantile_cont``
-    semantics) of ``value`` per ``by`` group: one row per group with ``name`` as
-    ``array<double>`` in ``probs`` order and ``_n`` (non-NULL count).
-
-    Only partitions that hold a needed rank and more than one distinct value are numbered.
-    """
-    by = list(by)
-    src = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranged = _ranged(src, by, [F.asc("_v")], partitions)
-    parts = materialize(_offsets(ranged, by, F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "ranks")
-    pos = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
-    need = (parts.select("*", pos.alias("w"))
-            .withColumn("_h", (F.col("_n") - 1) * F.col("w.p"))
-            .withColumn("_r", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))))
-            .where("_off <= _r AND _r < _off + _cnt")
-            .select(*by, "_p", "_lo", "_hi", "_n", "_h", "_r", F.col("w.i").alias("_i"), (F.col("_r") - F.col("_off") + 1).alias("_local")))
-    known = need.where("_lo = _hi").select(*by, "_n", "_i", "_h", "_r", F.col("_lo").alias("_v"))
-    open_ = _renamed(need.where("_lo <> _hi"), by).withColumnsRenamed({"_p": "_rp", "_local": "_rl"})
-    where = open_.select(*[f"_r_{c}" for c in by], "_rp").distinct()
-    local = F.row_number().over(Window.partitionBy("_p", *by).orderBy("_v", "_id"))
-    sought = ranged.join(where, _same(ranged, where, by, ranged["_p"] == where["_rp"]), "left_semi").withColumn("_local", local)
-    found = (sought.join(open_, _same(sought, open_, by, (sought["_p"] == open_["_rp"]) & (sought["_local"] == open_["_rl"])))
-             .select(*by, "_n", "_i", "_h", "_r", "_v"))
-    at = F.max(F.struct("_r", "_v")), F.min(F.struct("_r", "_v"))
-    points = (known.unionByName(found).groupBy(*by, "_n", "_i", "_h").agg(at[0].alias("b"), at[1].alias("a"))
-              .withColumn("_q", F.col("a._v") + (F.col("b._v") - F.col("a._v")) * (F.col("_h") - F.floor("_h"))))
-    return (points.groupBy(*by, "_n").agg(F.sort_array(F.collect_list(F.struct("_i", "_q"))).alias("_qs"))
-            .select(*by, F.col("_qs._q").alias(name), "_n"))
-
-
-def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return exact_percentiles(df, value, [0.5], by, name="_m").select(*list(by), F.col("_m")[0].alias(name))
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` over the whole frame, without one task."""
     return rank_within(df, [], order, partitions)

@@ -82,7 +82,7 @@ def test_grouped_percentiles_match_pandas(spark):
     g = rng.randint(0, 4, 3000)
     v = np.where(g == 0, 1.5, rng.exponential(10, 3000))     # group 0 is one hot value
     df = spark.createDataFrame(pd.DataFrame({"g": g.astype(int), "v": v}))
-    from cabline.operators.ranking import exact_percentiles
+    from cabline.operators.selection import exact_percentiles
     got = {r["g"]: r["q"] for r in exact_percentiles(df, "v", [0.1, 0.5, 0.99], ["g"]).collect()}
     ref = pd.DataFrame({"g": g, "v": v}).groupby("g")["v"].quantile([0.1, 0.5, 0.99]).unstack()
     for k, row in ref.iterrows():

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabline.operators import diagnose as DG
-from cabline.operators.ranking import exact_median
+from cabline.operators.selection import exact_median
 from cabline.operators.sample import basic_quality_filter
 from cabline.plans import bindings as B
 from cabline.plans.build import build

@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cabline.operators.ranking import _ranged, exact_percentiles, rank_within
+from cabline.operators.ranking import _ranged, rank_within
+from cabline.operators.selection import exact_percentiles
 from cabline.operators.sample import first_of_ntile, ntile_of
 
 
@@ -54,7 +55,7 @@ def test_exact_percentiles_match_pandas(spark):
     vals = [float(rng.choice([5.0, 5.0, 5.0, rng.uniform(0, 100)])) for _ in range(2001)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "v double, g int")
     probs = [0.0, 0.1, 0.25, 0.5, 0.8, 0.95, 1.0]
-    got = {r["g"]: r["q"] for r in exact_percentiles(df, "v", probs, ["g"], partitions=8).collect()}
+    got = {r["g"]: r["q"] for r in exact_percentiles(df, "v", probs, ["g"]).collect()}
     pdf = pd.DataFrame({"v": vals, "g": [i % 3 for i in range(len(vals))]})
     for g, grp in pdf.groupby("g"):
         for a, b in zip(got[g], grp["v"].quantile(probs).tolist()):
@@ -73,5 +74,5 @@ def test_null_strata_and_hot_ties_spread_over_partitions(spark):
     assert got.count() == 6000 and got.join(ref, "id").where("_rn <> rn OR _n <> n").count() == 0
     dealt = _ranged(df, ["g"], order, 12).groupBy("_p").count().agg(F.max("count")).first()[0]
     assert dealt < 2000
-    q = {r["g"]: r for r in exact_percentiles(df, "t", [0.0, 0.5, 1.0], ["g"], partitions=12).collect()}
+    q = {r["g"]: r for r in exact_percentiles(df, "t", [0.0, 0.5, 1.0], ["g"]).collect()}
     assert set(q) == {None, "s"} and q[None]["q"][1] == 7.0 and q[None]["_n"] == 1200
