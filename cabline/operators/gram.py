@@ -25,6 +25,10 @@ class Gram:
     xty: np.ndarray      # (p,)
     yty: float
 
+    @staticmethod
+    def empty(p: int) -> Gram:
+        return Gram(0.0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0)
+
     @property
     def p(self) -> int:
         return len(self.sx)

@@ -11,14 +11,16 @@ import itertools
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabline.operators import diagnose as DG
 from cabline.operators import features as FT
 from cabline.operators import linear as LN
-from cabline.operators.gram import collect_grams
+from cabline.operators.estimators import PenalisedRegression
+from cabline.operators.gram import Gram, collect_grams
 from cabline.operators.ranking import global_row_number
 from cabline.operators.sample import ntile_of
 from cabline.session import materialize
@@ -42,9 +44,11 @@ INTERCEPT_GRID = {
     "ElasticNet": {"alpha": [0.01, 0.1, 0.5], "l1_ratio": [0.2, 0.5, 0.8]},
 }
 CV_FOLDS = 3
+#: Mini-batches of the descent comparator and the seed that deals rows to them.
+SGD_BATCHES, SGD_SEED = 32, 42
 BOARD_SCHEMA = ("model string, type string, val_rmse double, val_mae double, val_r2 double, "
                 "train_time double, n_features int")
-TEST_SCHEMA = "model string, test_rmse double, test_mae double, test_r2 double, params map<string,double>"
+TEST_SCHEMA = "model string, type string, test_rmse double, test_mae double, test_r2 double, params map<string,double>"
 
 
 def scratch_fit(name: str, g, **p) -> LN.LinearFit:
@@ -65,20 +69,34 @@ def combos(grid: dict):
 
 @dataclass
 class ModelRun:
+    """design: stored rows (split, y, x, pickup_datetime). width: entries of x. grams:
+    statistics of each split. batches: those of the training rows' mini-batches."""
+
     design: DataFrame
-    pre: FT.Preprocessor
+    width: int
     grams: dict
+    batches: list
     results: dict = field(default_factory=dict)
 
 
+def run_of(design: DataFrame, width: int, batches: int = SGD_BATCHES) -> ModelRun:
+    """Stores the design and gathers all statistics in one pass: the training rows by
+    mini-batch (a hash of the row's content, so any partitioning deals them alike)."""
+    design = materialize(design, "design")
+    batch = F.pmod(F.xxhash64(F.lit(SGD_SEED), "x", "y"), F.lit(batches))
+    key = F.when(F.col("split") == "train", F.concat_ws("/", "split", batch)).otherwise(F.col("split"))
+    grams = collect_grams(design.withColumn("_g", key), width, "_g")
+    parts = [grams[k] for k in sorted(grams) if k.startswith("train/")]
+    whole = {k: grams.get(k, Gram.empty(width)) for k in ("validation", "test")}
+    return ModelRun(design, width, {"train": sum(parts, start=Gram.empty(width)), **whole}, parts)
+
+
 def prepare(sample: DataFrame) -> ModelRun:
     f = FT.split_by_month(FT.prepare_features(FT.create_features(sample)))
     require_columns(f, [*FT.NUMERIC, *FT.CATEGORICAL, *FT.BINARY, FT.TARGET])
     pre = FT.Preprocessor().fit(f.where("split = 'train'"))
     design = pre.transform(f.withColumn("y", F.col(FT.TARGET)), keep=["split", "y", "pickup_datetime"])
-    design = materialize(design, "design")
-    grams = collect_grams(design, len(pre.feature_names()), "split")
-    return ModelRun(design, pre, grams)
+    return run_of(design, len(pre.feature_names()))
 
 
 def _board(spark: SparkSession, design: DataFrame, fits: list, kinds: list, split: str) -> DataFrame:
@@ -91,89 +109,120 @@ def _board(spark: SparkSession, design: DataFrame, fits: list, kinds: list, spli
     return spark.createDataFrame(rows, BOARD_SCHEMA)
 
 
-def leaderboard(spark: SparkSession, run: ModelRun) -> DataFrame:
-    """Validation board: from-scratch, library (MLlib) and two baselines, by val RMSE."""
+def library_fit(run: ModelRun, name: str, **p) -> LN.LinearFit:
+    """Comparator with intercept: Ridge from the statistics (what MLlib's normal solver
+    computes; a test holds them equal), SGD as mini-batch descent, Lasso and ElasticNet by
+    MLlib's own iterations over the stored training rows."""
+    if name == "SGD":
+        return LN.minibatch_descent(run.batches, **p)
+    if name == "Ridge":
+        return LN.intercept_fit(name, run.grams["train"], **p)
+    return LN.mllib_fit(run.design.where("split = 'train'").select("x", "y"), name, **p)
+
+
+def leaderboard(spark: SparkSession, run: ModelRun, library: dict = LIBRARY) -> DataFrame:
+    """Validation board: from-scratch, library and two baselines, by val RMSE."""
     g = run.grams["train"]
-    train = run.design.where("split = 'train'")
     fits, kinds = [], []
     for name, p in SCRATCH.items():
         f = scratch_fit(name, g, **p)
         f.name = f"{name} (From Scratch)"
         fits.append(f); kinds.append("From Scratch")
-    vectors = train.select(array_to_vector(F.col("x")).alias("_v"), "y").persist()   # four fits, many passes each
-    for name, p in LIBRARY.items():
-        f = LN.mllib_fit(vectors, name, **p)
+    for name, p in library.items():
+        f = library_fit(run, name, **p)
         f.name = f"{name} (Library)"
         fits.append(f); kinds.append("Library")
-    vectors.unpersist()
-    mean, med = DG.baseline_predictions(train)
+    mean, med = DG.baseline_predictions(run.design.where("split = 'train'"))
     fits += [LN.constant_fit("Baseline (Mean)", g.p, mean), LN.constant_fit("Baseline (Median)", g.p, med)]
     kinds += ["Baseline", "Baseline"]
     return _board(spark, run.design, fits, kinds, "validation").orderBy("val_rmse", "model")
 
 
-def grid_holdout(run: ModelRun) -> dict:
+#: A point must beat the best before it by more than this; equal ones keep the grid's order.
+NEAR = 1e-9
+
+
+def grid_holdout(run: ModelRun, grids: dict = SCRATCH_GRID) -> dict:
     """Every grid point solved from the train Gram, scored on the validation Gram;
-    the first strict minimum of validation RMSE wins per family."""
+    the first minimum of validation RMSE wins per family."""
     g, gv = run.grams["train"], run.grams["validation"]
     best = {}
-    for name, grid in SCRATCH_GRID.items():
+    for name, grid in grids.items():
         best[name] = {"rmse": np.inf, "params": None}
         for cfg in combos(grid):
             f = scratch_fit(name, g, **cfg)
             r = LN.rmse_from_gram(gv, f)
-            if r < best[name]["rmse"]:
+            if r < best[name]["rmse"] - NEAR:
                 best[name] = {"rmse": r, "params": cfg, "fit": f}
     return best
 
 
-def fold_grams(run: ModelRun, folds: int = CV_FOLDS) -> dict:
-    """Contiguous, unshuffled folds over the training rows in time order (NTILE over a
-    global time rank computed without a single task); statistics of all folds in one pass."""
+def time_folds(run: ModelRun, folds: int = CV_FOLDS) -> DataFrame:
+    """Training rows with ``fold`` 0, 1, ...: contiguous, unshuffled parts in time order
+    (NTILE over a global time rank computed without a single task)."""
     train = run.design.where("split = 'train'")
-    keyed = train.withColumn("_key", F.xxhash64("pickup_datetime", "y", "x"))
-    ranked = global_row_number(keyed, [F.asc_nulls_first("pickup_datetime"), F.asc("_key")])
-    fold = ranked.withColumn("fold", ntile_of(F.col("_rn"), F.col("_n"), F.lit(folds)) - 1)
-    return collect_grams(fold, len(run.pre.feature_names()), "fold")
+    ranked = global_row_number(train, [F.asc_nulls_first("pickup_datetime"), F.asc("x"), F.asc("y")])
+    return ranked.withColumn("fold", (ntile_of(F.col("_rn"), F.col("_n"), F.lit(folds)) - 1).cast("int")).drop("_rn", "_n")
 
 
-def grid_cv(run: ModelRun, folds: int = CV_FOLDS) -> dict:
+def grid_cv(run: ModelRun, folds: int = CV_FOLDS, grids: dict = INTERCEPT_GRID) -> dict:
     """k-fold CV of the grid of intercept models: fold statistics subtract from the train total, so
-    each fold's fit needs no pass over the data; best by mean fold RMSE, refit on train."""
-    fg = fold_grams(run, folds)
+    each fold's fit needs no pass over the data; best by mean fold RMSE, refit on train.
+    ``curve`` holds every point's mean."""
+    fg = collect_grams(time_folds(run, folds), run.width, "fold")
     total = run.grams["train"]
     best = {}
-    for name, grid in INTERCEPT_GRID.items():
-        best[name] = {"cv_rmse": np.inf, "params": None}
+    for name, grid in grids.items():
+        best[name] = {"cv_rmse": np.inf, "params": None, "curve": []}
         for cfg in combos(grid):
             scores = [LN.rmse_from_gram(fg[k], LN.intercept_fit(name, total - fg[k], **cfg)) for k in sorted(fg)]
             m = float(np.mean(scores))
-            if m < best[name]["cv_rmse"]:
-                best[name] = {"cv_rmse": m, "params": cfg}
+            best[name]["curve"].append((cfg, m))
+            if m < best[name]["cv_rmse"] - NEAR:
+                best[name].update({"cv_rmse": m, "params": cfg})
         f = LN.intercept_fit(name, total, **best[name]["params"])
         best[name]["fit"] = f
         best[name]["rmse"] = LN.rmse_from_gram(run.grams["validation"], f)
     return best
 
 
+def grid_cv_library(run: ModelRun, grids: dict, folds: int = CV_FOLDS, parallelism: int = 4) -> dict:
+    """The same search by Spark's ``CrossValidator``: MLlib fits over the rows of each fold,
+    ``parallelism`` of them at a time. ``curve`` holds every point's mean fold RMSE."""
+    rows = materialize(time_folds(run, folds).select("x", "y", "fold"), "folds")
+    best = {}
+    for name, grid in grids.items():
+        base = PenalisedRegression(kind=name, solver="mllib")
+        points = list(combos(grid))
+        maps = [{base.getParam({"l1_ratio": "l1Ratio"}.get(k, k)): float(v) for k, v in cfg.items()} for cfg in points]
+        search = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=RegressionEvaluator(labelCol="y", metricName="rmse"),
+                                numFolds=folds, foldCol="fold", parallelism=parallelism)
+        found = search.fit(rows)
+        k = int(np.argmin(found.avgMetrics))
+        best[name] = {"cv_rmse": float(found.avgMetrics[k]), "params": points[k], "curve": list(zip(points, found.avgMetrics)),
+                      "fit": found.bestModel.as_fit(), "model": found.bestModel}
+        best[name]["rmse"] = LN.rmse_from_gram(run.grams["validation"], best[name]["fit"])
+    return best
+
+
 def refit_test(spark: SparkSession, run: ModelRun, best_fs: dict, best_lib: dict) -> DataFrame:
     """Best configurations refitted on train + validation (the preprocessor is kept),
     scored on test together with the two train baselines, in one pass."""
     g = run.grams["train"] + run.grams["validation"]
-    fits, params = [], []
+    fits, kinds, params = [], [], []
     for name, b in best_fs.items():
         f = scratch_fit(name, g, **b["params"]); f.name = f"{name} (From Scratch)"
-        fits.append(f); params.append(b["params"])
+        fits.append(f); kinds.append("From Scratch"); params.append(b["params"])
     for name, b in best_lib.items():
         f = LN.intercept_fit(name, g, **b["params"]); f.name = f"{name} (Intercept)"
-        fits.append(f); params.append(b["params"])
-    train = run.design.where("split = 'train'")
-    mean, med = DG.baseline_predictions(train)
+        fits.append(f); kinds.append("Intercept"); params.append(b["params"])
+    mean, med = DG.baseline_predictions(run.design.where("split = 'train'"))
     fits += [LN.constant_fit("Baseline (Mean)", g.p, mean), LN.constant_fit("Baseline (Median)", g.p, med)]
+    kinds += ["Baseline", "Baseline"]
     params += [{}, {}]
     sc = {r["model"]: r for r in LN.score_many(run.design.where("split = 'test'"), fits).collect()}
-    rows = [(f.name, sc[f.name]["rmse"], sc[f.name]["mae"], sc[f.name]["r2"],
-             {k: float(v) for k, v in p.items()}) for f, p in zip(fits, params)]
+    rows = [(f.name, k, sc[f.name]["rmse"], sc[f.name]["mae"], sc[f.name]["r2"],
+             {n: float(v) for n, v in p.items()}) for f, k, p in zip(fits, kinds, params)]
     run.results["test_fits"] = {f.name: f for f in fits}
     return spark.createDataFrame(rows, TEST_SCHEMA).orderBy("test_rmse", "model")
 
@@ -189,8 +238,7 @@ def report(spark: SparkSession, run: ModelRun, test_board: DataFrame) -> DataFra
     board = {r["model"]: r for r in test_board.collect()}
     win = best_model(test_board).first()
     base = board["Baseline (Mean)"]
-    fs = [r["test_rmse"] for m, r in board.items() if "From Scratch" in m]
-    with_b = [r["test_rmse"] for m, r in board.items() if "Intercept" in m]
+    fs, with_b = ([r["test_rmse"] for r in board.values() if r["type"] == kind] for kind in ("From Scratch", "Intercept"))
     fit = run.results["test_fits"][win["model"]]
     res = run.design.where("split = 'test'").select((F.col("y") - LN.predict(fit)).alias("e"))
     pct = DG.abs_error_percentiles(res).first()

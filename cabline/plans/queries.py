@@ -734,33 +734,31 @@ def q_actual_predicted(spark, sf_dir):
 # ------------------------------------------------------ two-feature boards (SQL-checked)
 
 RIDGE_GRID = [0.01, 0.1, 1.0, 10.0]
-_TWO_MODELS = [("SGD", "f_sgd"), ("Ridge", "f_ridge"), ("Lasso", "f_lasso"), ("ElasticNet", "f_en")]
+_TWO_MODELS = [("SGD (From Scratch)", "From Scratch", "f_sgd"), ("Ridge (From Scratch)", "From Scratch", "f_ridge"),
+               ("Lasso (From Scratch)", "From Scratch", "f_lasso"), ("ElasticNet (From Scratch)", "From Scratch", "f_en"),
+               ("Ridge (Library)", "Library", "f_lib"), ("Baseline (Mean)", "Baseline", "f_mean"), ("Baseline (Median)", "Baseline", "f_median")]
 
 
-def _two_fits(g):
-    return [LN.gradient_descent(g, 0.01, 1000, 1e-4, 0.0), LN.ridge(g, 1.0), LN.lasso(g, 0.1),
-            LN.elastic_net(g, 0.1, 0.5)]
+def two_run(spark, sf_dir):
+    """The modelling job's state on the two-feature design, which SQL can follow."""
+    return MJ.run_of(two_feature_design(spark, sf_dir), 2)
 
 
 @register("leaderboard_two", O.over_features(
-    "SELECT * FROM (" + " UNION ALL ".join(O.val_score_sql(m, f) for m, f in _TWO_MODELS + [
-        ("Baseline (Mean)", "f_mean"), ("Baseline (Median)", "f_median")]) + ") ORDER BY val_rmse, model",
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT s.*, '{t}' AS type, (SELECT CAST((w1 <> 0)::INT + (w2 <> 0)::INT AS INTEGER) FROM {f}) AS n_features FROM ({O.val_score_sql(m, f)}) s"
+        for m, t, f in _TWO_MODELS) + ") ORDER BY val_rmse, model",
     ",\n".join([O.gd_cte(GD_INIT, name="f_sgd"), O.ridge_cte(1.0, name="f_ridge"),
                  O.cd_cte(0.1, 0.0, name="f_lasso", rec="cd_l"), O.cd_cte(0.05, 0.05, name="f_en", rec="cd_e"),
+                 O.ridge_intercept_cte("1.0::DOUBLE", "f_lib", "g"),
                  "f_mean AS (SELECT 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, AVG(y) AS b FROM d WHERE split = 'train')",
                  "f_median AS (SELECT 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, quantile_cont(y, 0.5) AS b "
                  "FROM d WHERE split = 'train')"])))
 def q_leaderboard_two(spark, sf_dir):
-    """Validation board of the four solvers and two baselines on the two-feature design,
-    all scored in one pass."""
-    d = two_feature_design(spark, sf_dir)
-    g = collect_grams(d.where("split = 'train'"), 2)["all"]
-    fits = _two_fits(g)
-    mean, med = DG.baseline_predictions(d.where("split = 'train'"))
-    fits += [LN.constant_fit("Baseline (Mean)", 2, mean), LN.constant_fit("Baseline (Median)", 2, med)]
-    sc = LN.score_many(d.where("split = 'validation'"), fits)
-    return (sc.select("model", F.round("rmse", 6).alias("val_rmse"), F.round("mae", 6).alias("val_mae"),
-                      F.round("r2", 6).alias("val_r2")).orderBy("val_rmse", "model"))
+    """The job's validation board on the two-feature design, without the comparators that
+    iterate or draw batches."""
+    board = MJ.leaderboard(spark, two_run(spark, sf_dir), {"Ridge": MJ.LIBRARY["Ridge"]})
+    return board.select("model", "type", *[F.round(c, 6).alias(c) for c in ("val_rmse", "val_mae", "val_r2")], "n_features").orderBy("val_rmse", "model")
 
 
 @register("grid_ridge_two", O.over_features(
@@ -778,91 +776,70 @@ def q_grid_ridge_two(spark, sf_dir):
 
 # ------------------------------------------ tuning, refit, winner and report, two features
 
-TWO_GRID = [("Ridge", a, None) for a in RIDGE_GRID] + [("Lasso", a, None) for a in (0.01, 0.1, 0.5)] + [
-    ("ElasticNet", a, r) for a in (0.01, 0.1, 0.5) for r in (0.2, 0.5, 0.8)]
-
+TWO_GRIDS = {"Ridge": {"alpha": RIDGE_GRID}, "Lasso": {"alpha": [0.01, 0.1, 0.5]},
+             "ElasticNet": {"alpha": [0.01, 0.1, 0.5], "l1_ratio": [0.2, 0.5, 0.8]}}
+TWO_CV = {"Ridge": {"alpha": RIDGE_GRID}}
+TWO_GRID = [(m, c["alpha"], c.get("l1_ratio")) for m, grid in TWO_GRIDS.items() for c in MJ.combos(grid)]
 
-def _two_fit(g, model, alpha, ratio):
-    if model == "Ridge":
-        return LN.ridge(g, alpha)
-    return LN.lasso(g, alpha) if model == "Lasso" else LN.elastic_net(g, alpha, ratio)
 
-
-def _two_tuned(spark, sf_dir):
-    """(design, board rows): the best grid point of each model by validation RMSE, refitted
-    on train + validation and scored on test."""
-    d = materialize(two_feature_design(spark, sf_dir), "design")
-    grams = collect_grams(d, 2, "split")
-    best = {}
-    for point in TWO_GRID:
-        rmse = LN.rmse_from_gram(grams["validation"], _two_fit(grams["train"], *point))
-        if point[0] not in best or round(rmse, 9) < round(best[point[0]][0], 9):
-            best[point[0]] = (rmse, point)
-    fits = [_two_fit(grams["train"] + grams["validation"], *p) for _, p in best.values()]
-    mean, _ = DG.baseline_predictions(d.where("split = 'train'"))
-    scored = LN.score_many(d.where("split = 'test'"), fits + [LN.constant_fit("Baseline (Mean)", 2, mean)])
-    tuned = spark.createDataFrame([(m, float(r), float(p[1]), p[2]) for m, (r, p) in best.items()],
-                                  "model string, val_rmse double, alpha double, l1_ratio double")
-    return tuned, scored
+def _two_tested(spark, sf_dir):
+    """(job state, test board) after hold-out search, cross-validation and refit."""
+    run = two_run(spark, sf_dir)
+    return run, MJ.refit_test(spark, run, MJ.grid_holdout(run, TWO_GRIDS), MJ.grid_cv(run, grids=TWO_CV))
 
 
 @register("grid_holdout_two", O.over_features(
-    "SELECT model, alpha, l1_ratio, round(val_rmse, 6) AS val_rmse FROM best", O.grid_ctes(TWO_GRID)))
+    "SELECT model || ' (From Scratch)' AS model, alpha, l1_ratio, round(val_rmse, 6) AS val_rmse FROM best", O.grid_ctes(TWO_GRID)))
 def q_grid_holdout_two(spark, sf_dir):
-    return _two_tuned(spark, sf_dir)[0].withColumn("val_rmse", F.round("val_rmse", 6))
+    """Winner of each family's hold-out grid, by the job's own search."""
+    out = MJ.grid_frame(spark, MJ.grid_holdout(two_run(spark, sf_dir), TWO_GRIDS), "From Scratch")
+    return out.select("model", F.col("params")["alpha"].alias("alpha"), F.col("params")["l1_ratio"].alias("l1_ratio"), F.round("val_rmse", 6).alias("val_rmse"))
 
 
 @register("refit_test_two", O.over_features("""
-SELECT model, alpha, l1_ratio, round(test_rmse, 6) AS test_rmse, round(test_mae, 6) AS test_mae, round(test_r2, 6) AS test_r2
-FROM best""", O.grid_ctes(TWO_GRID)))
+SELECT model, type, alpha, l1_ratio, round(test_rmse, 6) AS test_rmse, round(test_mae, 6) AS test_mae, round(test_r2, 6) AS test_r2
+FROM tested""", O.tested_ctes(TWO_GRID)))
 def q_refit_test_two(spark, sf_dir):
-    tuned, scored = _two_tuned(spark, sf_dir)
-    return tuned.join(scored, "model").select(
-        "model", "alpha", "l1_ratio", *[F.round(c, 6).alias(f"test_{c}") for c in ("rmse", "mae", "r2")])
+    """The job's test board: tuned models refitted on train + validation, and baselines."""
+    board = _two_tested(spark, sf_dir)[1]
+    return board.select("model", "type", F.col("params")["alpha"].alias("alpha"), F.col("params")["l1_ratio"].alias("l1_ratio"),
+                        *[F.round(c, 6).alias(c) for c in ("test_rmse", "test_mae", "test_r2")])
+
 
+@register("best_model_two", O.over_features("""
+SELECT model, type, round(test_rmse, 6) AS test_rmse FROM tested WHERE model NOT LIKE '%Baseline%' ORDER BY tested.test_rmse, model LIMIT 1""",
+    O.tested_ctes(TWO_GRID)))
+def q_best_model_two(spark, sf_dir):
+    return MJ.best_model(_two_tested(spark, sf_dir)[1]).select("model", "type", F.round("test_rmse", 6).alias("test_rmse"))
 
-@register("report_two", O.over_features("""
-SELECT model AS winner, round(test_rmse, 6) AS test_rmse,
-       round((base - test_rmse) / base * 100, 5) AS improvement_pct, round(average, 6) AS avg_rmse
-FROM best, (SELECT AVG(test_rmse) AS average FROM best),
-     (SELECT sqrt(AVG(power(y - m, 2))) AS base FROM d, (SELECT AVG(y) AS m FROM d WHERE split = 'train') WHERE split = 'test')
-ORDER BY best.test_rmse, model LIMIT 1""", O.grid_ctes(TWO_GRID)))
+
+@register("report_two", O.over_features(O.REPORT_TWO, O.tested_ctes(TWO_GRID)))
 def q_report_two(spark, sf_dir):
-    """Winner on test, its gain over the mean baseline, and the average of the models."""
-    tuned, scored = _two_tuned(spark, sf_dir)
-    base = scored.where("model = 'Baseline (Mean)'").select(F.col("rmse").alias("base"))
-    models = scored.join(tuned.select("model"), "model")
-    average = models.agg(F.avg("rmse").alias("average"))
-    win = profile.attach(profile.attach(models.orderBy("rmse", "model").limit(1), base), average)
-    return win.select(F.col("model").alias("winner"), F.round("rmse", 6).alias("test_rmse"),
-                      F.round((F.col("base") - F.col("rmse")) / F.col("base") * 100, 5).alias("improvement_pct"),
-                      F.round("average", 6).alias("avg_rmse"))
-
-
-@register("grid_cv_two", O.over_features("""
-SELECT alpha, round(AVG(rmse), 6) AS cv_rmse FROM (
-  SELECT alpha, k, sqrt(AVG(power(y - (w1 * x1 + w2 * x2 + b), 2))) AS rmse FROM (
-    SELECT f.*, c.alpha, ((b1 * (a22 + alpha)) - a12 * b2) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) AS w1,
-           ((a11 + alpha) * b2 - a12 * b1) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) AS w2,
-           my - ((b1 * (a22 + alpha)) - a12 * b2) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) * m1
-              - ((a11 + alpha) * b2 - a12 * b1) / ((a11 + alpha) * (a22 + alpha) - a12 * a12) * m2 AS b
-    FROM (SELECT k, COUNT(*) AS c2, AVG(x1) AS m1, AVG(x2) AS m2, AVG(y) AS my,
-                 COUNT(*) * var_pop(x1) AS a11, COUNT(*) * var_pop(x2) AS a22, COUNT(*) * covar_pop(x1, x2) AS a12,
-                 COUNT(*) * covar_pop(x1, y) AS b1, COUNT(*) * covar_pop(x2, y) AS b2
-          FROM folds, (SELECT unnest([1, 2, 3]) AS k) WHERE fold <> k GROUP BY k) f,
-         (SELECT unnest([0.01, 0.1, 1.0, 10.0])::DOUBLE AS alpha) c) m
-  JOIN folds ON folds.fold = m.k GROUP BY alpha, k) GROUP BY alpha""", """folds AS (
-  SELECT x1, x2, y, NTILE(3) OVER (ORDER BY t, x1, x2, y) AS fold FROM timed)"""))
+    """The job's report: winner, scores, gain over the mean, family averages, percentiles."""
+    run, board = _two_tested(spark, sf_dir)
+    out = MJ.report(spark, run, board)
+    digits = {"improvement_pct": 5}
+    return out.select("winner", *[F.round(c, digits.get(c, 6)).alias(c) for c in out.columns[1:]])
+
+
+_CV_SQL = O.over_features(f"SELECT alpha, round(cv_rmse, 6) AS cv_rmse FROM ({O.CV_CURVE})", O.FOLDS_CTE)
+
+
+def _cv_curve(spark, found):
+    return spark.createDataFrame([(float(c["alpha"]), float(round(m, 6))) for c, m in found["Ridge"]["curve"]], "alpha double, cv_rmse double")
+
+
+@register("grid_cv_two", _CV_SQL)
 def q_grid_cv_two(spark, sf_dir):
     """Time-ordered contiguous folds: Ridge with intercept over its grid, each fold's
     statistics taken off the total."""
-    d = two_feature_design(spark, sf_dir).where("split = 'train'")
-    ranked = global_row_number(d, [F.asc_nulls_first("pickup_datetime"), F.asc("x"), F.asc("y")])
-    folds = collect_grams(ranked.withColumn("fold", SM.ntile_of(F.col("_rn"), F.col("_n"), F.lit(3))), 2, "fold")
-    total = folds["1"] + folds["2"] + folds["3"]
-    rows = [(a, float(round(np.mean([LN.rmse_from_gram(g, LN.intercept_fit("Ridge", total - g, alpha=a)) for g in folds.values()]), 6)))
-            for a in RIDGE_GRID]
-    return spark.createDataFrame(rows, "alpha double, cv_rmse double")
+    return _cv_curve(spark, MJ.grid_cv(two_run(spark, sf_dir), grids=TWO_CV))
+
+
+@register("grid_cv_library", _CV_SQL)
+def q_grid_cv_library(spark, sf_dir):
+    """The same folds and grid by ``CrossValidator`` over MLlib fits."""
+    return _cv_curve(spark, MJ.grid_cv_library(two_run(spark, sf_dir), TWO_CV))
 
 
 # ------------------------------------------------------------ dimension load
