@@ -5,7 +5,12 @@ month is conformed to the declared raw schema, stamped with lineage and written
 with dynamic partition overwrite into ``source_year/source_month`` partitions, so a
 rerun replaces the month instead of duplicating it. The row count is observed in the
 write itself. The ledger row is appended only after the data commit; a failing month
-is recorded as ERROR and the loop continues.
+is recorded as ERROR and the others go on.
+
+Months are landed several at a time by a bounded pool of threads, each month as a job group
+of its own in a FAIR scheduler pool (``spark.scheduler.mode=FAIR``), so that a large month
+does not hold up small ones. Every month stages its files in its own folder until commit.
+Ledger rows are appended by the calling thread alone, as months finish.
 
     spark-submit -m cabline.plans.ingest --base s3://.../trip-data --out s3://.../raw \
         --ledger s3://.../ledger --services yellow,green --year-start 2022 --year-end 2024
@@ -14,9 +19,12 @@ is recorded as ERROR and the loop continues.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from cabline import schemas
@@ -34,25 +42,48 @@ def default_run_tag() -> str:
     return datetime.now(timezone.utc).strftime(RUN_TAG_FORMAT)
 
 
+def land_month(spark: SparkSession, base: str, out: str, service: str, year: int, month: int, run_tag: str, tolerant: bool) -> int:
+    """Land one month; returns its rows."""
+    df = conform_schema(read_month(spark, base, service, year, month), schemas.RAW_BY_SERVICE[service], tolerant=tolerant)
+    df = add_metadata(df, year, month, run_tag, service=service)
+    return sinks.write_table(df, f"{out.rstrip('/')}/{service}", "overwrite", ("source_year", "source_month"), dynamic=True)
+
+
+def _landed(spark: SparkSession, todo: list, land, workers: int) -> Iterator[tuple]:
+    """(month, rows, error) of every month as it ends, ``workers`` of them at a time."""
+    def task(r):
+        sc = spark.sparkContext
+        sc.setLocalProperty("spark.scheduler.pool", "ingest")
+        sc.setJobGroup(f"ingest-{r['service']}-{r['year']}-{r['month']:02d}", f"land {r['service']} {r['year']}-{r['month']:02d}")
+        return land(r["service"], r["year"], r["month"])
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        running = {pool.submit(inheritable_thread_target(spark)(task), r): r for r in todo}
+        for done in as_completed(running):
+            r = running[done]
+            key, failed = (r["service"], r["year"], r["month"]), done.exception()
+            yield key, 0 if failed else done.result(), failed
+
+
 def ingest(spark: SparkSession, base: str, out: str, ledger_path: str, services, years, months=range(1, 13),
-           run_tag: str | None = None, tolerant: bool = False) -> dict:
+           run_tag: str | None = None, tolerant: bool = False, workers: int = 4) -> dict:
+    """Land every wanted month that has no OK attempt, ``workers`` months at a time."""
     run_tag = run_tag or default_run_tag()
     wanted = LG.month_grid(spark, services, years, months)
-    todo = LG.pending_months(wanted, LG.read_ledger(spark, ledger_path)).orderBy(*LG.KEYS).collect()
+    todo = LG.pending_months(wanted, LG.read_ledger(spark, ledger_path)).orderBy(*LG.KEYS).collect()   # bounded by months
     totals = {"rows": 0, "errors": 0, "loaded": []}
-    for r in todo:      # one small job per month (bounded by months, never by rows)
-        s, y, m = r["service"], r["year"], r["month"]
-        try:
-            df = conform_schema(read_month(spark, base, s, y, m), schemas.RAW_BY_SERVICE[s], tolerant=tolerant)
-            df = add_metadata(df, y, m, run_tag, service=s)
-            rows = sinks.write_table(df, f"{out.rstrip('/')}/{s}", "overwrite",
-                                     ("source_year", "source_month"), dynamic=True)
+    land = lambda s, y, m: land_month(spark, base, out, s, y, m, run_tag, tolerant)
+    for (s, y, m), rows, failed in _landed(spark, todo, land, workers):
+        if failed is None:
             LG.append_ledger(spark, ledger_path, s, y, m, LG.OK, rows, run_tag)
             totals["rows"] += rows
             totals["loaded"].append((s, y, m))
-        except Exception as e:  # noqa: BLE001 - per-month isolation, recorded in the ledger
+        else:
             totals["errors"] += 1
-            LG.append_ledger(spark, ledger_path, s, y, m, LG.ERROR, 0, run_tag, str(e))
+            LG.append_ledger(spark, ledger_path, s, y, m, LG.ERROR, 0, run_tag, str(failed))
+    totals["loaded"].sort()
+    if LG.ledger_files(spark, ledger_path) > LG.MANY_FILES:
+        LG.compact_ledger(spark, ledger_path)
     return totals
 
 
@@ -67,8 +98,8 @@ def load_dimension(spark: SparkSession, csv_path: str, out: str, run_tag: str) -
 
 
 def table_counts(spark: SparkSession, paths: dict[str, str]):
-    """Row count per landed table plus a combined total (one aggregation per table)."""
-    rows = [(name, spark.read.parquet(p).count()) for name, p in paths.items()]
+    """Row count per landed table plus a combined total, from the files' footers."""
+    rows = [(name, int(sinks.footer_counts(spark, p).first()["rows"])) for name, p in paths.items()]
     rows.append(("TOTAL", sum(n for _, n in rows)))
     return spark.createDataFrame(rows, "table string, rows long")
 
@@ -83,10 +114,11 @@ def main(argv=None) -> None:
     ap.add_argument("--year-end", type=int, default=2025)
     ap.add_argument("--run-tag", default=None)
     ap.add_argument("--tolerant", action="store_true")
+    ap.add_argument("--workers", type=int, default=4, help="months landed at a time")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     res = ingest(spark, a.base, a.out, a.ledger, [s.strip() for s in a.services.split(",")],
-                 range(a.year_start, a.year_end + 1), run_tag=a.run_tag, tolerant=a.tolerant)
+                 range(a.year_start, a.year_end + 1), run_tag=a.run_tag, tolerant=a.tolerant, workers=a.workers)
     print({k: v for k, v in res.items() if k != "loaded"})
 
 

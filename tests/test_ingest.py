@@ -109,3 +109,79 @@ def test_zone_csv_dimension(spark):
         f.write("LocationID,Borough,Zone,service_zone\n1,A,B,C\n1,A,B,C\n")
     with pytest.raises(ValueError):
         load_dimension(spark, os.path.join(d, "dup.csv"), os.path.join(d, "out2"), "z1")
+
+
+def _put(spark, base, name, y, m, part, rows):
+    """One more file of a month, with ``rows`` rows."""
+    cols = [f.name for f in schemas.RAW_YELLOW.fields]
+    raw = B.raw_service(spark, SF_SMALL, "yellow").select(*cols).limit(rows)
+    raw.withColumn("trip_distance", F.lit(float(part))).coalesce(1).write.mode("append").parquet(source_path(base, name, y, m))
+
+
+def _landed_rows(spark, d):
+    table = {(r["source_year"], r["source_month"]): r["count"]
+             for r in spark.read.parquet(f"{d}/raw/yellow").groupBy("source_year", "source_month").count().collect()}
+    ledger = {(r["year"], r["month"]): r["s"] for r in LG.read_ledger(spark, f"{d}/ledger").groupBy("year", "month").agg(F.sum("rows").alias("s")).collect()}
+    assert table == ledger
+    return table
+
+
+def test_stream_keeps_every_row_of_a_month(spark):
+    """A month in several files over several triggers, a late file, and a batch run again."""
+    from cabline.streaming import ingest_stream as S
+    base, d = tempfile.mkdtemp(prefix="cabline-land3-"), tempfile.mkdtemp(prefix="cabline-stream3-")
+    for part, rows in ((1, 10), (2, 20), (3, 5)):
+        _put(spark, base, "yellow", 1996, 1, part, rows)
+    _put(spark, base, "yellow", 1996, 2, 1, 7)
+    S.start(spark, base, "yellow", f"{d}/raw", f"{d}/ledger", f"{d}/ckpt", "s1", max_files_per_trigger=1).awaitTermination(300)
+    assert _landed_rows(spark, d) == {(1996, 1): 35, (1996, 2): 7}
+    assert LG.read_ledger(spark, f"{d}/ledger").count() == 4
+    _put(spark, base, "yellow", 1996, 1, 4, 3)                   # a late file adds to the month
+    S.start(spark, base, "yellow", f"{d}/raw", f"{d}/ledger", f"{d}/ckpt", "s2").awaitTermination(300)
+    assert _landed_rows(spark, d) == {(1996, 1): 38, (1996, 2): 7}
+    # a batch that landed, but whose commit was lost, is run again under another run tag
+    last = max(r["ingest_batch"] for r in spark.read.parquet(f"{d}/raw/yellow").select("ingest_batch").distinct().collect())
+    rows = spark.read.parquet(f"{d}/raw/yellow").where(F.col("ingest_batch") == last)
+    stored = rows.drop("ingest_batch").collect()
+    S.land_batch(spark.createDataFrame(stored, rows.drop("ingest_batch").schema), f"{d}/raw/yellow", f"{d}/ledger", "yellow", "s3", last)
+    assert _landed_rows(spark, d) == {(1996, 1): 38, (1996, 2): 7}
+    # one that wrote its rows and died before its ledger rows gets them now
+    S.land_batch(spark.createDataFrame(stored, rows.drop("ingest_batch").schema), f"{d}/raw/yellow", f"{d}/ledger2", "yellow", "s3", last)
+    assert LG.read_ledger(spark, f"{d}/ledger2").agg(F.sum("rows")).first()[0] == 3
+
+
+def test_months_land_together_and_fail_alone(spark, monkeypatch):
+    import time
+
+    from cabline.plans import ingest as I
+    base, out = tempfile.mkdtemp(prefix="cabline-land4-"), tempfile.mkdtemp(prefix="cabline-raw4-")
+    months = range(1, 11)
+    for m in months:
+        _put(spark, base, "yellow", 1997, m, m, m)
+    (bad,) = [m for m in months if m == 6]
+    import pathlib
+    for f in pathlib.Path(source_path(base, "yellow", 1997, bad)).glob("*.parquet"):
+        f.write_bytes(b"not parquet")
+    groups, took, real = set(), [], I.land_month
+
+    def timed(*a):
+        groups.add(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == "ingest"
+        t = time.time()
+        try:
+            time.sleep(0.5)
+            return real(*a)
+        finally:
+            took.append(time.time() - t)
+
+    monkeypatch.setattr(I, "land_month", timed)
+    t = time.time()
+    totals = I.ingest(spark, base, out, f"{out}/ledger", ["yellow"], [1997], months, run_tag="r", workers=5)
+    assert time.time() - t < sum(took) and len(groups) == 10
+    assert totals["errors"] == 1 and totals["loaded"] == [("yellow", 1997, m) for m in months if m != bad]
+    got = {r["source_month"]: r["count"] for r in spark.read.parquet(f"{out}/yellow").groupBy("source_month").count().collect()}
+    assert got == {m: m for m in months if m != bad} and totals["rows"] == sum(got.values())
+    ledger = {r["month"]: (r["status"], r["rows"]) for r in LG.read_ledger(spark, f"{out}/ledger").collect()}
+    assert ledger == {m: (LG.OK, m) if m != bad else (LG.ERROR, 0) for m in months}
+    again = I.ingest(spark, base, out, f"{out}/ledger", ["yellow"], [1997], months, run_tag="r2", workers=5)
+    assert again["loaded"] == [] and again["errors"] == 1
