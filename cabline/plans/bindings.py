@@ -91,6 +91,20 @@ def raw_service(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     return t.select(*cols)
 
 
+def landing_files(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The raw trips as monthly files of the names that the ingest job reads."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for service, schema in schemas.RAW_BY_SERVICE.items():
+        rows = raw_service(spark, sf_dir, service).withColumn(
+            "file", F.format_string(f"{service}_tripdata_%04d-%02d.parquet", "source_year", "source_month"))
+        rows.select(*schema.fieldNames(), "file").write.mode("append").partitionBy("file").parquet(base)
+    fs = fs_path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(fs_path(base)):
+        name = f.getPath().getName()
+        if name.startswith("file="):
+            fs.rename(f.getPath(), fs_path(f"{base}/{name.removeprefix('file=')}"))
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension: one row per nation, ids shifted to 1.. so id 0 never matches."""
     n = table(spark, sf_dir, "nation")

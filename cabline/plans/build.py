@@ -17,13 +17,15 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from cabline.operators import profile
+from cabline.operators import profile, rollup
 from cabline.operators.wide import SERVICES, build_wide
 from cabline.sources import sinks
 
 
 def build(spark: SparkSession, raw_base: str, zones_path: str, out: str, mode: str, years, services,
-          overwrite: bool, run_id: str | None = None) -> dict:
+          overwrite: bool, run_id: str | None = None, table: str | None = None, summary: str | None = None) -> dict:
+    """``table`` (database.table) is created over ``out`` if missing and lists its partitions
+    afterwards; the per-partition summary at ``summary`` is refreshed where rows changed."""
     unknown = [s for s in services if s not in SERVICES]
     if unknown:      # validated before anything is truncated or deleted
         raise ValueError(f"unknown services: {unknown}")
@@ -33,11 +35,25 @@ def build(spark: SparkSession, raw_base: str, zones_path: str, out: str, mode: s
     wide = build_wide(raw, zones, years, services)
     if run_id is not None:       # else the run tag of the landed rows
         wide = wide.withColumn("run_id", F.lit(run_id))
-    if mode == "full":
-        rows = sinks.full_rebuild(wide, out, overwrite)
-        return {"written": rows}
     wanted = [(y, s) for y in years for s in services]
-    return sinks.partition_replace(spark, wide, out, wanted, overwrite)
+    if table:
+        sinks.ensure_table(spark, table, wide.schema, out)
+    if mode == "full":
+        result = {"written": sinks.full_rebuild(wide, out, overwrite)}
+        touched = [tuple(r) for r in sinks.existing_partitions(spark, out).select(*sinks.WIDE_PARTITIONS).collect()]
+    else:
+        result = sinks.partition_replace(spark, wide, out, wanted, overwrite)
+        touched = result["replaced"] + result["new"] + result["emptied"]
+    if table:
+        sinks.register_partitions(spark, table, out)
+    if summary:
+        rollup.refresh(spark, out, summary, touched)
+    return result
+
+
+def preview(spark: SparkSession, zones_path: str, rows: int = 20):
+    """First rows of the zone dimension by id, as a look at what was landed."""
+    return spark.read.parquet(zones_path).orderBy("locationid").limit(rows)
 
 
 def main(argv=None) -> None:
@@ -51,11 +67,14 @@ def main(argv=None) -> None:
     ap.add_argument("--services", default="yellow,green")
     ap.add_argument("--run-id", default=None, help="stamp of the built rows (default: the landed rows' own)")
     ap.add_argument("--overwrite", action="store_true")
+    ap.add_argument("--table", default=None, help="database.table to create over --out if missing")
+    ap.add_argument("--summary", default=None, help="folder of the per-partition summary to refresh")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     res = build(spark, a.raw, a.zones, a.out, a.mode, range(a.year_start, a.year_end + 1),
-                [s.strip() for s in a.services.split(",")], a.overwrite, a.run_id)
+                [s.strip() for s in a.services.split(",")], a.overwrite, a.run_id, a.table, a.summary)
     print(res)
+    preview(spark, a.zones).show(truncate=False)
     if a.mode == "full":
         wide = spark.read.parquet(a.out)
         profile.service_summary(wide).show()

@@ -10,7 +10,8 @@ is recorded as ERROR and the others go on.
 Months are landed several at a time by a bounded pool of threads, each month as a job group
 of its own in a FAIR scheduler pool (``spark.scheduler.mode=FAIR``), so that a large month
 does not hold up small ones. Every month stages its files in its own folder until commit.
-Ledger rows are appended by the calling thread alone, as months finish.
+Ledger rows are appended by the calling thread alone, one commit for the months that have
+ended meanwhile.
 
     spark-submit -m cabline.plans.ingest --base s3://.../trip-data --out s3://.../raw \
         --ledger s3://.../ledger --services yellow,green --year-start 2022 --year-end 2024
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
@@ -49,8 +50,9 @@ def land_month(spark: SparkSession, base: str, out: str, service: str, year: int
     return sinks.write_table(df, f"{out.rstrip('/')}/{service}", "overwrite", ("source_year", "source_month"), dynamic=True)
 
 
-def _landed(spark: SparkSession, todo: list, land, workers: int) -> Iterator[tuple]:
-    """(month, rows, error) of every month as it ends, ``workers`` of them at a time."""
+def _landed(spark: SparkSession, todo: list, land, workers: int) -> Iterator[list[tuple]]:
+    """(month, rows, error) of the months that have ended since the last look, until all
+    have; ``workers`` months run at a time."""
     def task(r):
         sc = spark.sparkContext
         sc.setLocalProperty("spark.scheduler.pool", "ingest")
@@ -59,10 +61,10 @@ def _landed(spark: SparkSession, todo: list, land, workers: int) -> Iterator[tup
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         running = {pool.submit(inheritable_thread_target(spark)(task), r): r for r in todo}
-        for done in as_completed(running):
-            r = running[done]
-            key, failed = (r["service"], r["year"], r["month"]), done.exception()
-            yield key, 0 if failed else done.result(), failed
+        left = set(running)
+        while left:
+            done, left = wait(left, return_when=FIRST_COMPLETED)
+            yield [((running[f]["service"], running[f]["year"], running[f]["month"]), 0 if f.exception() else f.result(), f.exception()) for f in done]
 
 
 def ingest(spark: SparkSession, base: str, out: str, ledger_path: str, services, years, months=range(1, 13),
@@ -73,14 +75,12 @@ def ingest(spark: SparkSession, base: str, out: str, ledger_path: str, services,
     todo = LG.pending_months(wanted, LG.read_ledger(spark, ledger_path)).orderBy(*LG.KEYS).collect()   # bounded by months
     totals = {"rows": 0, "errors": 0, "loaded": []}
     land = lambda s, y, m: land_month(spark, base, out, s, y, m, run_tag, tolerant)
-    for (s, y, m), rows, failed in _landed(spark, todo, land, workers):
-        if failed is None:
-            LG.append_ledger(spark, ledger_path, s, y, m, LG.OK, rows, run_tag)
-            totals["rows"] += rows
-            totals["loaded"].append((s, y, m))
-        else:
-            totals["errors"] += 1
-            LG.append_ledger(spark, ledger_path, s, y, m, LG.ERROR, 0, run_tag, str(failed))
+    for ended in _landed(spark, todo, land, workers):
+        LG.append_attempts(spark, ledger_path, [
+            (s, y, m, LG.ERROR if failed else LG.OK, rows, run_tag, str(failed) if failed else None) for (s, y, m), rows, failed in ended])
+        totals["rows"] += sum(rows for _, rows, _ in ended)
+        totals["errors"] += sum(failed is not None for _, _, failed in ended)
+        totals["loaded"] += [key for key, _, failed in ended if failed is None]
     totals["loaded"].sort()
     if LG.ledger_files(spark, ledger_path) > LG.MANY_FILES:
         LG.compact_ledger(spark, ledger_path)

@@ -17,6 +17,7 @@ from cabline.operators import diagnose as DG
 from cabline.operators import features as FT
 from cabline.operators import linear as LN
 from cabline.operators import profile
+from cabline.operators import rollup as RU
 from cabline.operators import sample as SM
 from cabline.operators import sparse as SP
 from cabline.operators.gram import collect_grams
@@ -141,6 +142,97 @@ def q_partition_replace(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
+@register("partition_counts", O.over_wide(
+    "SELECT source_year, service_type, COUNT(*) AS rows FROM wide GROUP BY source_year, service_type"))
+def q_partition_counts(spark, sf_dir):
+    """Rows per partition of the stored wide table, from its files' footers."""
+    path = scratch_path(spark, "wide")
+    sinks.full_rebuild(wide_table(spark, sf_dir), path, overwrite=True)
+    return sinks.existing_partitions(spark, path)
+
+
+@register("wide_catalog", O.over_wide("""
+SELECT source_year, service_type, COUNT(*) AS rows, round(SUM(total_amount), 2) AS total FROM wide
+WHERE NOT (source_year = 1998 AND service_type = 'green') GROUP BY source_year, service_type"""))
+def q_wide_catalog(spark, sf_dir):
+    """The wide table as a catalog table: created if missing, partitions registered after a
+    rebuild and after one was emptied, read by name."""
+    path = scratch_path(spark, "wide")
+    name = f"cabline_{path.rsplit('-', 1)[1]}.wide"
+    wide = wide_table(spark, sf_dir)
+    for _ in range(2):                       # the second call finds it
+        sinks.ensure_table(spark, name, wide.schema, path)
+    sinks.full_rebuild(wide, path, overwrite=True)
+    sinks.register_partitions(spark, name, path)
+    less = wide.where("NOT (source_year = 1998 AND service_type = 'green')")
+    sinks.partition_replace(spark, less, path, [(1998, "green")], overwrite=True)
+    sinks.register_partitions(spark, name, path)
+    return spark.table(name).groupBy("source_year", "service_type").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("total_amount"), 2).alias("total"))
+
+
+@register("wide_summary_incremental", O.over_wide("""
+SELECT service_type, year, COUNT(*) AS trips, MIN(pickup_datetime) AS first_pickup, MAX(pickup_datetime) AS last_pickup,
+       COUNT(DISTINCT vendor_id) AS n_vendor_id, COUNT(DISTINCT payment_type) AS n_payment_type
+FROM wide WHERE NOT (source_year = 1998 AND service_type = 'green') AND NOT (source_year = 1996 AND service_type = 'yellow' AND month > 6)
+GROUP BY service_type, year"""))
+def q_wide_summary_incremental(spark, sf_dir):
+    """Per-partition summary of the stored wide table, refreshed only for the partitions that
+    were replaced or emptied after it was made."""
+    path, summary = scratch_path(spark, "wide"), scratch_path(spark, "summary")
+    wide = wide_table(spark, sf_dir)
+    sinks.full_rebuild(wide, path, overwrite=True)
+    RU.refresh(spark, path, summary, [tuple(r) for r in sinks.existing_partitions(spark, path).select(*sinks.WIDE_PARTITIONS).collect()])
+    touched = [(1996, "yellow"), (1998, "green")]
+    fewer = wide.where("(source_year = 1996 AND service_type = 'yellow' AND month <= 6)")
+    sinks.partition_replace(spark, fewer, path, touched, overwrite=True)
+    RU.refresh(spark, path, summary, touched)
+    return RU.service_year_ranges(spark.read.parquet(summary), ["vendor_id", "payment_type"])
+
+
+@register("ingest_backfill", f"""
+WITH trips AS ({B.TRIPS_SQL}),
+grid AS (
+  SELECT s.service, CAST(y.year AS INTEGER) AS year, CAST(m.month AS INTEGER) AS month
+  FROM (VALUES ('yellow'), ('green')) s(service),
+       (SELECT unnest(generate_series(MIN(source_year), MAX(source_year))) AS year FROM trips) y,
+       (SELECT unnest(generate_series(1, 12)) AS month) m),
+c AS (SELECT service_type AS service, source_year AS year, source_month AS month, COUNT(*) AS n FROM trips GROUP BY 1, 2, 3)
+SELECT g.service, g.year, g.month, CASE WHEN n IS NULL THEN 'ERROR' ELSE 'OK' END AS status,
+       CAST(CASE WHEN n IS NULL THEN 2 ELSE 1 END AS BIGINT) AS attempts, CAST(COALESCE(n, 0) AS BIGINT) AS ledger_rows, CAST(COALESCE(n, 0) AS BIGINT) AS landed_rows
+FROM grid g LEFT JOIN c ON c.service = g.service AND c.year = g.year AND c.month = g.month""")
+def q_ingest_backfill(spark, sf_dir):
+    """All months landed from their files, eight at a time, then the job run again: a month
+    without a file fails alone and is tried twice, a landed one is not landed again."""
+    base = scratch_path(spark, "ingest")
+    B.landing_files(spark, sf_dir, f"{base}/files")
+    span = B.trips(spark, sf_dir).agg(F.min("source_year"), F.max("source_year")).first()
+    for tag in ("run1", "run2"):
+        MI.ingest(spark, f"{base}/files", f"{base}/raw", f"{base}/ledger", ["yellow", "green"], range(span[0], span[1] + 1), run_tag=tag, workers=8)
+    tried = LG.read_ledger(spark, f"{base}/ledger").groupBy(*LG.KEYS).agg(
+        F.max("status").alias("status"), F.count(F.lit(1)).alias("attempts"), F.sum("rows").alias("ledger_rows"))
+    landed = None
+    for s in ("yellow", "green"):
+        one = spark.read.parquet(f"{base}/raw/{s}").groupBy(F.lit(s).alias("service"), F.col("source_year").alias("year"), F.col("source_month").alias("month"))
+        one = one.agg(F.count(F.lit(1)).alias("landed_rows"))
+        landed = one if landed is None else landed.unionByName(one)
+    return tried.join(landed, LG.KEYS, "left").withColumn("landed_rows", F.coalesce("landed_rows", F.lit(0)))
+
+
+@register("ledger_compacted", f"""
+WITH trips AS ({B.TRIPS_SQL}), {B.LEDGER_SQL}
+SELECT service, status, COUNT(*) AS n_months, CAST(SUM(rows) AS BIGINT) AS total_rows
+FROM ledger GROUP BY service, status""")
+def q_ledger_compacted(spark, sf_dir):
+    """Summary of a ledger that was appended to by year and compacted in between."""
+    path = scratch_path(spark, "ledger")
+    attempts = B.ledger_attempts(spark, sf_dir).select("service", "year", "month", "status", "rows", "run_tag", "error").collect()   # bounded by months
+    for i, year in enumerate(sorted({r["year"] for r in attempts})):
+        LG.append_attempts(spark, path, [tuple(r) for r in attempts if r["year"] == year])
+        if i % 3 == 2:
+            LG.compact_ledger(spark, path)
+    return LG.ledger_summary(LG.read_ledger(spark, path))
+
+
 @register("ingest_worklist", f"""
 WITH trips AS ({B.TRIPS_SQL}), {B.LEDGER_SQL},
 grid AS (

@@ -74,11 +74,12 @@ def footer_counts(spark: SparkSession, path: str, keys: Sequence[str] = (), only
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     t = own.read.parquet(path)
     if only is not None:
-        t = t.where(_any_partition(keys, list(only)))
+        t = t.where(any_partition(keys, only))
     return t.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _any_partition(keys: Sequence[str], wanted: list[tuple]):
+def any_partition(keys: Sequence[str], wanted: Iterable[tuple]):
+    """Condition: the row is in one of the ``wanted`` partitions."""
     cond = F.lit(False)
     for w in wanted:
         cond = cond | _is_partition(keys, w)
