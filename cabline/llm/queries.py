@@ -199,23 +199,32 @@ WITH d AS (
 ), q AS (
   SELECT level, lang, source, rule, max(total) AS total, min(top) FILTER (upto * 100 >= total * 50) AS mid,
          min(top) FILTER (upto * 100 >= total * 90) AS hi, min(top) FILTER (upto * 100 >= total * 10) AS lo,
+         min(top) FILTER (upto * 100 >= total * 25) AS lower, min(top) FILTER (upto * 100 >= total * 75) AS upper,
          CASE rule WHEN 'symbol_share' THEN 100 WHEN 'word_length' THEN 500 WHEN 'repeat_share' THEN 1500 ELSE 3000 END AS margin
   FROM u GROUP BY level, lang, source, rule
+), o AS (                                    -- what the clean half allows
+  SELECT *, CASE WHEN rule = 'word_length' THEN mid + 4 * (3 * (mid - lower) + margin)
+                 ELSE least(mid + 4 * (3 * (mid - lower) + margin), (mid + 10000) // 2) END AS high_bound,
+         mid - 4 * (3 * (upper - mid) + margin) AS low_bound FROM q
+), e AS (
+  SELECT *, least(high_bound, hi + 3 * (hi - mid) + margin) AS high_limit, greatest(low_bound, lo - 3 * (mid - lo) - margin) AS low_limit FROM o
 ), l AS (
   SELECT level, lang, source, max(total) AS total,
-         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'symbol_share') AS a,
-         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'dup_line_share') AS b,
-         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'repeat_share') AS c,
-         max(hi + 3 * (hi - mid) + margin) FILTER (rule = 'word_length') AS d,
-         max(lo - 3 * (mid - lo) - margin) FILTER (rule = 'word_length') AS e
-  FROM q GROUP BY level, lang, source
-), z AS (
-  SELECT x.*, CASE WHEN g.total >= 200 THEN {'a': g.a, 'b': g.b, 'c': g.c, 'd': g.d, 'e': g.e}
-                   WHEN k.total >= 200 THEN {'a': k.a, 'b': k.b, 'c': k.c, 'd': k.d, 'e': k.e}
-                   ELSE {'a': y.a, 'b': y.b, 'c': y.c, 'd': y.d, 'e': y.e} END AS lim
+         {'a': max(high_limit) FILTER (rule = 'symbol_share'), 'b': max(high_limit) FILTER (rule = 'dup_line_share'),
+          'c': max(high_limit) FILTER (rule = 'repeat_share'), 'd': max(high_limit) FILTER (rule = 'word_length'),
+          'e': max(low_limit) FILTER (rule = 'word_length')} AS lim,
+         {'a': max(high_bound) FILTER (rule = 'symbol_share'), 'b': max(high_bound) FILTER (rule = 'dup_line_share'),
+          'c': max(high_bound) FILTER (rule = 'repeat_share'), 'd': max(high_bound) FILTER (rule = 'word_length'),
+          'e': max(low_bound) FILTER (rule = 'word_length')} AS bnd
+  FROM e GROUP BY level, lang, source
+), y AS (
+  SELECT x.*, CASE WHEN g.total >= 200 THEN g.lim WHEN k.total >= 200 THEN k.lim ELSE y.lim END AS own,
+         CASE WHEN k.total >= 200 THEN k.bnd ELSE y.bnd END AS bnd
   FROM x LEFT JOIN (SELECT * FROM l WHERE level = 0) g ON x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source
   LEFT JOIN (SELECT * FROM l WHERE level = 1) k ON x.lang IS NOT DISTINCT FROM k.lang
   LEFT JOIN (SELECT * FROM l WHERE level = 2) y ON true
+), z AS (
+  SELECT *, {'a': least(own.a, bnd.a), 'b': least(own.b, bnd.b), 'c': least(own.c, bnd.c), 'd': least(own.d, bnd.d), 'e': greatest(own.e, bnd.e)} AS lim FROM y
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(symbol_share > lim.a, false) AND NOT coalesce(dup_line_share > lim.b, false)

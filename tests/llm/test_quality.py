@@ -104,3 +104,17 @@ def test_junk_does_not_set_its_own_limit(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
         kept = {r.doc_id for r in Q.drop_low_quality(docs).collect()}
         assert kept == {r[0] for r in rows} - junk, (share, alone, len(kept & junk))
+
+
+def test_sql_twin_follows_the_bound(spark):
+    """The query's SQL on tables whose sources are partly junk gives the code's verdicts."""
+    import duckdb
+
+    from cabline.llm.queries import ORACLE
+    for share, alone in ((3, True), (6, False), (0, False)):
+        rows, _ = dirty(share, alone)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        kept = {r.row.doc_id: r.kept for r in Q.quality(docs, ["doc_id"]).collect()}
+        con = duckdb.connect()
+        con.register("documents", docs.toArrow())
+        assert dict(con.execute(f"SELECT doc_id, kept FROM ({ORACLE['op5_quality_rules']})").fetchall()) == kept
