@@ -71,9 +71,17 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def cardinality(df: DataFrame, columns: list[str], approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct non-NULL values per column; ``approx`` uses HyperLogLog++ sketches
     (fixed memory per column instead of exact distinct sets)."""
-    agg = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
-    wide = df.agg(*[agg(c).alias(c) for c in columns])
-    return wide.unpivot([], columns, "column_name", "n_unique").orderBy("column_name")
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in columns])
+        return wide.unpivot([], columns, "column_name", "n_unique").orderBy("column_name")
+    # one narrow aggregate a column: several distinct counts in one would copy every row
+    # once a column before its shuffle
+    out = None
+    for c in columns:
+        one = df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n_unique"))
+        one = one.select(F.lit(c).alias("column_name"), "n_unique")
+        out = one if out is None else out.unionByName(one)
+    return out.orderBy("column_name")
 
 
 def not_a_number(df: DataFrame, columns: list[str]) -> DataFrame:
