@@ -1,20 +1,23 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, a template a short license notice; both are sets of words. A
-template is found where a block holds at least ``threshold`` of its words. The words that
-occur in any template are ordered by how often they stand in all texts, rarest first. A
-block that reaches the threshold must share one of a template's first |T| - need + 1 words
-(prefix filter), must have at least ``need`` words (length filter), and the rank of the first
-shared word bounds what can still be shared (positional filter); what passes is counted
-exactly, so nothing is missed. Of the templates found in a block those stay whose words are
-not all in another one (a notice with more terms is another license). The templates are a small parameter and travel to the tasks;
-the texts stay where they are.
-
-Besides, phrases are looked for wherever their words stand one after another, and notices
-wherever a stretch of words, over any line breaks, holds enough of a template's words: whole
-license paragraphs, of which some words may differ, and the short templates. The stretch is
-at most ``slack`` times as long as the template, every stretch of a text is looked at, and all
-that is found is reported; the most specific ones are marked.
+A template is a license notice, short or a whole paragraph; a block is any stretch of a text,
+over line breaks, of at most ``slack`` times the template's words. A template is found where
+the distinct words of a block hold at least its ``need``: the threshold's share of its own.
+
+The words of all templates are ordered by how often they stand in all texts, rarest first.
+Three filters leave few stretches to count, and lose none:
+
+* prefix: a block that reaches the need holds one of the template's first |T| - need + 1
+  words in that order, so only the surroundings of such a word are looked at;
+* length: the surroundings must have as many words as needed;
+* position: if the word is the rarest that block and template share, all others are more
+  frequent, and enough such words must stand around it (at most the template's own rest).
+
+What passes is counted exactly in a sliding stretch. All that is found is reported; where a
+template with more words overlaps a place, the place is marked as not specific. Templates
+are a small parameter and travel to the tasks; the texts stay where they are.
+
+Besides, phrases are looked for wherever their words stand one after another.
 """
 
 from __future__ import annotations
@@ -79,9 +82,9 @@ NOTICES = (
 
 @dataclass(frozen=True)
 class LicenseParams:
-    """threshold: share of a template's distinct words that a block must hold. templates:
-    (notice, label) pairs, a bounded list. phrases: (words, label) pairs. notices: license
-    paragraphs, found with ``notice_threshold`` of their words. slack: length of a stretch in
+    """threshold, notice_threshold: share of the distinct words of a template (short notice)
+    and of a notice (license paragraph) that a block must hold. templates, notices: (text,
+    label) pairs, bounded lists. phrases: (words, label) pairs. slack: length of a block in
     times a template's."""
 
     threshold: float = 0.95
@@ -91,6 +94,10 @@ class LicenseParams:
     notice_threshold: float = 0.8
     slack: float = 1.25
 
+    def all_templates(self) -> list[tuple[str, str, float]]:
+        """(text, label, threshold) of the templates, then of the notices."""
+        return [(t, label, self.threshold) for t, label in self.templates] + [(t, label, self.notice_threshold) for t, label in self.notices]
+
 
 def words_of(text: str) -> list[bytes]:
     """Words of a text with A-Z lowered (other letters as they are)."""
@@ -102,54 +109,54 @@ def need(size: int, threshold: float) -> int:
 
 
 class Index:
-    """Templates by the words of their prefixes under one global order of words."""
+    """Templates by the words of their prefixes under one global order of words. ``seen``
+    counts what became of prefix words met in texts."""
 
     def __init__(self, p: LicenseParams, counts: dict[bytes, int]) -> None:
-        sets = [(set(words_of(t)), label) for t, label in p.templates]
-        order = sorted({w for s, _ in sets for w in s}, key=lambda w: (counts.get(w, 0), w))
+        every = p.all_templates()
+        self.labels = [label for _, label, _ in every]
+        self.sets = [frozenset(words_of(t)) for t, _, _ in every]
+        self.needs = [max(1, need(len(s), share)) for s, (_, _, share) in zip(self.sets, every)]
+        self.spans = [ceil(len(words_of(t)) * p.slack) for t, _, _ in every]
+        order = sorted({w for s in self.sets for w in s}, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(order)}
-        self.sets, self.needs, self.labels = [], [], []
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
-        for k, (s, label) in enumerate(sets):
-            least = need(len(s), p.threshold)
-            self.sets.append(s), self.needs.append(least), self.labels.append(label)
+        for k, (s, least) in enumerate(zip(self.sets, self.needs)):
             for place, w in enumerate(sorted(s, key=self.rank.__getitem__)[: len(s) - least + 1]):
                 self.prefix.setdefault(w, []).append((k, place))
         self.keys = frozenset(self.prefix)
-
-    def match(self, block: set[bytes]) -> list[tuple[int, int]]:
-        """(template, shared words) of every template that the block contains."""
-        out, seen = [], set()
-        for w in sorted(block & self.keys, key=self.rank.__getitem__):
-            for k, place in self.prefix[w]:
-                if k in seen:
+        self.seen = {"prefix": 0, "length": 0, "position": 0, "counted": 0, "found": 0}
+
+    def surroundings(self, words: list[bytes]) -> dict[int, list[list[int]]]:
+        """For each template the stretches of the text that the filters leave, merged."""
+        out: dict[int, list[list[int]]] = {}
+        ranks = None
+        for i, w in enumerate(words):
+            for k, place in self.prefix.get(w, ()):
+                self.seen["prefix"] += 1
+                least, span = self.needs[k], self.spans[k]
+                a, b = max(0, i - span + 1), min(len(words), i + span)
+                if b - a < least:
+                    self.seen["length"] += 1
                     continue
-                seen.add(k)                                # its rarest shared prefix word
-                least = self.needs[k]
-                if len(block) >= least and len(self.sets[k]) - place >= least:
-                    shared = len(self.sets[k] & block)
-                    if shared >= least:
-                        out.append((k, shared))
-        if len(out) > 1:                                   # the most specific notices stay
-            out = [(k, n) for k, n in out if not any(self.sets[k] < self.sets[j] for j, _ in out)]
+                if ranks is None:
+                    ranks = [self.rank.get(x, -1) for x in words]
+                above = len({r for r in ranks[a:b] if r > ranks[i]})
+                if 1 + min(above, len(self.sets[k]) - place - 1) < least:
+                    self.seen["position"] += 1
+                    continue
+                mine = out.setdefault(k, [])
+                if mine and a <= mine[-1][1]:
+                    mine[-1][1] = max(b, mine[-1][1])
+                else:
+                    mine.append([a, b])
         return out
 
-
-class Notices:
-    """Short templates, then license paragraphs, found in stretches of words over any lines."""
-
-    def __init__(self, p: LicenseParams) -> None:
-        both = [(t, label, p.threshold) for t, label in p.templates] + [(t, label, p.notice_threshold) for t, label in p.notices]
-        self.labels = [label for _, label, _ in both]
-        self.sets = [frozenset(words_of(t)) for t, _, _ in both]
-        self.needs = [max(1, need(len(s), share)) for s, (_, _, share) in zip(self.sets, both)]
-        self.spans = [ceil(len(words_of(t)) * p.slack) for t, _, _ in both]
-
-    def places(self, k: int, words: list[bytes]) -> list[list[int]]:
-        """[first word, last word, most shared words] of the stretches that hold template k;
-        stretches that overlap are one place."""
+    def places(self, k: int, words: list[bytes], start: int, end: int) -> list[list[int]]:
+        """[first word, last word, most shared words] of the blocks in words[start:end] that
+        hold template k; blocks that overlap are one place."""
         wanted, span, least = self.sets[k], self.spans[k], self.needs[k]
-        at = [i for i, w in enumerate(words) if w in wanted]
+        at = [i for i in range(start, end) if words[i] in wanted]
         count: dict[bytes, int] = {}
         out, lo = [], 0
         for last in at:
@@ -168,8 +175,13 @@ class Notices:
                     out.append([at[lo], last, len(count)])
         return out
 
-    def find(self, words: list[bytes], have: set[bytes]) -> list[dict]:
-        found = [(k, *x) for k, s in enumerate(self.sets) if len(s & have) >= self.needs[k] for x in self.places(k, words)]
+    def find(self, words: list[bytes]) -> list[dict]:
+        found = []
+        for k, spans in self.surroundings(words).items():
+            self.seen["counted"] += len(spans)
+            found += [(k, *x) for a, b in spans for x in self.places(k, words, a, b)]
+        self.seen["found"] += len(found)
+        found.sort(key=lambda x: (x[1], x[0]))
         wider = lambda k, a, b: any(self.sets[k] < self.sets[j] and x <= b and a <= y for j, x, y, _ in found)
         return [{"first": a, "last": b, "template": k, "label": self.labels[k], "share": n / len(self.sets[k]), "specific": not wider(k, a, b)}
                 for k, a, b, n in found]
@@ -192,17 +204,14 @@ def _count(vocabulary: frozenset[bytes]):
     return run
 
 
-SCANNED = ("n_words long, n_base long, first_word long, last_word long, base_labels array<string>, "
-           "labels array<string>, score double, matches array<struct<line: long, template: int, share: double>>, "
-           "notices array<struct<first: long, last: long, template: int, label: string, share: double, specific: boolean>>")
+SCANNED = ("n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, score double, "
+           "matches array<struct<first: long, last: long, template: int, label: string, share: double, specific: boolean>>")
 
 
 def _scan(p: LicenseParams, counts: dict[bytes, int]):
     phrases = [(words_of(t), label) for t, label in p.phrases]
-    match_type = pa.list_(pa.struct([("line", pa.int64()), ("template", pa.int32()), ("share", pa.float64())]))
-    notices = Notices(p)
-    notice_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("template", pa.int32()), ("label", pa.string()),
-                                      ("share", pa.float64()), ("specific", pa.bool_())]))
+    match_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("template", pa.int32()), ("label", pa.string()),
+                                     ("share", pa.float64()), ("specific", pa.bool_())]))
 
     def one(index: Index, text: bytes):
         words = _WORD.findall(text)
@@ -220,21 +229,13 @@ def _scan(p: LicenseParams, counts: dict[bytes, int]):
                 if words[i: i + len(seq)] == seq:
                     starts.append(i)
                     base.add(label)
-        labels, score, matches = set(base), 1.0 if base else 0.0, []
-        if not have.isdisjoint(index.keys):
-            for n, line in enumerate(text.split(b"\n")):
-                block = set(_WORD.findall(line))
-                if block.isdisjoint(index.keys):
-                    continue
-                for k, shared in index.match(block):
-                    share = shared / len(index.sets[k])
-                    labels.add(index.labels[k])
-                    score = max(score, share)
-                    matches.append({"line": n, "template": k, "share": share})
-        return (len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), score, matches, notices.find(words, have))
+        matches = index.find(words) if not have.isdisjoint(index.keys) else []
+        score = 1.0 if base else max((m["share"] for m in matches), default=0.0)
+        labels = base | {m["label"] for m in matches}
+        return (len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), score, matches)
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64(), match_type, notice_type]
-    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches", "notices"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64(), match_type]
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"]
 
     def run(batches):
         index = Index(p, counts)
@@ -253,7 +254,7 @@ def _scan(p: LicenseParams, counts: dict[bytes, int]):
 
 def word_counts(docs: DataFrame, p: LicenseParams) -> dict[bytes, int]:
     """How often each template word stands in all texts; as many rows as templates have words."""
-    vocabulary = frozenset(w for t, _ in p.templates for w in words_of(t))
+    vocabulary = frozenset(w for t, _, _ in p.all_templates() for w in words_of(t))
     if not vocabulary:
         return {}
     rows = docs.select("text").mapInArrow(_count(vocabulary), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -262,14 +263,15 @@ def word_counts(docs: DataFrame, p: LicenseParams) -> dict[bytes, int]:
 
 def scan_licenses(docs: DataFrame, params: LicenseParams | None = None, columns: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` (struct ``row`` of ``columns``, all by default) with n_words,
-    the phrase places (n_base, first_word, last_word, base_labels), labels (phrases and
-    templates, distinct and sorted), score (1 with a phrase, else the largest share of a
-    template found, else 0), matches (line, template, share) and notices (first and last word,
-    template, label, share, specific): every template and license paragraph that a stretch of
-    words over any lines holds; not specific where a template with more words overlaps it.
+    the phrase places (n_base, first_word, last_word, base_labels), labels (phrases and all
+    templates found, distinct and sorted), score (1 with a phrase, else the largest share of
+    a template found, else 0) and matches (first and last word, template, label, share,
+    specific): every place where a block holds enough of a template.
 
     A null text is empty; an empty one has no words and score 0. Rows are judged one by one,
-    so repeated rows agree. An empty table gives an empty result.
+    so repeated rows agree; very long texts are scanned whole, and blocks are short whatever
+    the length of a line. The input's columns are inside ``row``, so none can clash. An empty
+    table gives an empty result.
     """
     p = params or LicenseParams()
     counts = word_counts(docs, p)

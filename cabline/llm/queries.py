@@ -113,11 +113,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op6_sql() -> str:
-    """Every line against every template, and every word against every phrase."""
-    from cabline.llm.licenses import PHRASES, TEMPLATES, words_of
+    """Every stretch of words against every template, and every word against every phrase."""
+    from cabline.llm.licenses import PHRASES, LicenseParams, need, words_of
 
     text = lambda items: "[" + ", ".join("'" + w.decode().replace("'", "''") + "'" for w in items) + "]"
-    notices = ", ".join(f"({text(sorted(set(words_of(t))))}, '{label}')" for t, label in TEMPLATES)
+    p = LicenseParams()
+    notices = ", ".join(
+        f"({text(sorted(set(words_of(t))))}, '{label}', {need(len(set(words_of(t))), share)}, {-int(-len(words_of(t)) * p.slack // 1)})"
+        for t, label, share in p.all_templates())
     phrases = ", ".join(f"({text(words_of(t))}, '{label}')" for t, label in PHRASES)
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     return f"""
@@ -132,13 +135,12 @@ WITH d AS (
   FROM w, p WHERE list_has_all(w, seq)
 ), b AS (
   SELECT rid, count(*) AS n, min(place) AS lo, max(place) AS hi, list_sort(list_distinct(list(label))) AS labels FROM hit GROUP BY rid
-), n AS (SELECT * FROM (VALUES {notices}) AS n(words, label)
-), l AS (SELECT rid, row_number() OVER () AS line, list_distinct(regexp_extract_all(t, {word})) AS lw FROM (SELECT rid, unnest(string_split(t, chr(10))) AS t FROM d)
+), n AS (SELECT * FROM (VALUES {notices}) AS n(words, label, least, span)
+), c AS (SELECT rid, w, label, words, least, span FROM w, n WHERE len(list_intersect(list_distinct(w), words)) >= least
 ), m AS (
-  SELECT rid, line, label, words, len(list_intersect(lw, words)) / CAST(len(words) AS DOUBLE) AS share FROM l, n
-  WHERE len(list_intersect(lw, words)) >= 0.95 * len(words) - 1e-9
-), f AS (SELECT rid, list(label) AS labels, max(share) AS share FROM m a
-  WHERE NOT EXISTS (SELECT 1 FROM m c WHERE c.line = a.line AND len(c.words) > len(a.words) AND list_has_all(c.words, a.words)) GROUP BY rid)
+  SELECT rid, label, least, len(words) AS size,
+         list_max(list_transform(range(1, len(w) + 1), lambda i: len(list_intersect(list_distinct(w[i : i + span - 1]), words)))) AS most FROM c
+), f AS (SELECT rid, list(label) AS labels, max(most / CAST(size AS DOUBLE)) AS share FROM m WHERE most >= least GROUP BY rid)
 SELECT doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
        CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
        coalesce(array_to_string(b.labels, ','), '') AS base_labels,
@@ -150,7 +152,7 @@ FROM w LEFT JOIN b ON w.rid = b.rid LEFT JOIN f ON w.rid = f.rid
 
 @query("op6_license_scan", _op6_sql())
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: license phrases and the templates that a line of it contains."""
+    """Per document: license phrases and the templates that a stretch of its words holds."""
     from cabline.llm.licenses import scan_licenses
 
     out = scan_licenses(table(spark, sf_dir, "documents"), columns=["doc_id"])
