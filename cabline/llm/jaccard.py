@@ -1,15 +1,25 @@
-"""N-gram Jaccard join: MinHash banding, then exact verification.
+"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
 
 Every text is the set of its 5-word shingles (fewer words: one shingle of all of them; no
 word: no shingle, such texts link with nothing). Texts with equal sets form one class, so
-exact copies are never compared. A class's MinHash values label one path in each of
-``trees`` trees. This is fixed banding, not an LSH forest that shortens prefixes on the data:
-the depth is computed from the parameters alone, as the longest at which all trees together
-reach the target recall at the threshold, and the hashes of a label beyond it only serve the
-signatures; classes with equal prefixes of that depth in any tree meet in a bucket. In a bucket, signatures rule out pairs
-that are far below the threshold, and what remains is reduced to groups. All pairs of a
-group are compared exactly on their shingles, in square tiles, so that a group of any size
-spreads over tasks and only counts and a spanning set of links leave a tile.
+exact copies are never compared. A class's MinHash values are its label, a path of ``label``
+hashes, in each of ``trees`` prefix tries.
+
+No class ever needs a shorter prefix than the longest at which all tries together reach the
+target recall at the threshold, so classes travel to the trie nodes of that depth. There
+they are sorted by the rest of their labels, and matching starts with the longest prefixes:
+at each depth a class is compared by signature with those that share so much of its path
+and were not met deeper. What it has found tells how much it may have missed: a link of
+similarity s is met at depth d with probability 1 - (1 - s^d)^trees, so the links found so
+far, and one more at the threshold that might exist, give an estimate of its recall. A class
+that reaches the target rests; the others go on with a prefix shorter by one hash. Members
+of large groups thus rest at deep nodes, and few comparisons are made at crowded shallow
+ones.
+
+Signatures rule out pairs far below the threshold, and what remains is reduced to groups.
+All pairs of a group are compared exactly on their shingles, in square tiles, so that a
+group of any size spreads over tasks and only counts and a spanning set of links leave a
+tile.
 """
 
 from __future__ import annotations
@@ -29,8 +39,8 @@ from cabline.session import drop_path, materialize_at
 @dataclass(frozen=True)
 class JaccardParams:
     """threshold: Jaccard similarity of a link. shingle: words of a shingle. trees, label:
-    tries and hashes of a full label. recall: share of pairs at the threshold that must
-    share a prefix. slack: a bucket's pair is compared when its signatures agree on more
+    tries (256 at most) and hashes of a full label. recall: share of its links that a class
+    must be estimated to have met before it rests. slack: a bucket's pair is compared when its signatures agree on more
     than threshold - slack of the hashes (more than seven standard deviations at the
     threshold). tile: classes on a side of a verification tile. tile_shingles: their
     shingles at most, on average."""
@@ -44,10 +54,15 @@ class JaccardParams:
     tile: int = 256
     tile_shingles: int = 400_000
 
+    def met(self, similarity, depth: int):
+        """Probability that a pair shares a prefix of ``depth`` hashes in some trie."""
+        return 1 - (1 - similarity**depth) ** self.trees
+
     def prefix(self) -> int:
-        """The longest prefix whose tries reach the recall at the threshold."""
+        """The shortest prefix that any class needs: the longest at which the tries reach
+        the recall at the threshold."""
         for depth in range(self.label, 0, -1):
-            if 1 - (1 - self.threshold**depth) ** self.trees >= self.recall:
+            if self.met(self.threshold, depth) >= self.recall:
                 return depth
         return 1
 
@@ -93,7 +108,7 @@ def signatures(p: JaccardParams):
                 high.append(int(C.signed(np.bitwise_xor.reduce(C.mix64(s + np.uint64(99)), keepdims=True))[0]))
                 m = min_hashes(s, mult, shift).reshape(p.trees, p.label)
                 path = C.mix64((m[:, :depth] * weigh[:depth]).sum(axis=1) ^ tree)
-                keys.append(C.signed(path))
+                keys.append(C.signed((path & ~np.uint64(0xFF)) | np.arange(p.trees, dtype=np.uint64)))   # the low byte names the trie
                 sig.append((C.mix64(m) >> np.uint64(56)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rid"), pa.array(n_sh, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
@@ -103,22 +118,47 @@ def signatures(p: JaccardParams):
     return run
 
 
+def node_links(p: JaccardParams, sig: np.ndarray, tree: int, floor: int):
+    """Pairs of a trie node whose signatures agree on ``floor`` hashes or more, from the
+    longest shared prefixes to the node's own: (order of the rows in the trie, left, right)
+    with places in that order. A row that rests is compared no more by its own."""
+    n, depth = len(sig), p.prefix()
+    tail = sig[:, tree * p.label + depth: (tree + 1) * p.label]    # a byte of each hash beyond the node
+    order = np.lexsort(tail.T[::-1]) if tail.shape[1] else np.arange(n)
+    sig, tail = sig[order], tail[order]
+    found, total, rests = np.zeros(n), np.zeros(n), np.zeros(n, bool)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    below = np.arange(n)                                           # groups of the depth before
+    for d in range(p.label, depth - 1, -1):
+        new = np.ones(n, bool)
+        new[1:] = (tail[1:, : d - depth] != tail[:-1, : d - depth]).any(axis=1)
+        first = np.flatnonzero(new)
+        for a, b in zip(first, np.append(first[1:], n)):
+            if below[a] == below[b - 1]:
+                continue                                           # nobody new at this depth
+            rows = a + np.flatnonzero(~rests[a:b])
+            for i in range(0, len(rows), 64):
+                r = rows[i: i + 64]
+                same = np.zeros((len(r), b - a), np.int32)
+                for c in range(0, sig.shape[1], 32):
+                    same += (sig[r, None, c: c + 32] == sig[None, a:b, c: c + 32]).sum(axis=2, dtype=np.int32)
+                x, y = np.nonzero((same >= floor) & (below[r][:, None] != below[None, a:b]))
+                left.append(r[x]), right.append(a + y)
+                found += np.bincount(r[x], minlength=n)
+                total += np.bincount(r[x], 1 / p.met(same[x, y] / sig.shape[1], d), minlength=n)
+        rests = found + p.met(p.threshold, d) >= p.recall * (total + 1)
+        below = np.cumsum(new) - 1
+    return order, np.concatenate(left), np.concatenate(right)
+
+
 def _bucket_links(p: JaccardParams):
     """Rows sorted by (key, tile): links of every tile as (node, smallest node of its group)."""
     floor = int(np.floor((p.threshold - p.slack) * p.trees * p.label))
 
-    def tile(ids, sig):
-        n = len(ids)
-        left, right = [], []
-        for i in range(0, n - 1, 64):
-            same = np.zeros((min(64, n - i), n - i), np.int32)
-            for c in range(0, sig.shape[1], 32):
-                same += (sig[i: i + 64, None, c: c + 32] == sig[None, i:, c: c + 32]).sum(axis=2, dtype=np.int32)
-            x, y = np.nonzero(same >= floor)
-            keep = y > x
-            left.append(x[keep] + i), right.append(y[keep] + i)
-        root = C.local_roots(n, np.concatenate(left), np.concatenate(right))
-        at = np.flatnonzero(root != np.arange(n))
+    def tile(ids, sig, tree):
+        order, left, right = node_links(p, sig, tree, floor)
+        root = C.local_roots(len(ids), order[left], order[right])
+        at = np.flatnonzero(root != np.arange(len(ids)))
         return ids[at], ids[root[at]]
 
     def run(batches):
@@ -151,7 +191,7 @@ def _bucket_links(p: JaccardParams):
             out.append((hi, lo))
         for i, n in zip(first[size > 2], size[size > 2]):
             order = np.argsort(ids[i: i + n], kind="stable")
-            out.append(tile(ids[i: i + n][order], sig[i: i + n][order]))
+            out.append(tile(ids[i: i + n][order], sig[i: i + n][order], int(key[i]) & 0xFF))
         if out:
             a, b = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
