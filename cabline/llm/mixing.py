@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabline.llm import common as C
+from cabline.operators.ranking import rank_within
 from cabline.session import materialize_at
 
 
@@ -148,10 +149,21 @@ def mix(docs: DataFrame, sources: Column, size: Column, key: Column, params: Mix
     out = ["row", "size", "source_size", "target", "copies"]
     sure = rows.where(F.coalesce(~inside, F.lit(True))).withColumn(
         "copies", F.col("full") + F.coalesce((F.col("bin") < F.col("edge")).cast("long"), F.lit(0)))
-    order = Window.partitionBy("pattern").orderBy("ticket", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = rows.where(inside).withColumn("sum", F.sum("size").over(order))
-    # one more copy as long as it brings the total nearer to the rest
-    near = near.withColumn("copies", F.col("full") + (2 * F.col("sum") - F.col("size") <= 2 * F.col("in_edge")).cast("long"))
+    near, _ = materialize_at(rows.where(inside), "mix-edge")
+    # rows of one ticket and size are alike: they are counted, however many they are, and
+    # get one more copy as long as it brings the total nearer to the rest
+    alike = near.groupBy("pattern", "ticket", "size").agg(F.count("*").alias("n"), F.first("in_edge").alias("in_edge"))
+    order = Window.partitionBy("pattern").orderBy("ticket", "size").rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("n")).over(order), F.lit(0)))
+    fit = F.when(F.col("size") > 0, F.expr("(2 * in_edge + size - 2 * before) div (2 * size)")).otherwise(
+        F.when(F.col("before") <= F.col("in_edge"), F.col("n")).otherwise(0))
+    alike = alike.select("pattern", "ticket", "size", "n", F.greatest(F.lit(0), F.least("n", fit)).alias("more"))
+    near = near.join(alike, ["pattern", "ticket", "size"])
+    some = (F.col("more") > 0) & (F.col("more") < F.col("n"))          # one group a pattern at most
+    whole = near.where(~some).withColumn("copies", F.col("full") + (F.col("more") > 0).cast("long"))
+    part = rank_within(near.where(some).select("pattern", "more", "full", *out[:-1]), ["pattern"], [F.asc("size")])
+    part = part.withColumn("copies", F.col("full") + (F.col("_rn") <= F.col("more")).cast("long"))
+    near = whole.select(*out).unionByName(part.select(*out))
     both = sure.select(*out).unionByName(near.select(*out))
     return both.withColumn("taken", F.col("size") * F.col("copies"))
 

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import random
 
@@ -75,3 +76,22 @@ def test_awkward_rows(awkward):
     assert taken.columns == awkward.columns
     assert taken.count() == out.agg(F.sum("copies")).first()[0]
     assert M.take_mix(awkward.limit(0)).count() == 0
+
+
+def test_rows_of_one_ticket_spread_and_are_served_in_turn(spark):
+    """A third of the rows has no id, hence one ticket: the rest runs out among them, no task
+    ranks them all, and the words taken are those of the ranked list of all rows."""
+    rows = [(None, " ".join(["w"] * (i % 5)), "a") for i in range(900)] + [(i, "x y z", ["a", "b"][i % 2]) for i in range(1_800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [M.mix_documents(docs.repartition(k)).select("row.doc_id", "size", "copies", "taken", "source_size", "target", F.col("row.source").alias("source")).collect() for k in (3, 11)]
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["size"], r["copies"])
+    assert sorted(map(key, got[0])) == sorted(map(key, got[1]))
+    for source in ("a", "b"):
+        mine = [r for r in got[0] if r["source"] == source]
+        full, rest = divmod(int(mine[0]["target"]), mine[0]["source_size"])
+        ticket = lambda r: hashlib.md5(f"mix-1:{'' if r['doc_id'] is None else r['doc_id']}".encode()).hexdigest()
+        total, want = 0, []
+        for r in sorted(mine, key=lambda r: (ticket(r), r["size"])):
+            total += r["size"]
+            want.append((ticket(r), r["size"], full + (rest > 0 and 2 * total - r["size"] <= 2 * rest)))
+        assert sorted((ticket(r), r["size"], r["copies"]) for r in mine if r["size"]) == sorted(x for x in want if x[1])
