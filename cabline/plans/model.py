@@ -8,6 +8,7 @@ validation/test scores are computed in one more pass each.
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from cabline.operators import diagnose as DG
 from cabline.operators import features as FT
@@ -128,8 +130,11 @@ def leaderboard(spark: SparkSession, run: ModelRun, library: dict = LIBRARY) ->
         f = scratch_fit(name, g, **p)
         f.name = f"{name} (From Scratch)"
         fits.append(f); kinds.append("From Scratch")
-    for name, p in library.items():
-        f = library_fit(run, name, **p)
+    # MLlib's fits are many short jobs, so they run side by side
+    with ThreadPoolExecutor(max_workers=max(1, len(library))) as pool:
+        fit = inheritable_thread_target(spark)(lambda name: library_fit(run, name, **library[name]))
+        made = list(pool.map(fit, library))
+    for name, f in zip(library, made):
         f.name = f"{name} (Library)"
         fits.append(f); kinds.append("Library")
     mean, med = DG.baseline_predictions(run.design.where("split = 'train'"))
