@@ -76,3 +76,21 @@ def test_model_job(spark, landed):
     rep = spark.read.parquet(res["report"]).first()
     board = spark.read.parquet(res["leaderboard"]).collect()
     assert len(board) == 10 and rep["winner"] and rep["improvement_pct"] > 0
+
+
+def test_build_keeps_catalog_and_summary_in_step(spark, landed):
+    from cabline.operators import profile, rollup
+    from cabline.plans.build import preview
+    out, summary, table = f"{landed}/wide_listed", f"{landed}/wide_summary", "cabline_jobs.wide"
+    spark.sql("DROP DATABASE IF EXISTS cabline_jobs CASCADE")
+    try:
+        build(spark, f"{landed}/raw", f"{landed}/zones", out, "full", [1996, 1997], ["yellow", "green"], True, table=table, summary=summary)
+        build(spark, f"{landed}/raw", f"{landed}/zones", out, "by-partition", [1997, 1998], ["yellow"], True, "again", table, summary)
+        wide = spark.read.parquet(out)
+        assert spark.table(table).count() == wide.count() > 0
+        assert [tuple(r) for r in rollup.service_year_ranges(spark.read.parquet(summary)).collect()] == [tuple(r) for r in profile.service_year_ranges(wide).collect()]
+        assert {r["run_id"] for r in wide.where("source_year = 1998").collect()} == {"again"}
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS cabline_jobs CASCADE")
+    ids = [r["locationid"] for r in preview(spark, f"{landed}/zones", 5).collect()]
+    assert ids == sorted(ids) and len(ids) == 5
