@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cabline.llm import additive as A
 from cabline.llm import common as C
-from tests.llm.conftest import AWKWARD, words
+from .conftest import AWKWARD, words
 
 BREAKS = " \t\n\v\f\r"
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabline.llm.search import SearchParams, mask_groups, ranked_search
-from tests.llm.conftest import AWKWARD
+from .conftest import AWKWARD
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
