@@ -44,7 +44,7 @@ def listed(df):
     return sorted((tuple(r) for r in df.collect()), key=key)
 
 
-@pytest.mark.parametrize("params", [SearchParams(), SearchParams(top=3, item_bytes=40, lists=1, postings=16)])
+@pytest.mark.parametrize("params", [SearchParams(), SearchParams(top=3, item_bytes=400, lists=1, postings=16)])
 def test_same_as_scoring_every_document(spark, params):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(60)] + ["Été", "straße"]
