@@ -252,8 +252,8 @@ def jaccard_links(docs: DataFrame, params: JaccardParams | None = None, keep: li
     Returns every row of ``docs`` (columns ``keep``, all by default) in a struct ``row``,
     with rid (a row number), n_links (other rows at or above the threshold, exact copies
     included) and class_rid (the smallest rid that links reach, itself included). Repeated
-    rows are copies of each other; null, empty and blank texts link with nothing; an empty
-    table gives an empty result. Extra columns of any name are carried in ``row``.
+    rows are copies of each other; null, empty and blank texts link with nothing; texts of
+    any length count with all their shingles; an empty table gives an empty result. Extra columns of any name are carried in ``row``.
     """
     p = params or JaccardParams()
     cols = docs.columns if keep is None else list(dict.fromkeys([*keep, "text"]))

@@ -159,7 +159,8 @@ def line_dedup(docs: DataFrame, params: LineParams | None = None, keep: list[str
 
     The first place of a repeat stays, also when both places are in one text. Null texts
     stay null and empty ones empty; repeated rows are repeats like any other (the first
-    stays whole); an empty table gives an empty result. Lines without a word are neither
+    stays whole); texts of any length are compared whole; an empty table gives an empty
+    result. Lines without a word are neither
     compared nor deleted. Extra columns of any name travel in ``row``.
     """
     p = params or LineParams()

@@ -314,7 +314,8 @@ def score_lm(docs: DataFrame, model: LanguageModel, columns: list[str] | None =
     seen in training), base_score (smoothed unigram log10) and score (the model's log10).
 
     A null text is an empty one: a single end token. Equal texts score equally; every row
-    has its own result. An empty table gives an empty result."""
+    has its own result; texts of any length are scored whole. An empty table gives an empty
+    result. The input's columns are inside ``row``, so none can clash with the scores."""
     cols = docs.columns if columns is None else columns
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), F.monotonically_increasing_id().alias("rid"), "text")
     part, _ = materialize_at(slim.mapInArrow(_score(model), C.row_schema(slim, SCORED)), "lm-scores")

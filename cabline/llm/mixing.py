@@ -105,7 +105,8 @@ def mix(docs: DataFrame, sources: Column, size: Column, key: Column, params: Mix
     sources: array column of a document's sources (a null element is a source of its own; a
     null or empty array counts as the null source). key: what the draw hashes. Rows of size
     0 take nothing. Repeated rows draw the same ticket and are served in turn, so the set
-    of results is the same in every run. An empty table gives an empty result.
+    of results is the same in every run. A text's length is but a number here. The input's
+    columns are inside ``row``, so none can clash. An empty table gives an empty result.
     """
     p = params or MixParams()
     spark = docs.sparkSession

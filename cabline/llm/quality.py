@@ -179,8 +179,8 @@ def judge(measured: DataFrame, p: QualityParams | None = None) -> DataFrame:
 
 def quality(docs: DataFrame, columns: list[str], p: QualityParams | None = None) -> DataFrame:
     """Verdicts for ``docs`` (columns text, lang, source): struct ``row`` of ``columns`` with
-    the measures, base_failed, failed_rules and kept. Extra columns never clash. The
-    measures are stored beside ``row`` between the two readings, in the shared folder."""
+    the measures, base_failed, failed_rules and kept. Extra columns never clash, and texts of
+    any length are counted whole. The measures are stored beside ``row`` between the two readings, in the shared folder."""
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("row"), "text", "lang", "source")
     return judge(materialize(measure(slim).drop("text"), "quality-measures"), p)
 

@@ -223,7 +223,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, columns: list[str] | N
     """Struct ``row`` (``columns`` of ``docs``, all by default) with score, 0 to 1.
 
     A null text scores like an empty one: the constant of the model. Equal texts score
-    equally; an empty table gives an empty result."""
+    equally; texts of any length are read whole; an empty table gives an empty result. The
+    input's columns are inside ``row``, so none can clash with the score."""
     cols = docs.columns if columns is None else columns
     slim = docs.select(F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), "text")
     return slim.mapInArrow(_score(model), C.row_schema(slim, "score double"))

@@ -168,7 +168,8 @@ def vector_links(vectors: DataFrame, column: str, params: VectorParams | None =
     n_links (other rows at or above the threshold) and class_rid (smallest rid that links
     reach). Null, empty and zero vectors and vectors with null or non-finite components link
     with nothing; vectors of different lengths never link; repeated rows are copies of each
-    other. An empty table gives an empty result.
+    other. A vector's other columns, long texts among them, travel in ``row`` whatever their
+    names. An empty table gives an empty result.
     """
     p = params or VectorParams()
     spark = vectors.sparkSession
