@@ -96,13 +96,22 @@ def wide_projection(raw: DataFrame, spec: ServiceSpec, zones: DataFrame,
 
 def build_wide(raw_by_service: Mapping[str, DataFrame], zones: DataFrame,
                years: Iterable[int] | None = None, services: Iterable[str] | None = None,
-               specs: Mapping[str, ServiceSpec] = SERVICES) -> DataFrame:
-    """UNION ALL of the per-service wide projections (duplicates kept)."""
+               specs: Mapping[str, ServiceSpec] = SERVICES, clustered: bool = False) -> DataFrame:
+    """UNION ALL of the per-service wide projections (duplicates kept).
+
+    ``clustered``: for a write by (source_year, service_type). Each service's raw rows are
+    brought together by year before they are widened, so that what is shuffled are the raw
+    columns and not the labels, zone names and measures made of them; the sink need not
+    shuffle again. (A zone dimension too large to broadcast deals the rows out anew.)
+    """
     wanted = list(services) if services is not None else list(raw_by_service)
     unknown = [s for s in wanted if s not in specs]
     if unknown:
         raise ValueError(f"unknown services: {unknown}")
     zones = zones.select("locationid", "zone", "borough")
+    raw_by_service = {s: raw_by_service[s] for s in wanted}
+    if clustered:
+        raw_by_service = {s: raw.hint("rebalance", F.col("source_year")) for s, raw in raw_by_service.items()}
     parts = [wide_projection(raw_by_service[s], specs[s], zones, years) for s in wanted]
     out = parts[0]
     for p in parts[1:]:

@@ -26,7 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str, service: str | None = None) -> DataFrame:
-    """Trips (of one service, or all) with service-neutral column names."""
+    """Trips (of one service, or all) with service-neutral column names.
+
+    Customers join the narrow orders first, so that the wide line items are shuffled once,
+    by their order, however large the customer table is.
+    """
     l = table(spark, sf_dir, "lineitem")
     if service is not None:
         status = {v: k for k, v in SERVICE_OF_STATUS.items()}[service]
@@ -34,8 +38,8 @@ def trips(spark: SparkSession, sf_dir: str, service: str | None = None) -> DataF
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (l.join(o, l.l_orderkey == o.o_orderkey, "left")
-          .join(c, F.col("o_custkey") == c.c_custkey, "left")
+    placed = o.join(c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", "o_orderdate", "c_nationkey")
+    j = (l.join(placed, l.l_orderkey == placed.o_orderkey, "left")
           .join(s, l.l_suppkey == s.s_suppkey, "left"))
     return j.selectExpr(*[f"{expr} AS {name}" for name, expr in _TRIP_EXPRS])
 

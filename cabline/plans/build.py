@@ -32,17 +32,17 @@ def build(spark: SparkSession, raw_base: str, zones_path: str, out: str, mode: s
     years = list(years)
     raw = {s: spark.read.parquet(f"{raw_base.rstrip('/')}/{s}") for s in services}
     zones = spark.read.parquet(zones_path)
-    wide = build_wide(raw, zones, years, services)
+    wide = build_wide(raw, zones, years, services, clustered=True)
     if run_id is not None:       # else the run tag of the landed rows
         wide = wide.withColumn("run_id", F.lit(run_id))
     wanted = [(y, s) for y in years for s in services]
     if table:
         sinks.ensure_table(spark, table, wide.schema, out)
     if mode == "full":
-        result = {"written": sinks.full_rebuild(wide, out, overwrite)}
+        result = {"written": sinks.full_rebuild(wide, out, overwrite, clustered=True)}
         touched = [tuple(r) for r in sinks.existing_partitions(spark, out).select(*sinks.WIDE_PARTITIONS).collect()]
     else:
-        result = sinks.partition_replace(spark, wide, out, wanted, overwrite)
+        result = sinks.partition_replace(spark, wide, out, wanted, overwrite, clustered=True)
         touched = result["replaced"] + result["new"] + result["emptied"]
     if table:
         sinks.register_partitions(spark, table, out)

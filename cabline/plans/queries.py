@@ -45,10 +45,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def wide_table(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+def wide_table(spark: SparkSession, sf_dir: str, years=None, clustered: bool = False) -> DataFrame:
     """The wide table over the bindings."""
     raw = {s: B.raw_service(spark, sf_dir, s) for s in ("yellow", "green")}
-    return build_wide(raw, B.zones(spark, sf_dir), years)
+    return build_wide(raw, B.zones(spark, sf_dir), years, clustered=clustered)
 
 
 # ------------------------------------------------------------------ wide table
@@ -128,16 +128,16 @@ SELECT source_year, service_type,
 FROM wide WHERE NOT (source_year = 1998 AND service_type = 'green') GROUP BY 1, 2, 3"""))
 def q_partition_replace(spark, sf_dir):
     path = scratch_path(spark, "wide")
-    wide = wide_table(spark, sf_dir)
-    sinks.full_rebuild(wide, path, overwrite=True)
+    wide = wide_table(spark, sf_dir, clustered=True)
+    sinks.full_rebuild(wide, path, overwrite=True, clustered=True)
     # existing partitions are skipped without overwrite ...
-    sinks.partition_replace(spark, wide, path, [(1996, "yellow"), (1997, "green")], overwrite=False)
+    sinks.partition_replace(spark, wide, path, [(1996, "yellow"), (1997, "green")], overwrite=False, clustered=True)
     # ... and replaced, alone, with it
     rerun = wide.withColumn("run_id", F.lit("rerun"))
-    sinks.partition_replace(spark, rerun, path, [(1996, "yellow")], overwrite=True)
+    sinks.partition_replace(spark, rerun, path, [(1996, "yellow")], overwrite=True, clustered=True)
     # a partition whose source rows are gone is emptied
     less = wide.where("NOT (source_year = 1998 AND service_type = 'green')")
-    sinks.partition_replace(spark, less, path, [(1998, "green")], overwrite=True)
+    sinks.partition_replace(spark, less, path, [(1998, "green")], overwrite=True, clustered=True)
     return (spark.read.parquet(path).groupBy("source_year", "service_type", "run_id")
             .agg(F.count(F.lit(1)).alias("rows")))
 
@@ -147,7 +147,7 @@ def q_partition_replace(spark, sf_dir):
 def q_partition_counts(spark, sf_dir):
     """Rows per partition of the stored wide table, from its files' footers."""
     path = scratch_path(spark, "wide")
-    sinks.full_rebuild(wide_table(spark, sf_dir), path, overwrite=True)
+    sinks.full_rebuild(wide_table(spark, sf_dir, clustered=True), path, overwrite=True, clustered=True)
     return sinks.existing_partitions(spark, path)
 
 
@@ -159,13 +159,13 @@ def q_wide_catalog(spark, sf_dir):
     rebuild and after one was emptied, read by name."""
     path = scratch_path(spark, "wide")
     name = f"cabline_{path.rsplit('-', 1)[1]}.wide"
-    wide = wide_table(spark, sf_dir)
+    wide = wide_table(spark, sf_dir, clustered=True)
     for _ in range(2):                       # the second call finds it
         sinks.ensure_table(spark, name, wide.schema, path)
-    sinks.full_rebuild(wide, path, overwrite=True)
+    sinks.full_rebuild(wide, path, overwrite=True, clustered=True)
     sinks.register_partitions(spark, name, path)
     less = wide.where("NOT (source_year = 1998 AND service_type = 'green')")
-    sinks.partition_replace(spark, less, path, [(1998, "green")], overwrite=True)
+    sinks.partition_replace(spark, less, path, [(1998, "green")], overwrite=True, clustered=True)
     sinks.register_partitions(spark, name, path)
     return spark.table(name).groupBy("source_year", "service_type").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("total_amount"), 2).alias("total"))
 
@@ -179,12 +179,12 @@ def q_wide_summary_incremental(spark, sf_dir):
     """Per-partition summary of the stored wide table, refreshed only for the partitions that
     were replaced or emptied after it was made."""
     path, summary = scratch_path(spark, "wide"), scratch_path(spark, "summary")
-    wide = wide_table(spark, sf_dir)
-    sinks.full_rebuild(wide, path, overwrite=True)
+    wide = wide_table(spark, sf_dir, clustered=True)
+    sinks.full_rebuild(wide, path, overwrite=True, clustered=True)
     RU.refresh(spark, path, summary, [tuple(r) for r in sinks.existing_partitions(spark, path).select(*sinks.WIDE_PARTITIONS).collect()])
     touched = [(1996, "yellow"), (1998, "green")]
     fewer = wide.where("(source_year = 1996 AND service_type = 'yellow' AND month <= 6)")
-    sinks.partition_replace(spark, fewer, path, touched, overwrite=True)
+    sinks.partition_replace(spark, fewer, path, touched, overwrite=True, clustered=True)
     RU.refresh(spark, path, summary, touched)
     return RU.service_year_ranges(spark.read.parquet(summary), ["vendor_id", "payment_type"])
 

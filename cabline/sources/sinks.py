@@ -36,17 +36,21 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
-                partition_by: Sequence[str] = WIDE_PARTITIONS, dynamic: bool = False) -> int:
-    """Write ``df`` and return its row count, counted in the same pass (``observe``)."""
-    return _write_counted(df, path, mode, partition_by, dynamic, {})["rows"]
+                partition_by: Sequence[str] = WIDE_PARTITIONS, dynamic: bool = False, clustered: bool = False) -> int:
+    """Write ``df`` and return its row count, counted in the same pass (``observe``).
+    ``clustered``: the rows of a partition lie together already (``build_wide``)."""
+    return _write_counted(df, path, mode, partition_by, dynamic, {}, clustered)["rows"]
 
 
-def _write_counted(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool, also: dict) -> dict:
+def _write_counted(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], dynamic: bool, also: dict,
+                   clustered: bool = False) -> dict:
     """Write and count, all rows and those under each condition in ``also``, in one pass."""
     obs = Observation("written")
     if partition_by:
         order = [c for c in TIME_COLUMNS if c in df.columns]
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by, *order)
+        if not clustered:
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df = df.sortWithinPartitions(*partition_by, *order)
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in also.items()])
     w = counted.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
@@ -56,10 +60,10 @@ def _write_counted(df: DataFrame, path: str, mode: str, partition_by: Sequence[s
 
 
 def full_rebuild(df: DataFrame, path: str, overwrite: bool,
-                 partition_by: Sequence[str] = WIDE_PARTITIONS) -> int:
+                 partition_by: Sequence[str] = WIDE_PARTITIONS, clustered: bool = False) -> int:
     """Full mode: replace the whole table when ``overwrite``, else append (a rerun
     appends duplicates, as in the original job)."""
-    return write_table(df, path, "overwrite" if overwrite else "append", partition_by)
+    return write_table(df, path, "overwrite" if overwrite else "append", partition_by, clustered=clustered)
 
 
 def footer_counts(spark: SparkSession, path: str, keys: Sequence[str] = (), only: Iterable[tuple] | None = None) -> DataFrame:
@@ -97,9 +101,11 @@ def existing_partitions(spark: SparkSession, path: str, keys: Sequence[str] = WI
 
 
 def partition_replace(spark: SparkSession, df: DataFrame, path: str, wanted: Iterable[tuple],
-                      overwrite: bool, keys: Sequence[str] = WIDE_PARTITIONS) -> dict:
+                      overwrite: bool, keys: Sequence[str] = WIDE_PARTITIONS, clustered: bool = False) -> dict:
     """By-partition mode: for each wanted partition, skip it when it already has rows
-    (unless ``overwrite``), else (re)write it. One Spark job writes all of them.
+    (unless ``overwrite``), else (re)write it. One Spark job writes all of them. The wanted
+    partitions are a plain condition, which reaches the sources of ``df``: other services
+    and years are left out before they are joined and widened.
 
     A wanted partition that has no source rows any more is emptied: its old files go.
 
@@ -112,11 +118,9 @@ def partition_replace(spark: SparkSession, df: DataFrame, path: str, wanted: Ite
     todo = [w for w in wanted if w not in skipped]
     if not todo:
         return {"written": 0, "skipped": skipped, "replaced": [], "new": [], "emptied": []}
-    schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    todo_df = spark.createDataFrame(todo, schema)
-    part = df.join(F.broadcast(todo_df), list(keys), "left_semi")
+    part = df.where(any_partition(keys, todo))
     hit = {f"w{i}": _is_partition(keys, w) for i, w in enumerate(todo)}
-    got = _write_counted(part, path, "overwrite", keys, True, hit)
+    got = _write_counted(part, path, "overwrite", keys, True, hit, clustered)
     rows = {w: got[f"w{i}"] for i, w in enumerate(todo)}
     emptied = [w for w in todo if have.get(w, 0) > 0 and not rows[w]]
     for w in emptied:
