@@ -14,8 +14,9 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 from pyspark.util import inheritable_thread_target
 
 from cabline.operators import diagnose as DG
@@ -23,8 +24,7 @@ from cabline.operators import features as FT
 from cabline.operators import linear as LN
 from cabline.operators.estimators import PenalisedRegression
 from cabline.operators.gram import Gram, collect_grams
-from cabline.operators.ranking import global_row_number
-from cabline.operators.sample import ntile_of
+from cabline.operators.ranking import rank_within
 from cabline.session import materialize
 from cabline.sources.conform import require_columns
 
@@ -71,8 +71,9 @@ def combos(grid: dict):
 
 @dataclass
 class ModelRun:
-    """design: stored rows (split, y, x, pickup_datetime). width: entries of x. grams:
-    statistics of each split. batches: those of the training rows' mini-batches."""
+    """design: rows (split, y, x, pickup_datetime), stored or computed from stored columns.
+    width: entries of x. grams: statistics of each split. batches: those of the training
+    rows' mini-batches."""
 
     design: DataFrame
     width: int
@@ -81,10 +82,12 @@ class ModelRun:
     results: dict = field(default_factory=dict)
 
 
-def run_of(design: DataFrame, width: int, batches: int = SGD_BATCHES) -> ModelRun:
-    """Stores the design and gathers all statistics in one pass: the training rows by
-    mini-batch (a hash of the row's content, so any partitioning deals them alike)."""
-    design = materialize(design, "design")
+def run_of(design: DataFrame, width: int, batches: int = SGD_BATCHES, stored: bool = False) -> ModelRun:
+    """Stores the design, unless it is cheap to read again (``stored``), and gathers all
+    statistics in one pass: the training rows by mini-batch (a hash of the row's content, so
+    any partitioning deals them alike)."""
+    if not stored:
+        design = materialize(design, "design")
     batch = F.pmod(F.xxhash64(F.lit(SGD_SEED), "x", "y"), F.lit(batches))
     key = F.when(F.col("split") == "train", F.concat_ws("/", "split", batch)).otherwise(F.col("split"))
     grams = collect_grams(design.withColumn("_g", key), width, "_g")
@@ -94,11 +97,14 @@ def run_of(design: DataFrame, width: int, batches: int = SGD_BATCHES) -> ModelRu
 
 
 def prepare(sample: DataFrame) -> ModelRun:
+    """The prepared columns are stored, not the design made of them: a row of the design is
+    several times as wide, and a pass that needs one split then builds only that one's rows."""
     f = FT.split_by_month(FT.prepare_features(FT.create_features(sample)))
-    require_columns(f, [*FT.NUMERIC, *FT.CATEGORICAL, *FT.BINARY, FT.TARGET])
+    columns = [*FT.NUMERIC, *FT.CATEGORICAL, *FT.BINARY]
+    require_columns(f, [*columns, FT.TARGET])
+    f = materialize(f.select("split", F.col(FT.TARGET).alias("y"), "pickup_datetime", *columns), "features")
     pre = FT.Preprocessor().fit(f.where("split = 'train'"))
-    design = pre.transform(f.withColumn("y", F.col(FT.TARGET)), keep=["split", "y", "pickup_datetime"])
-    return run_of(design, len(pre.feature_names()))
+    return run_of(pre.transform(f, keep=["split", "y", "pickup_datetime"]), len(pre.feature_names()), stored=True)
 
 
 def _board(spark: SparkSession, design: DataFrame, fits: list, kinds: list, split: str) -> DataFrame:
@@ -162,12 +168,65 @@ def grid_holdout(run: ModelRun, grids: dict = SCRATCH_GRID) -> dict:
     return best
 
 
+#: Seconds given to rows without a time, which come first.
+NO_TIME = -(1 << 62)
+
+
+def _seconds(df: DataFrame, time_col: str) -> Column:
+    """Whole seconds of a time, never falling when the time grows in any time zone."""
+    t = F.col(time_col)
+    if isinstance(df.schema[time_col].dataType, TimestampType):
+        return F.coalesce(F.unix_seconds(t), F.lit(NO_TIME))
+    t = t.cast("timestamp_ntz")
+    clock = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return F.coalesce(F.unix_date(t.cast("date")).cast("long") * 86_400 + clock, F.lit(NO_TIME))
+
+
+def _cells_of(starts: list[int], counts: list[tuple[int, int]], before: int = 0) -> list[tuple[int, int, int]]:
+    """(start, cell, rows before the cell) of each start that falls into one of the cells."""
+    out = []
+    for cell, n in sorted(counts):
+        out += [(s, cell, before) for s in starts if before <= s < before + n]
+        before += n
+    return out
+
+
 def time_folds(run: ModelRun, folds: int = CV_FOLDS) -> DataFrame:
-    """Training rows with ``fold`` 0, 1, ...: contiguous, unshuffled parts in time order
-    (NTILE over a global time rank computed without a single task)."""
+    """Training rows with ``fold`` 0, 1, ...: contiguous, unshuffled parts (NTILE) in order of
+    time, x and y.
+
+    Only the rows around a fold's start need a rank. Counts by day, and by second within the
+    days that hold a start, find the seconds in which folds begin; every other row's fold
+    follows from its time, and the rows of those seconds are ranked.
+    """
     train = run.design.where("split = 'train'")
-    ranked = global_row_number(train, [F.asc_nulls_first("pickup_datetime"), F.asc("x"), F.asc("y")])
-    return ranked.withColumn("fold", (ntile_of(F.col("_rn"), F.col("_n"), F.lit(folds)) - 1).cast("int")).drop("_rn", "_n")
+    timed = train.withColumn("_s", _seconds(train, "pickup_datetime"))
+    day = F.floor(F.col("_s") / 86_400)
+    count = F.count(F.lit(1)).alias("n")
+    days = [tuple(r) for r in timed.groupBy(day.alias("d")).agg(count).collect()]          # a row a day
+    q, r = divmod(sum(n for _, n in days), folds)
+    found = _cells_of([k * q + min(k, r) for k in range(1, folds)], days)
+    opened = sorted({d for s, d, before in found if before < s})
+    at: dict[int, list] = {}                                                              # a row a second of these days
+    for d, s, n in timed.where(day.isin(opened)).groupBy(day.alias("d"), "_s").agg(count).collect() if opened else ():
+        at.setdefault(d, []).append((s, n))
+    fold, ranked, inside = F.lit(0), F.lit(0), set()
+    for start, d, before in found:
+        second, start_in = d * 86_400, 0
+        if before < start:
+            (_, second, off), = _cells_of([start], at[d], before)
+            start_in = start - off
+        if start_in:                                                                      # within the second
+            inside.add(second)
+        past = (F.col("_s") > second) if start_in else (F.col("_s") >= second)
+        fold = fold + past.cast("int")
+        ranked = ranked + F.when(F.col("_s") == second, F.col("_rn") > start_in).otherwise(past).cast("int")
+    folded = timed.where(~F.col("_s").isin(sorted(inside))).withColumn("fold", fold.cast("int"))
+    if inside:
+        order = [F.asc_nulls_first("pickup_datetime"), F.asc("x"), F.asc("y")]
+        close = rank_within(timed.where(F.col("_s").isin(sorted(inside))), ["_s"], order)
+        folded = folded.unionByName(close.withColumn("fold", ranked.cast("int")).drop("_rn", "_n"))
+    return folded.drop("_s")
 
 
 def grid_cv(run: ModelRun, folds: int = CV_FOLDS, grids: dict = INTERCEPT_GRID) -> dict:
@@ -246,7 +305,7 @@ def report(spark: SparkSession, run: ModelRun, test_board: DataFrame) -> DataFra
     fs, with_b = ([r["test_rmse"] for r in board.values() if r["type"] == kind] for kind in ("From Scratch", "Intercept"))
     fit = run.results["test_fits"][win["model"]]
     res = run.design.where("split = 'test'").select((F.col("y") - LN.predict(fit)).alias("e"))
-    pct = DG.abs_error_percentiles(res).first()
+    pct = DG.abs_error_percentiles(materialize(res, "residuals")).first()        # read several times
     row = (win["model"], win["test_rmse"], win["test_mae"], win["test_r2"],
            (base["test_rmse"] - win["test_rmse"]) / base["test_rmse"] * 100.0,
            float(np.mean(fs)), float(np.mean(with_b)), pct["p50"], pct["p80"], pct["p95"], pct["pct_lt_3"])
