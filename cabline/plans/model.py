@@ -8,16 +8,16 @@ validation/test scores are computed in one more pass each.
 from __future__ import annotations
 
 import itertools
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler, VectorSizeHint
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
-from pyspark.util import inheritable_thread_target
 
 from cabline.operators import diagnose as DG
 from cabline.operators import features as FT
@@ -25,7 +25,7 @@ from cabline.operators import linear as LN
 from cabline.operators.estimators import PenalisedRegression
 from cabline.operators.gram import Gram, collect_grams
 from cabline.operators.ranking import rank_within
-from cabline.session import materialize
+from cabline.session import drop_path, materialize, materialize_at
 from cabline.sources.conform import require_columns
 
 # Model settings and search grids of the original study.
@@ -45,6 +45,8 @@ INTERCEPT_GRID = {
     "Lasso": {"alpha": [0.01, 0.1, 0.5]},
     "ElasticNet": {"alpha": [0.01, 0.1, 0.5], "l1_ratio": [0.2, 0.5, 0.8]},
 }
+#: Library models that MLlib fits by iterating over the rows.
+ITERATED = ("Lasso", "ElasticNet")
 CV_FOLDS = 3
 #: Mini-batches of the descent comparator and the seed that deals rows to them.
 SGD_BATCHES, SGD_SEED = 32, 42
@@ -117,15 +119,22 @@ def _board(spark: SparkSession, design: DataFrame, fits: list, kinds: list, spli
     return spark.createDataFrame(rows, BOARD_SCHEMA)
 
 
-def library_fit(run: ModelRun, name: str, **p) -> LN.LinearFit:
+def library_fit(run: ModelRun, name: str, vectors: DataFrame | None = None, **p) -> LN.LinearFit:
     """Comparator with intercept: Ridge from the statistics (what MLlib's normal solver
     computes; a test holds them equal), SGD as mini-batch descent, Lasso and ElasticNet by
-    MLlib's own iterations over the stored training rows."""
+    MLlib's own iterations over the training rows (``vectors``, if they are stored)."""
     if name == "SGD":
         return LN.minibatch_descent(run.batches, **p)
     if name == "Ridge":
         return LN.intercept_fit(name, run.grams["train"], **p)
-    return LN.mllib_fit(run.design.where("split = 'train'").select("x", "y"), name, **p)
+    return LN.mllib_fit(training_vectors(run) if vectors is None else vectors, name, **p)
+
+
+def training_vectors(run: ModelRun) -> DataFrame:
+    """Training rows (_v, y) as MLlib takes them, with vectors that leave out zeros."""
+    dense = run.design.where("split = 'train'").select(array_to_vector("x").alias("_d"), "y")
+    sized = VectorSizeHint(inputCol="_d", size=run.width, handleInvalid="optimistic").transform(dense)
+    return VectorAssembler(inputCols=["_d"], outputCol="_v").transform(sized).select("_v", "y")
 
 
 def leaderboard(spark: SparkSession, run: ModelRun, library: dict = LIBRARY) -> DataFrame:
@@ -136,13 +145,17 @@ def leaderboard(spark: SparkSession, run: ModelRun, library: dict = LIBRARY) ->
         f = scratch_fit(name, g, **p)
         f.name = f"{name} (From Scratch)"
         fits.append(f); kinds.append("From Scratch")
-    # MLlib's fits are many short jobs, so they run side by side
-    with ThreadPoolExecutor(max_workers=max(1, len(library))) as pool:
-        fit = inheritable_thread_target(spark)(lambda name: library_fit(run, name, **library[name]))
-        made = list(pool.map(fit, library))
-    for name, f in zip(library, made):
+    # Each MLlib fit reads its rows three times and iterates over a copy that it keeps in the
+    # executors: the vectors are stored once for all fits, and one fit runs at a time
+    vectors, path = None, None
+    if any(name in ITERATED for name in library):
+        vectors, path = materialize_at(training_vectors(run), "vectors")
+    for name, p in library.items():
+        f = library_fit(run, name, vectors, **p)
         f.name = f"{name} (Library)"
         fits.append(f); kinds.append("Library")
+    if path is not None:
+        drop_path(spark, path)
     mean, med = DG.baseline_predictions(run.design.where("split = 'train'"))
     fits += [LN.constant_fit("Baseline (Mean)", g.p, mean), LN.constant_fit("Baseline (Median)", g.p, med)]
     kinds += ["Baseline", "Baseline"]
