@@ -12,9 +12,11 @@ import json
 
 import numpy as np
 from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabline.operators import linear as LN
@@ -72,12 +74,17 @@ class FittedDesign(Model, _DesignParams, DefaultParamsReadable, DefaultParamsWri
         return df.withColumn(self.getOrDefault("outputCol"), F.array(*self.fitted().columns()))
 
 
+def _values(df: DataFrame, x: str) -> Column:
+    """The design's columns as an array."""
+    return vector_to_array(F.col(x)) if isinstance(df.schema[x].dataType, VectorUDT) else F.col(x)
+
+
 class _LinearParams(Params):
     kind = _param("kind", "Ridge, Lasso, ElasticNet or SGD", TypeConverters.toString)
     alpha = _param("alpha", "penalty", TypeConverters.toFloat)
     l1Ratio = _param("l1Ratio", "share of the penalty on absolute weights (ElasticNet)", TypeConverters.toFloat)
     solver = _param("solver", "gram: one pass of sufficient statistics; mllib: Spark's LinearRegression", TypeConverters.toString)
-    featuresCol = _param("featuresCol", "array of the design's columns", TypeConverters.toString)
+    featuresCol = _param("featuresCol", "array or vector of the design's columns", TypeConverters.toString)
     labelCol = _param("labelCol", "target", TypeConverters.toString)
     predictionCol = _param("predictionCol", "prediction", TypeConverters.toString)
 
@@ -87,7 +94,8 @@ class _LinearParams(Params):
 
 class PenalisedRegression(Estimator, _LinearParams, DefaultParamsReadable, DefaultParamsWritable):
     """Least squares with an unpenalised intercept and the penalty of its kind, in the
-    objectives of ``linear.intercept_fit``. Rows without a target are left out."""
+    objectives of ``linear.intercept_fit``. Rows without a target are left out. MLlib makes a
+    vector of every array in each of its passes, so rows that it reads often should hold one."""
 
     def __init__(self, **params):
         super().__init__()
@@ -101,6 +109,7 @@ class PenalisedRegression(Estimator, _LinearParams, DefaultParamsReadable, Defau
         if self.getOrDefault("solver") == "mllib":
             fit = LN.mllib_fit(known.select(F.col(x), F.col(y).cast("double").alias(y)), kind, x, y, alpha=alpha, l1_ratio=ratio)
         else:
+            known = known.withColumn(x, _values(known, x))
             first = known.select(F.size(x).alias("p")).first()
             if first is None:
                 raise ValueError("no rows with a target to fit on")
@@ -124,4 +133,4 @@ class LinearModel(Model, _LinearParams, DefaultParamsReadable, DefaultParamsWrit
                             {"alpha": self.getOrDefault("alpha"), "l1_ratio": self.getOrDefault("l1Ratio")})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.getOrDefault("predictionCol"), LN.predict(self.as_fit(), self.getOrDefault("featuresCol")))
+        return df.withColumn(self.getOrDefault("predictionCol"), LN.predict(self.as_fit(), _values(df, self.getOrDefault("featuresCol"))))

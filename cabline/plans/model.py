@@ -8,6 +8,7 @@ validation/test scores are computed in one more pass each.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -130,11 +131,16 @@ def library_fit(run: ModelRun, name: str, vectors: DataFrame | None = None, **p)
     return LN.mllib_fit(training_vectors(run) if vectors is None else vectors, name, **p)
 
 
+def as_vectors(rows: DataFrame, width: int, keep: Sequence[str] = ("y",)) -> DataFrame:
+    """Rows (_v, kept columns) as MLlib takes them, with vectors that leave out zeros."""
+    dense = rows.select(array_to_vector("x").alias("_d"), *keep)
+    sized = VectorSizeHint(inputCol="_d", size=width, handleInvalid="optimistic").transform(dense)
+    return VectorAssembler(inputCols=["_d"], outputCol="_v").transform(sized).select("_v", *keep)
+
+
 def training_vectors(run: ModelRun) -> DataFrame:
-    """Training rows (_v, y) as MLlib takes them, with vectors that leave out zeros."""
-    dense = run.design.where("split = 'train'").select(array_to_vector("x").alias("_d"), "y")
-    sized = VectorSizeHint(inputCol="_d", size=run.width, handleInvalid="optimistic").transform(dense)
-    return VectorAssembler(inputCols=["_d"], outputCol="_v").transform(sized).select("_v", "y")
+    """Training rows (_v, y) for MLlib."""
+    return as_vectors(run.design.where("split = 'train'"), run.width)
 
 
 def leaderboard(spark: SparkSession, run: ModelRun, library: dict = LIBRARY) -> DataFrame:
@@ -183,6 +189,8 @@ def grid_holdout(run: ModelRun, grids: dict = SCRATCH_GRID) -> dict:
 
 #: Seconds given to rows without a time, which come first.
 NO_TIME = -(1 << 62)
+#: Rows of the folds' first seconds that one task ranks: a few rows need no range sampling.
+RANKED_ROWS = 50_000
 
 
 def _seconds(df: DataFrame, time_col: str) -> Column:
@@ -237,7 +245,9 @@ def time_folds(run: ModelRun, folds: int = CV_FOLDS) -> DataFrame:
     folded = timed.where(~F.col("_s").isin(sorted(inside))).withColumn("fold", fold.cast("int"))
     if inside:
         order = [F.asc_nulls_first("pickup_datetime"), F.asc("x"), F.asc("y")]
-        close = rank_within(timed.where(F.col("_s").isin(sorted(inside))), ["_s"], order)
+        tied = sum(n for cells in at.values() for s, n in cells if s in inside)
+        most = int(timed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        close = rank_within(timed.where(F.col("_s").isin(sorted(inside))), ["_s"], order, min(most, tied // RANKED_ROWS + 1))
         folded = folded.unionByName(close.withColumn("fold", ranked.cast("int")).drop("_rn", "_n"))
     return folded.drop("_s")
 
@@ -265,11 +275,13 @@ def grid_cv(run: ModelRun, folds: int = CV_FOLDS, grids: dict = INTERCEPT_GRID)
 
 def grid_cv_library(run: ModelRun, grids: dict, folds: int = CV_FOLDS, parallelism: int = 4) -> dict:
     """The same search by Spark's ``CrossValidator``: MLlib fits over the rows of each fold,
-    ``parallelism`` of them at a time. ``curve`` holds every point's mean fold RMSE."""
-    rows = materialize(time_folds(run, folds).select("x", "y", "fold"), "folds")
+    ``parallelism`` of them at a time. ``curve`` holds every point's mean fold RMSE. Each fit
+    passes over its rows three times, so the rows are stored, and kept by the validator, as
+    vectors."""
+    rows = materialize(as_vectors(time_folds(run, folds), run.width, ("y", "fold")), "folds")
     best = {}
     for name, grid in grids.items():
-        base = PenalisedRegression(kind=name, solver="mllib")
+        base = PenalisedRegression(kind=name, solver="mllib", featuresCol="_v")
         points = list(combos(grid))
         maps = [{base.getParam({"l1_ratio": "l1Ratio"}.get(k, k)): float(v) for k, v in cfg.items()} for cfg in points]
         search = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=RegressionEvaluator(labelCol="y", metricName="rmse"),
@@ -277,7 +289,7 @@ def grid_cv_library(run: ModelRun, grids: dict, folds: int = CV_FOLDS, paralleli
         found = search.fit(rows)
         k = int(np.argmin(found.avgMetrics))
         best[name] = {"cv_rmse": float(found.avgMetrics[k]), "params": points[k], "curve": list(zip(points, found.avgMetrics)),
-                      "fit": found.bestModel.as_fit(), "model": found.bestModel}
+                      "fit": found.bestModel.as_fit(), "model": found.bestModel.copy({found.bestModel.featuresCol: "x"})}
         best[name]["rmse"] = LN.rmse_from_gram(run.grams["validation"], best[name]["fit"])
     return best
 
